@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.text import clean
@@ -49,30 +49,43 @@ def _unquoted(text: Column) -> Column:
     return F.when(enclosed, single.substr(F.lit(2), F.length(single) - 2)).otherwise(single)
 
 
-def metadata_category(metadata: Column) -> Column:
-    """Category out of a product metadata text.
+def with_metadata_category(df: DataFrame, metadata: Column, name: str) -> DataFrame:
+    """Add the category found in a product metadata text, as column ``name``.
 
     The text is parsed as it is; only if it is no JSON, its quotes are undone
     and it is parsed again; only if that fails too, the pattern is searched.
     Valid JSON without a category, or other than an object, gives NULL.
+
+    Each parse is a column of its own, so that it is done once and not again
+    for every field taken from it.
     """
-    text = clean(metadata)
-    plain = _unquoted(text)
-    as_is = _parse(text, _OBJECT)
-    again = _parse(plain, _OBJECT)
-    searched = clean(F.regexp_extract(plain, CATEGORY_PATTERN, 1))
+    text, again = F.col("_text"), F.col("_again")
+    parsed, reparsed = F.col("_parsed"), F.col("_reparsed")
+    damaged = parsed["_bad"].isNotNull() & ~_is_json(text)
+    searched = clean(F.regexp_extract(again, CATEGORY_PATTERN, 1))
     return (
-        F.when(as_is["_bad"].isNull(), _first_field(as_is))
-        .when(_is_json(text), F.lit(None).cast("string"))
-        .when(again["_bad"].isNull(), _first_field(again))
-        .when(~_is_json(plain), searched)
+        df.withColumn("_text", clean(metadata))
+        .withColumn("_parsed", _parse(text, _OBJECT))
+        .withColumn("_again", F.when(damaged, _unquoted(text)))
+        .withColumn("_reparsed", _parse(again, _OBJECT))
+        .withColumn(
+            name,
+            F.when(parsed["_bad"].isNull(), _first_field(parsed))
+            .when(again.isNull(), F.lit(None).cast("string"))
+            .when(reparsed["_bad"].isNull(), _first_field(reparsed))
+            .when(~_is_json(again), searched),
+        )
+        .drop("_text", "_parsed", "_again", "_reparsed")
     )
 
 
-def event_category(columns: list[str]) -> Column:
-    """Category of an event whose log has ``columns``: a category column if one
-    is filled, else the product metadata."""
-    found = [clean(F.col(name)) for name in CATEGORY_FIELDS if name in columns]
-    if "product_metadata" in columns:
-        found.append(metadata_category(F.col("product_metadata")))
-    return F.coalesce(*found) if found else F.lit(None).cast("string")
+def with_category(log: DataFrame, name: str) -> DataFrame:
+    """Add the category of each event: a category column of the log if one is
+    filled, else what the product metadata says."""
+    columns = [clean(F.col(field)) for field in CATEGORY_FIELDS if field in log.columns]
+    known = F.coalesce(*columns) if columns else F.lit(None).cast("string")
+    if "product_metadata" not in log.columns:
+        return log.withColumn(name, known)
+    needed = F.when(known.isNull(), F.col("product_metadata"))
+    found = with_metadata_category(log, needed, "_found")
+    return found.withColumn(name, F.coalesce(known, "_found")).drop("_found")

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions.category import event_category
+from basketflow.functions.category import with_category
 from basketflow.functions.text import clean
 
 REQUIRED_COLUMNS = ("session_id", "user_id", "event_type", "product_id")
@@ -32,12 +32,12 @@ def normalize_events(log: DataFrame) -> DataFrame:
     empty or missing becomes NULL; each product drops the rows it cannot use.
     """
     require_columns(log)
-    return log.select(
+    return with_category(log, "_category").select(
         clean(F.col("session_id")).alias("session_id"),
         clean(F.col("user_id")).alias("user_id"),
         F.lower(clean(F.col("event_type"))).alias("event_type"),
         clean(F.col("product_id")).alias("product_id"),
-        event_category(log.columns).alias("category"),
+        F.col("_category").alias("category"),
     )
 
 

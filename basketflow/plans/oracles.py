@@ -174,7 +174,7 @@ CATEGORY_CASES = """
 SELECT p_partkey, CASE p_partkey % 21
     WHEN 5 THEN NULL WHEN 6 THEN NULL WHEN 9 THEN CAST(p_partkey AS VARCHAR)
     WHEN 10 THEN NULL WHEN 11 THEN NULL WHEN 12 THEN NULL WHEN 13 THEN NULL
-    WHEN 14 THEN NULL WHEN 15 THEN NULL WHEN 16 THEN NULL WHEN 19 THEN 'P'
+    WHEN 14 THEN NULL WHEN 15 THEN NULL WHEN 16 THEN NULL
     ELSE p_type END AS category
 FROM part
 """
@@ -189,8 +189,7 @@ SELECT '{"user_id":"' || a.user_id || '","item_id":"' || item_id
             SELECT string_agg('{"rank":' || rank || ',"category":"' || category || '","score":' || score || '}',
                               ',' ORDER BY rank) FROM affinity f WHERE f.user_id = a.user_id), '')
        || '],"recommendations":['
-       || CASE WHEN recommendations = '' THEN '' ELSE
-            '{"item":"' || replace(replace(recommendations, ',', '},{"item":"'), ':', '","count":') || '}' END
+       || regexp_replace(recommendations, '([^:,]+):([0-9]+)', '{"item":"\\1","count":\\2}', 'g')
        || '],"available_source_items":['
        || CASE WHEN available_source_items = '' THEN '' ELSE
             '"' || replace(available_source_items, ',', '","') || '"' END

@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.functions.category import metadata_category
+from basketflow.functions.category import with_metadata_category
 from basketflow.functions.formats import as_json
 from basketflow.operators import abandonment as ab
 from basketflow.operators import affinity as af
@@ -183,9 +183,8 @@ def events_norm_stored(spark, sf_dir):
 @query
 def extract_category(spark, sf_dir):
     spelled = spelled_metadata(F.col("p_type"), F.col("p_partkey"))
-    return table(spark, sf_dir, "part").select(
-        "p_partkey", metadata_category(spelled).alias("category")
-    )
+    parts = with_metadata_category(table(spark, sf_dir, "part"), spelled, "category")
+    return parts.select("p_partkey", "category")
 
 
 @query
