@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions.text import clean
+from basketflow.functions.text import clean, strip
 
 # Where a category may stand, in order of precedence, both as
 # columns of the log and as fields of the product metadata.
@@ -34,12 +34,13 @@ def _parse(text: Column, schema: str) -> Column:
     return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), schema, _OPTIONS)
 
 
-def _first_field(parsed: Column) -> Column:
-    return F.coalesce(*[clean(parsed["v"][name]) for name in CATEGORY_FIELDS])
+def _malformed(text: Column) -> Column:
+    """Of a text that gave no object: is it no JSON at all?
 
-
-def _is_json(text: Column) -> Column:
-    return _parse(text, _ANY_VALUE)["_bad"].isNull()
+    Every field of an object can be read as text, so one that begins as an
+    object must be damaged; only the others need another parse to tell.
+    """
+    return text.startswith("{") | _parse(text, _ANY_VALUE)["_bad"].isNotNull()
 
 
 def _unquoted(text: Column) -> Column:
@@ -56,26 +57,31 @@ def with_metadata_category(df: DataFrame, metadata: Column, name: str) -> DataFr
     and it is parsed again; only if that fails too, the pattern is searched.
     Valid JSON without a category, or other than an object, gives NULL.
 
-    Each parse is a column of its own, so that it is done once and not again
-    for every field taken from it.
+    Done in steps of a few columns: each parse is evaluated once, and the code
+    generated for a step stays small enough for the JVM to compile.
     """
-    text, again = F.col("_text"), F.col("_again")
-    parsed, reparsed = F.col("_parsed"), F.col("_reparsed")
-    damaged = parsed["_bad"].isNotNull() & ~_is_json(text)
+    first, again, second = F.col("_first"), F.col("_again"), F.col("_second")
+    text = strip(F.col("_text"))
+    repaired = F.when(_malformed(text), _unquoted(text)).otherwise(text)
+    read = F.when(first["_bad"].isNull(), first["v"]).when(second["_bad"].isNull(), second["v"])
+    read_fields = {f"_read_{field}": strip(F.col("_read")[field]) for field in CATEGORY_FIELDS}
+    filled = [F.when(F.col(column) != "", F.col(column)) for column in read_fields]
     searched = clean(F.regexp_extract(again, CATEGORY_PATTERN, 1))
     return (
-        df.withColumn("_text", clean(metadata))
-        .withColumn("_parsed", _parse(text, _OBJECT))
-        .withColumn("_again", F.when(damaged, _unquoted(text)))
-        .withColumn("_reparsed", _parse(again, _OBJECT))
+        df.withColumn("_text", F.when(metadata != "", metadata))
+        .withColumn("_first", _parse(F.col("_text"), _OBJECT))
+        .withColumn("_again", F.when(first["_bad"].isNotNull(), repaired))
+        .withColumn("_second", _parse(again, _OBJECT))
+        .withColumn("_read", read)
+        .withColumns(read_fields)
+        .withColumn("_category", F.coalesce(*filled))
         .withColumn(
             name,
-            F.when(parsed["_bad"].isNull(), _first_field(parsed))
-            .when(again.isNull(), F.lit(None).cast("string"))
-            .when(reparsed["_bad"].isNull(), _first_field(reparsed))
-            .when(~_is_json(again), searched),
+            F.when(second["_bad"].isNotNull() & _malformed(again), searched).otherwise(
+                F.col("_category")
+            ),
         )
-        .drop("_text", "_parsed", "_again", "_reparsed")
+        .drop("_text", "_first", "_again", "_second", "_read", "_category", *read_fields)
     )
 
 

@@ -162,7 +162,7 @@ RAW = """
 SELECT CAST(l_orderkey AS VARCHAR) AS session_id, CAST(o_custkey AS VARCHAR) || ' ' AS user_id,
        CASE l_returnflag WHEN 'A' THEN 'view' WHEN 'N' THEN ' Cart ' ELSE 'PURCHASE' || chr(9) END AS event_type,
        CAST(l_partkey AS VARCHAR) AS product_id, l_extendedprice AS price,
-       CASE p_partkey % 10
+       CASE p_partkey % 50
          WHEN 7 THEN '{""category"": ""' || p_type || '"", ""brand"": ""' || p_brand || '""}'
          WHEN 8 THEN '{"brand": "' || p_brand || '", "category": "' || p_type || '", "cut'
          WHEN 9 THEN '{"brand":"' || p_brand || '","product_category":"' || p_type || '"}'

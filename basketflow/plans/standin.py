@@ -28,9 +28,9 @@ def _text(*parts: str | Column) -> Column:
 def written_metadata(category: Column, brand: Column, key: Column) -> Column:
     """Product metadata in the spellings a log has: all of them hold the category."""
     return (
-        F.when(key % 10 == 7, _text('{""category"": ""', category, '"", ""brand"": ""', brand, '""}'))
-        .when(key % 10 == 8, _text('{"brand": "', brand, '", "category": "', category, '", "cut'))
-        .when(key % 10 == 9, _json(brand=brand, product_category=category))
+        F.when(key % 50 == 7, _text('{""category"": ""', category, '"", ""brand"": ""', brand, '""}'))
+        .when(key % 50 == 8, _text('{"brand": "', brand, '", "category": "', category, '", "cut'))
+        .when(key % 50 == 9, _json(brand=brand, product_category=category))
         .otherwise(_json(category=category, brand=brand))
     )
 
