@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from basketflow.functions.text import clean, strip
+from basketflow.functions.text import WHITE_SPACE, clean, strip
 
 # Where a category may stand, in order of precedence, both as
 # columns of the log and as fields of the product metadata.
@@ -30,6 +32,15 @@ _ANY_VALUE = "v STRING, _bad STRING"
 _OPTIONS = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false"}
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with the value evaluated once however often it is used.
+
+    Steps in columns of their own would do the same only until a filter on the
+    result is pushed through them: that repeats each step for every use.
+    """
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _parse(text: Column, schema: str) -> Column:
     return F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), schema, _OPTIONS)
 
@@ -43,55 +54,53 @@ def _malformed(text: Column) -> Column:
     return text.startswith("{") | _parse(text, _ANY_VALUE)["_bad"].isNotNull()
 
 
-def _unquoted(text: Column) -> Column:
-    """Undo CSV quoting that was left in the text: doubled and enclosing quotes."""
+def _repaired(text: Column) -> Column:
+    """Undo CSV quoting that was left in the text: doubled and enclosing quotes.
+    Valid JSON other than an object stays as it is."""
     single = F.replace(text, F.lit('""'), F.lit('"'))
-    enclosed = single.startswith('"') & single.endswith('"') & (F.length(single) > 1)
-    return F.when(enclosed, single.substr(F.lit(2), F.length(single) - 2)).otherwise(single)
+    unquoted = F.regexp_replace(single, r'(?s)^"(.*)"\z', "$1")
+    return F.when(_malformed(text), unquoted).otherwise(text)
+
+
+def _first_filled(fields: Column) -> Column:
+    values = F.transform(F.array(*[fields[name] for name in CATEGORY_FIELDS]), strip)
+    return F.get(F.filter(values, lambda value: value != ""), F.lit(0))
+
 
+def _searched(text: Column) -> Column:
+    found = F.trim(F.regexp_extract(text, CATEGORY_PATTERN, 1), F.lit(WHITE_SPACE))
+    return _once(found, lambda value: F.when(value != "", value))
 
-def with_metadata_category(df: DataFrame, metadata: Column, name: str) -> DataFrame:
-    """Add the category found in a product metadata text, as column ``name``.
+
+def metadata_category(metadata: Column) -> Column:
+    """Category out of a product metadata text.
 
     The text is parsed as it is; only if it is no JSON, its quotes are undone
     and it is parsed again; only if that fails too, the pattern is searched.
     Valid JSON without a category, or other than an object, gives NULL.
-
-    Done in steps of a few columns: each parse is evaluated once, and the code
-    generated for a step stays small enough for the JVM to compile.
     """
-    first, again, second = F.col("_first"), F.col("_again"), F.col("_second")
-    text = strip(F.col("_text"))
-    repaired = F.when(_malformed(text), _unquoted(text)).otherwise(text)
-    read = F.when(first["_bad"].isNull(), first["v"]).when(second["_bad"].isNull(), second["v"])
-    read_fields = {f"_read_{field}": strip(F.col("_read")[field]) for field in CATEGORY_FIELDS}
-    filled = [F.when(F.col(column) != "", F.col(column)) for column in read_fields]
-    searched = clean(F.regexp_extract(again, CATEGORY_PATTERN, 1))
-    return (
-        df.withColumn("_text", F.when(metadata != "", metadata))
-        .withColumn("_first", _parse(F.col("_text"), _OBJECT))
-        .withColumn("_again", F.when(first["_bad"].isNotNull(), repaired))
-        .withColumn("_second", _parse(again, _OBJECT))
-        .withColumn("_read", read)
-        .withColumns(read_fields)
-        .withColumn("_category", F.coalesce(*filled))
-        .withColumn(
-            name,
-            F.when(second["_bad"].isNotNull() & _malformed(again), searched).otherwise(
-                F.col("_category")
+    text = F.when(metadata != "", metadata)
+
+    def from_first(first: Column) -> Column:
+        return F.when(first["_bad"].isNull(), _first_filled(first["v"])).otherwise(
+            _once(_once(strip(text), _repaired), from_repaired)
+        )
+
+    def from_repaired(again: Column) -> Column:
+        return _once(
+            _parse(again, _OBJECT),
+            lambda second: F.when(second["_bad"].isNull(), _first_filled(second["v"])).when(
+                _malformed(again), _searched(again)
             ),
         )
-        .drop("_text", "_first", "_again", "_second", "_read", "_category", *read_fields)
-    )
-
-
-def with_category(log: DataFrame, name: str) -> DataFrame:
-    """Add the category of each event: a category column of the log if one is
-    filled, else what the product metadata says."""
-    columns = [clean(F.col(field)) for field in CATEGORY_FIELDS if field in log.columns]
-    known = F.coalesce(*columns) if columns else F.lit(None).cast("string")
-    if "product_metadata" not in log.columns:
-        return log.withColumn(name, known)
-    needed = F.when(known.isNull(), F.col("product_metadata"))
-    found = with_metadata_category(log, needed, "_found")
-    return found.withColumn(name, F.coalesce(known, "_found")).drop("_found")
+
+    return _once(_parse(text, _OBJECT), from_first)
+
+
+def event_category(columns: list[str]) -> Column:
+    """Category of an event whose log has ``columns``: a category column if one
+    is filled, else what the product metadata says."""
+    found = [clean(F.col(name)) for name in CATEGORY_FIELDS if name in columns]
+    if "product_metadata" in columns:
+        found.append(metadata_category(F.col("product_metadata")))
+    return F.coalesce(*found) if found else F.lit(None).cast("string")

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from basketflow.operators.events import purchases
 
-# Products of one session that are paired in one group of rows.
-BLOCK_SIZE = 256
+# Purchases of one session that are paired in one group of rows.
+BLOCK_SIZE = 512
 
 
 def session_baskets(events: DataFrame) -> DataFrame:
@@ -22,24 +22,59 @@ def basket_sizes(baskets: DataFrame) -> DataFrame:
     return baskets.groupBy("session_id").agg(F.count(F.lit(1)).alias("n_products"))
 
 
-def basket_pairs(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
-    """(session_id, item_a, item_b) for any two products of a basket, a < b.
+def giant_sessions(events: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
+    """(session_id) of the sessions with more purchases than one group may hold.
 
-    A basket above ``block_size`` is dealt into blocks by the hash of its
-    products, and every two blocks (and each block with itself) form a group of
-    their own.  So the pairs of one giant session are made by many tasks, no
-    group grows beyond about two blocks, and every pair is made exactly once.
+    Counted on the map side first, so this moves one short row per session.
+    Store the result before pairing: then Spark knows how large it is, and
+    broadcasts it only if it is small.
     """
-    giant = (
-        basket_sizes(baskets)
-        .where(F.col("n_products") > block_size)
-        .select("session_id", F.ceil(F.col("n_products") / block_size).alias("blocks"))
+    return (
+        purchases(events)
+        .groupBy("session_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") > block_size)
+        .select("session_id")
+    )
+
+
+def basket_pairs(
+    events: DataFrame, giants: DataFrame, block_size: int = BLOCK_SIZE
+) -> DataFrame:
+    """(session_id, item_a, item_b) for any two products bought in a session, a < b.
+
+    ``giants`` is the stored result of ``giant_sessions``.  All other sessions
+    are gathered in one shuffle, each in a row of at most ``block_size``
+    products.  The giant ones are paired in blocks, by many tasks.
+    """
+    bought = purchases(events)
+    small = bought.join(giants, "session_id", "left_anti")
+    large = bought.join(giants, "session_id", "left_semi").distinct()
+    return _pairs_of_small(small).unionByName(_pairs_of_large(large, block_size))
+
+
+def _pairs_of_small(bought: DataFrame) -> DataFrame:
+    baskets = bought.groupBy("session_id").agg(F.collect_set("product_id").alias("items"))
+    larger = F.filter("items", lambda item: item > F.col("item_a"))
+    return (
+        baskets.where(F.size("items") > 1)
+        .select("session_id", "items", F.explode("items").alias("item_a"))
+        .select("session_id", "item_a", F.explode(larger).alias("item_b"))
+    )
+
+
+def _pairs_of_large(baskets: DataFrame, block_size: int) -> DataFrame:
+    """Pairs of baskets of any size, without gathering a basket anywhere.
+
+    A basket is dealt into blocks by the hash of its products, and every two
+    blocks, and each block with itself, form a group of their own.  A group
+    holds two blocks at most, and every pair is made in exactly one group.
+    """
+    blocks = basket_sizes(baskets).select(
+        "session_id", F.ceil(F.col("n_products") / block_size).alias("blocks")
     )
     dealt = (
-        # Few sessions are that large: AQE broadcasts them if they are small
-        # enough, else the join is shuffled and a hot session split.
-        baskets.join(giant, "session_id", "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+        baskets.join(blocks, "session_id")
         .withColumn("block", F.pmod(F.xxhash64("product_id"), F.col("blocks")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select(
@@ -49,24 +84,17 @@ def basket_pairs(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
         )
-        # Named in full: a partitioning by session alone would satisfy the
-        # grouping below too, and bring a giant session back to one task.
+        # Named in full: the partitioning by session that the join leaves would
+        # satisfy the grouping too, and keep a giant session in one task.
         .repartition("session_id", "low", "high")
     )
-    from_low = F.col("block") == F.col("low")
-    from_high = F.col("block") == F.col("high")
     groups = dealt.groupBy("session_id", "low", "high").agg(
-        F.collect_list(F.when(from_low, F.col("product_id"))).alias("lefts"),
-        F.collect_list(F.when(from_high, F.col("product_id"))).alias("rights"),
+        _products_of("low").alias("lefts"), _products_of("high").alias("rights")
     )
-    # Within one block only the larger partner is taken; between two blocks all
-    # partners are, and the two products are put in order afterwards.
-    partners = F.when(
-        F.col("low") == F.col("high"), F.filter("rights", lambda item: item > F.col("left"))
-    ).otherwise(F.col("rights"))
+    within = F.filter("rights", lambda item: item > F.col("left"))
+    partners = F.when(F.col("low") == F.col("high"), within).otherwise(F.col("rights"))
     return (
-        groups.where((F.size("lefts") > 0) & ((F.size("rights") > 1) | (F.col("low") < F.col("high"))))
-        .select("session_id", "low", "high", "rights", F.explode("lefts").alias("left"))
+        groups.select("session_id", "low", "high", "rights", F.explode("lefts").alias("left"))
         .select("session_id", "left", F.explode(partners).alias("right"))
         .select(
             "session_id",
@@ -76,14 +104,20 @@ def basket_pairs(baskets: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     )
 
 
-def pair_counts(events: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
+def _products_of(block: str) -> Column:
+    return F.collect_list(F.when(F.col("block") == F.col(block), F.col("product_id")))
+
+
+def pair_counts(
+    events: DataFrame, giants: DataFrame, block_size: int = BLOCK_SIZE
+) -> DataFrame:
     """(item_a, item_b, count): sessions in which both were bought.
 
     Counted on the map side first, so a pair bought everywhere arrives as one
     row per task.
     """
     return (
-        basket_pairs(session_baskets(events), block_size)
+        basket_pairs(events, giants, block_size)
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("count"))
     )

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.functions.category import with_category
+from basketflow.functions.category import event_category
 from basketflow.functions.text import clean
 
 REQUIRED_COLUMNS = ("session_id", "user_id", "event_type", "product_id")
@@ -32,22 +32,26 @@ def normalize_events(log: DataFrame) -> DataFrame:
     empty or missing becomes NULL; each product drops the rows it cannot use.
     """
     require_columns(log)
-    return with_category(log, "_category").select(
+    return log.select(
         clean(F.col("session_id")).alias("session_id"),
         clean(F.col("user_id")).alias("user_id"),
         F.lower(clean(F.col("event_type"))).alias("event_type"),
         clean(F.col("product_id")).alias("product_id"),
-        F.col("_category").alias("category"),
+        event_category(log.columns).alias("category"),
     )
 
 
+def with_values(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which none of the columns is NULL (a filter that reaches the scan)."""
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
+
+
 def purchases(events: DataFrame) -> DataFrame:
     """(session_id, product_id) of every purchase."""
-    return (
-        events.where(F.col("event_type") == "purchase")
-        .select("session_id", "product_id")
-        .dropna()
-    )
+    bought = events.where(F.col("event_type") == "purchase")
+    return with_values(bought, "session_id", "product_id").select("session_id", "product_id")
 
 
 def event_weight(weights: Mapping[str, int]) -> Column:
@@ -66,13 +70,10 @@ def weighted_events(
     that the filter reaches the scan.
     """
     counted = [event_type for event_type, weight in weights.items() if weight > 0]
-    return (
-        events.where(F.col("event_type").isin(counted))
-        .select("user_id", key, event_weight(weights).alias("weight"))
-        .dropna()
-    )
+    valid = with_values(events.where(F.col("event_type").isin(counted)), "user_id", key)
+    return valid.select("user_id", key, event_weight(weights).alias("weight"))
 
 
 def session_events(events: DataFrame) -> DataFrame:
     """Events with session, user, product and type; the category may be absent."""
-    return events.select(*REQUIRED_COLUMNS, "category").dropna(subset=list(REQUIRED_COLUMNS))
+    return with_values(events, *REQUIRED_COLUMNS).select(*REQUIRED_COLUMNS, "category")

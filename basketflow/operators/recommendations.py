@@ -26,7 +26,9 @@ def top_co_items_nested(edges: DataFrame, n: int) -> DataFrame:
     )
 
 
-def enough_neighbours(max_co_items: int, max_source_items: int) -> int:
+def enough_neighbours(
+    max_co_items: int = MAX_CO_ITEMS, max_source_items: int = MAX_SOURCE_ITEMS
+) -> int:
     """How many neighbours of an item can matter.
 
     An item is no neighbour of itself, so at most ``max_source_items - 1`` of
@@ -38,18 +40,17 @@ def enough_neighbours(max_co_items: int, max_source_items: int) -> int:
 
 def candidate_recommendations(
     source_items: DataFrame,
-    edges: DataFrame,
-    max_co_items: int = MAX_CO_ITEMS,
+    neighbours: DataFrame,
     max_source_items: int = MAX_SOURCE_ITEMS,
 ) -> DataFrame:
     """(user_id, source_rank, source_item, candidates): the neighbours of each
     source item that can still be recommended, without the user's own items.
 
-    ``source_items`` is the nested form.  Both arrays are bounded, so taking
-    out the own items is an expression on the row and needs no further join;
-    the one join is by item, against one row per item.
+    Both inputs are nested: one list per user, one array of the best (at least
+    ``enough_neighbours``) per item.  Both arrays are bounded, so taking out the
+    own items is an expression on the row and needs no further join; the one
+    join is by item, against one row per item.
     """
-    neighbours = top_co_items_nested(edges, enough_neighbours(max_co_items, max_source_items))
     listed = source_items.select(
         "user_id",
         _no_longer_than("source_items", max_source_items).alias("own"),
@@ -74,14 +75,14 @@ def _no_longer_than(column: str, limit: int) -> Column:
 
 def recommendation_blocks(
     source_items: DataFrame,
-    edges: DataFrame,
+    neighbours: DataFrame,
     max_co_items: int = MAX_CO_ITEMS,
     max_source_items: int = MAX_SOURCE_ITEMS,
 ) -> DataFrame:
     """(user_id, source_rank, source_item, co_items): the best ``max_co_items``
     candidates; a source item without candidates has no block."""
     return (
-        candidate_recommendations(source_items, edges, max_co_items, max_source_items)
+        candidate_recommendations(source_items, neighbours, max_source_items)
         .where(F.size("candidates") > 0)
         .select(
             "user_id",

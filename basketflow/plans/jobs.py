@@ -15,6 +15,7 @@ from basketflow.operators.affinity import TOP_CATEGORIES, user_affinity, user_ca
 from basketflow.operators.baskets import (
     BLOCK_SIZE,
     co_occurrence_edges,
+    giant_sessions,
     pair_counts,
     pair_documents,
     pairs_ranked,
@@ -22,33 +23,53 @@ from basketflow.operators.baskets import (
 from basketflow.operators.events import normalize_events
 from basketflow.operators.lookup import DEFAULT_LIMIT, lookup_batch
 from basketflow.operators.profiles import merge_upsert, user_profiles
-from basketflow.operators.recommendations import MAX_CO_ITEMS, recommendation_blocks
+from basketflow.operators.recommendations import (
+    enough_neighbours,
+    recommendation_blocks,
+    top_co_items_nested,
+)
 from basketflow.operators.source_items import (
     MAX_SOURCE_ITEMS,
     user_item_scores,
     user_source_items,
     user_source_items_nested,
 )
+from basketflow.plans.scratch import scratch_path
 from basketflow.sources.events import read_normalized, write_normalized
 from basketflow.sources.tables import (
     read_profile_top_categories,
     read_table,
     write_json,
+    write_new,
     write_over,
     write_sorted,
 )
 
+# Neighbours stored per item: enough for the profiles, and for most lookups.
+NEIGHBOURS = enough_neighbours()
+
 
 def store_events(log: DataFrame, events_path: str) -> None:
     """Clean the raw log once, for all the jobs below."""
     write_normalized(normalize_events(log), events_path)
 
 
+def stored_giants(
+    spark: SparkSession, events: DataFrame, block_size: int = BLOCK_SIZE
+) -> DataFrame:
+    """The giant sessions of a log, written to the shared folder and read back:
+    from its files Spark knows whether the table is small enough to broadcast."""
+    path = scratch_path(spark, "giants")
+    write_new(giant_sessions(events, block_size), path)
+    return read_table(spark, path)
+
+
 def market_basket(
     spark: SparkSession, events_path: str, pairs_path: str, block_size: int = BLOCK_SIZE
 ) -> None:
     purchased = read_normalized(spark, events_path, "purchase")
-    write_over(pairs_ranked(pair_counts(purchased, block_size)), pairs_path)
+    giants = stored_giants(spark, purchased, block_size)
+    write_over(pairs_ranked(pair_counts(purchased, giants, block_size)), pairs_path)
 
 
 def affinity(spark: SparkSession, events_path: str, affinity_path: str) -> None:
@@ -64,9 +85,12 @@ def source_items(
     write_over(user_source_items_nested(strongest), items_path)
 
 
-def edges(spark: SparkSession, pairs_path: str, edges_path: str) -> None:
-    """The pairs in both directions, laid out for lookups by item."""
-    write_sorted(co_occurrence_edges(read_table(spark, pairs_path)), edges_path, "source_item")
+def neighbours(
+    spark: SparkSession, pairs_path: str, neighbours_path: str, depth: int = NEIGHBOURS
+) -> None:
+    """The best neighbours of each item, laid out for lookups by item."""
+    edges = co_occurrence_edges(read_table(spark, pairs_path))
+    write_sorted(top_co_items_nested(edges, depth), neighbours_path, "source_item")
 
 
 def upsert_into(
@@ -95,18 +119,13 @@ def load_profiles(
     spark: SparkSession,
     affinity_path: str,
     items_path: str,
-    edges_path: str,
+    neighbours_path: str,
     new_path: str,
     current_path: str | None = None,
     run_ts: datetime | None = None,
-    max_co_items: int = MAX_CO_ITEMS,
-    max_source_items: int = MAX_SOURCE_ITEMS,
 ) -> None:
     blocks = recommendation_blocks(
-        read_table(spark, items_path),
-        read_table(spark, edges_path),
-        max_co_items,
-        max_source_items,
+        read_table(spark, items_path), read_table(spark, neighbours_path)
     )
     updates = user_profiles(read_table(spark, affinity_path), blocks, run_ts)
     upsert_into(spark, updates, "user_id", current_path, new_path)
@@ -129,31 +148,36 @@ def lookups(
     spark: SparkSession,
     requests: DataFrame,
     profiles_path: str,
-    edges_path: str,
+    neighbours_path: str,
+    pairs_path: str,
     limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
-    return lookup_batch(
-        requests, read_table(spark, profiles_path), read_table(spark, edges_path), limit
-    )
+    """Answer requests from the stored tables; a ``limit`` beyond the stored
+    neighbours is served from the pairs."""
+    if limit <= NEIGHBOURS:
+        nearest = read_table(spark, neighbours_path)
+    else:
+        nearest = top_co_items_nested(co_occurrence_edges(read_table(spark, pairs_path)), limit)
+    return lookup_batch(requests, read_table(spark, profiles_path), nearest, limit)
 
 
 def build_all(
     spark: SparkSession, log: DataFrame, root: str, run_ts: datetime | None = None
 ) -> dict[str, str]:
     """Run every job on a raw log, from an empty store; paths of the tables."""
-    names = "events pairs affinity source_items edges pair_documents profiles targeting"
+    names = "events pairs affinity source_items neighbours pair_documents profiles targeting"
     paths = {name: f"{root.rstrip('/')}/{name}" for name in names.split()}
     store_events(log, paths["events"])
     market_basket(spark, paths["events"], paths["pairs"])
     affinity(spark, paths["events"], paths["affinity"])
     source_items(spark, paths["events"], paths["source_items"])
-    edges(spark, paths["pairs"], paths["edges"])
+    neighbours(spark, paths["pairs"], paths["neighbours"])
     load_pairs(spark, paths["pairs"], paths["pair_documents"], run_ts=run_ts)
     load_profiles(
         spark,
         paths["affinity"],
         paths["source_items"],
-        paths["edges"],
+        paths["neighbours"],
         paths["profiles"],
         run_ts=run_ts,
     )

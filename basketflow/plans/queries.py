@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.functions.category import with_metadata_category
+from basketflow.functions.category import metadata_category
 from basketflow.functions.formats import as_json
 from basketflow.operators import abandonment as ab
 from basketflow.operators import affinity as af
@@ -88,14 +88,21 @@ def source_lists(events: DataFrame) -> DataFrame:
     return si.user_source_items_nested(si.user_source_items(si.user_item_scores(events)))
 
 
-def blocks(events: DataFrame) -> DataFrame:
-    return rc.recommendation_blocks(
-        source_lists(events), bk.co_occurrence_edges(bk.pair_counts(events))
-    )
+def pairs(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return bk.pair_counts(events, jobs.stored_giants(spark, events))
+
+
+def neighbours(spark: SparkSession, events: DataFrame) -> DataFrame:
+    edges = bk.co_occurrence_edges(pairs(spark, events))
+    return rc.top_co_items_nested(edges, rc.enough_neighbours())
+
 
+def blocks(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return rc.recommendation_blocks(source_lists(events), neighbours(spark, events))
 
-def profiles(events: DataFrame) -> DataFrame:
-    return pf.user_profiles(af.user_affinity(scores(events)), blocks(events), RUN_TS)
+
+def profiles(spark: SparkSession, events: DataFrame) -> DataFrame:
+    return pf.user_profiles(af.user_affinity(scores(events)), blocks(spark, events), RUN_TS)
 
 
 def flagged(events: DataFrame) -> DataFrame:
@@ -146,7 +153,7 @@ def lookup_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     return (
         requests(spark, sf_dir, paths),
         tables.read_table(spark, paths["profiles"]),
-        tables.read_table(spark, paths["edges"]),
+        tables.read_table(spark, paths["neighbours"]),
     )
 
 
@@ -183,8 +190,9 @@ def events_norm_stored(spark, sf_dir):
 @query
 def extract_category(spark, sf_dir):
     spelled = spelled_metadata(F.col("p_type"), F.col("p_partkey"))
-    parts = with_metadata_category(table(spark, sf_dir, "part"), spelled, "category")
-    return parts.select("p_partkey", "category")
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", metadata_category(spelled).alias("category")
+    )
 
 
 @query
@@ -217,27 +225,28 @@ def basket_sizes(spark, sf_dir):
 
 @query
 def basket_pairs(spark, sf_dir):
-    return bk.basket_pairs(bk.session_baskets(shop_events(spark, sf_dir)))
+    events = shop_events(spark, sf_dir)
+    return bk.basket_pairs(events, jobs.stored_giants(spark, events))
 
 
 @query
 def pair_counts(spark, sf_dir):
-    return bk.pair_counts(shop_events(spark, sf_dir))
+    return pairs(spark, shop_events(spark, sf_dir))
 
 
 @query
 def pairs_ranked(spark, sf_dir):
-    return bk.pairs_ranked(bk.pair_counts(shop_events(spark, sf_dir)))
+    return bk.pairs_ranked(pairs(spark, shop_events(spark, sf_dir)))
 
 
 @query
 def top_pairs(spark, sf_dir):
-    return bk.top_pairs(bk.pair_counts(shop_events(spark, sf_dir)))
+    return bk.top_pairs(pairs(spark, shop_events(spark, sf_dir)))
 
 
 @query
 def pair_documents(spark, sf_dir):
-    documents = bk.pair_documents(bk.pair_counts(shop_events(spark, sf_dir)), RUN_TS)
+    documents = bk.pair_documents(pairs(spark, shop_events(spark, sf_dir)), RUN_TS)
     return documents.withColumn("items", joined(F.col("items"))).drop("updated_at")
 
 
@@ -246,18 +255,18 @@ def pairs_with_item(spark, sf_dir):
     """Pairs with any item that was put in a cart."""
     events = shop_events(spark, sf_dir)
     wanted = events.where(F.col("event_type") == "cart").select(F.col("product_id").alias("item_id"))
-    return bk.pairs_with_item(bk.pair_documents(bk.pair_counts(events)), wanted)
+    return bk.pairs_with_item(bk.pair_documents(pairs(spark, events)), wanted)
 
 
 @query
 def co_occurrence_edges(spark, sf_dir):
-    return bk.co_occurrence_edges(bk.pair_counts(shop_events(spark, sf_dir)))
+    return bk.co_occurrence_edges(pairs(spark, shop_events(spark, sf_dir)))
 
 
 @query
 def handoff_pairs(spark, sf_dir):
     path = scratch_path(spark, "pairs")
-    tables.write_new(bk.pairs_ranked(bk.pair_counts(shop_events(spark, sf_dir))), path)
+    tables.write_new(bk.pairs_ranked(pairs(spark, shop_events(spark, sf_dir))), path)
     return tables.read_table(spark, path)
 
 
@@ -289,7 +298,7 @@ def top_categories(spark, sf_dir):
 @query
 def profile_top_categories(spark, sf_dir):
     path = scratch_path(spark, "profiles")
-    tables.write_new(profiles(shop_events(spark, sf_dir)), path)
+    tables.write_new(profiles(spark, shop_events(spark, sf_dir)), path)
     top = tables.read_profile_top_categories(spark, path, af.TOP_CATEGORIES)
     return top.select("user_id", joined(F.col("user_top_categories")).alias("user_top_categories"))
 
@@ -323,15 +332,14 @@ def scan_source_items_json(spark, sf_dir):
 
 @query
 def top_co_items(spark, sf_dir):
-    edges = bk.co_occurrence_edges(bk.pair_counts(shop_events(spark, sf_dir)))
+    edges = bk.co_occurrence_edges(pairs(spark, shop_events(spark, sf_dir)))
     return rc.top_co_items(edges, rc.MAX_CO_ITEMS)
 
 
 @query
 def candidate_recommendations(spark, sf_dir):
     events = shop_events(spark, sf_dir)
-    edges = bk.co_occurrence_edges(bk.pair_counts(events))
-    found = rc.candidate_recommendations(source_lists(events), edges)
+    found = rc.candidate_recommendations(source_lists(events), neighbours(spark, events))
     return found.select(
         "user_id", "source_rank", "source_item", F.inline("candidates")
     )
@@ -339,12 +347,12 @@ def candidate_recommendations(spark, sf_dir):
 
 @query
 def user_recommendations(spark, sf_dir):
-    return rc.user_recommendations(blocks(shop_events(spark, sf_dir)))
+    return rc.user_recommendations(blocks(spark, shop_events(spark, sf_dir)))
 
 
 @query
 def user_recommendations_nested(spark, sf_dir):
-    nested = rc.user_recommendations_nested(blocks(shop_events(spark, sf_dir)))
+    nested = rc.user_recommendations_nested(blocks(spark, shop_events(spark, sf_dir)))
     return nested.select(
         "user_id", blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations")
     )
@@ -353,12 +361,12 @@ def user_recommendations_nested(spark, sf_dir):
 @query
 def user_profiles_flat(spark, sf_dir):
     events = shop_events(spark, sf_dir)
-    return pf.user_profiles_flat(af.user_affinity(scores(events)), blocks(events))
+    return pf.user_profiles_flat(af.user_affinity(scores(events)), blocks(spark, events))
 
 
 @query
 def user_profiles_nested(spark, sf_dir):
-    return profiles(shop_events(spark, sf_dir)).select(
+    return profiles(spark, shop_events(spark, sf_dir)).select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
         blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations"),
@@ -367,15 +375,15 @@ def user_profiles_nested(spark, sf_dir):
 
 @query
 def profiles_exploded(spark, sf_dir):
-    return pf.profiles_exploded(profiles(shop_events(spark, sf_dir)))
+    return pf.profiles_exploded(profiles(spark, shop_events(spark, sf_dir)))
 
 
 @query
 def upsert_pairs(spark, sf_dir):
     first, second = loads(spark, sf_dir)
     merged = pf.merge_upsert(
-        bk.pair_documents(bk.pair_counts(first), RUN_TS),
-        bk.pair_documents(bk.pair_counts(second), RUN_TS),
+        bk.pair_documents(pairs(spark, first), RUN_TS),
+        bk.pair_documents(pairs(spark, second), RUN_TS),
         "pair_id",
     )
     return merged.select("pair_id", "item_a", "item_b", "count")
@@ -384,7 +392,7 @@ def upsert_pairs(spark, sf_dir):
 @query
 def upsert_profiles(spark, sf_dir):
     first, second = loads(spark, sf_dir)
-    merged = pf.merge_upsert(profiles(first), profiles(second), "user_id")
+    merged = pf.merge_upsert(profiles(spark, first), profiles(spark, second), "user_id")
     return merged.select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
@@ -396,7 +404,7 @@ def upsert_profiles(spark, sf_dir):
 def upsert_metrics(spark, sf_dir):
     first, second = loads(spark, sf_dir)
     return pf.upsert_metrics(
-        bk.pair_documents(bk.pair_counts(first)), bk.pair_documents(bk.pair_counts(second)), "pair_id"
+        bk.pair_documents(pairs(spark, first)), bk.pair_documents(pairs(spark, second)), "pair_id"
     )
 
 
@@ -462,13 +470,13 @@ def lookup_embedded(spark, sf_dir):
 def lookup_available_items(spark, sf_dir):
     events = shop_events(spark, sf_dir)
     available = lk.available_source_items(F.col("co_occurrence_recommendations"))
-    return profiles(events).select("user_id", joined(available).alias("available_source_items"))
+    return profiles(spark, events).select("user_id", joined(available).alias("available_source_items"))
 
 
 @query
 def global_recommendations(spark, sf_dir):
-    asked, _, edges = lookup_inputs(spark, sf_dir)
-    return lk.global_recommendations(asked, edges).select(
+    asked, _, nearest = lookup_inputs(spark, sf_dir)
+    return lk.global_recommendations(asked, nearest).select(
         "user_id", "item_id", co_items_text(F.col("global_recommendations")).alias("recommendations")
     )
 
@@ -505,7 +513,7 @@ def click_events_norm(spark, sf_dir):
 
 @query
 def click_pairs_ranked(spark, sf_dir):
-    return bk.pairs_ranked(bk.pair_counts(click_events(spark, sf_dir)))
+    return bk.pairs_ranked(pairs(spark, click_events(spark, sf_dir)))
 
 
 @query
@@ -520,7 +528,7 @@ def click_user_source_items(spark, sf_dir):
 
 @query
 def click_user_recommendations(spark, sf_dir):
-    return rc.user_recommendations(blocks(click_events(spark, sf_dir)))
+    return rc.user_recommendations(blocks(spark, click_events(spark, sf_dir)))
 
 
 @query
