@@ -161,12 +161,17 @@ def lookups(
     return lookup_batch(requests, read_table(spark, profiles_path), nearest, limit)
 
 
+def table_paths(root: str) -> dict[str, str]:
+    """Where ``build_all`` keeps each table."""
+    names = "events pairs affinity source_items neighbours pair_documents profiles targeting"
+    return {name: f"{root.rstrip('/')}/{name}" for name in names.split()}
+
+
 def build_all(
     spark: SparkSession, log: DataFrame, root: str, run_ts: datetime | None = None
 ) -> dict[str, str]:
     """Run every job on a raw log, from an empty store; paths of the tables."""
-    names = "events pairs affinity source_items neighbours pair_documents profiles targeting"
-    paths = {name: f"{root.rstrip('/')}/{name}" for name in names.split()}
+    paths = table_paths(root)
     store_events(log, paths["events"])
     market_basket(spark, paths["events"], paths["pairs"])
     affinity(spark, paths["events"], paths["affinity"])

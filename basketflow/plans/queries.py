@@ -26,6 +26,7 @@ from basketflow.plans import jobs
 from basketflow.plans.scratch import scratch_path
 from basketflow.plans.standin import (
     click_events,
+    click_log,
     shop_events,
     shop_log,
     spelled_metadata,
@@ -124,11 +125,54 @@ def loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return ev.normalize_events(log.where(first)), ev.normalize_events(log.where(~first))
 
 
+def stored_once(
+    spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], object]
+) -> str:
+    """Path of a table written on first use and shared by the queries of a session.
+
+    This is how the jobs work too: the log is cleaned and stored once, and each
+    product reads the kinds of events it needs from there.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        write(path)
+        _STORED[key] = path
+    return _STORED[key]
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def shop(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    path = stored_once(
+        spark,
+        sf_dir,
+        "shop-events",
+        lambda new: jobs.store_events(shop_log(spark, sf_dir), new),
+    )
+    return log_files.read_normalized(spark, path, *kinds)
+
+
+def clicks(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
+    path = stored_once(
+        spark,
+        sf_dir,
+        "click-events",
+        lambda new: jobs.store_events(click_log(spark, sf_dir), new),
+    )
+    return log_files.read_normalized(spark, path, *kinds)
+
+
 def stored(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Every job's table, as the lookups find them."""
-    return jobs.build_all(
-        spark, shop_log(spark, sf_dir), scratch_path(spark, "store"), RUN_TS
+    root = stored_once(
+        spark,
+        sf_dir,
+        "store",
+        lambda new: jobs.build_all(spark, shop_log(spark, sf_dir), new, RUN_TS),
     )
+    return jobs.table_paths(root)
 
 
 def requests(spark: SparkSession, sf_dir: str, paths: dict[str, str]) -> DataFrame:
@@ -202,12 +246,12 @@ def purchases(spark, sf_dir):
 
 @query
 def weighted_events(spark, sf_dir):
-    return ev.weighted_events(shop_events(spark, sf_dir), "category")
+    return ev.weighted_events(shop(spark, sf_dir), "category")
 
 
 @query
 def session_events(spark, sf_dir):
-    return ev.session_events(shop_events(spark, sf_dir))
+    return ev.session_events(shop(spark, sf_dir))
 
 
 # --- products bought together -----------------------------------------------
@@ -215,58 +259,58 @@ def session_events(spark, sf_dir):
 
 @query
 def session_baskets(spark, sf_dir):
-    return bk.session_baskets(shop_events(spark, sf_dir))
+    return bk.session_baskets(shop(spark, sf_dir, "purchase"))
 
 
 @query
 def basket_sizes(spark, sf_dir):
-    return bk.basket_sizes(bk.session_baskets(shop_events(spark, sf_dir)))
+    return bk.basket_sizes(bk.session_baskets(shop(spark, sf_dir, "purchase")))
 
 
 @query
 def basket_pairs(spark, sf_dir):
-    events = shop_events(spark, sf_dir)
+    events = shop(spark, sf_dir, "purchase")
     return bk.basket_pairs(events, jobs.stored_giants(spark, events))
 
 
 @query
 def pair_counts(spark, sf_dir):
-    return pairs(spark, shop_events(spark, sf_dir))
+    return pairs(spark, shop(spark, sf_dir, "purchase"))
 
 
 @query
 def pairs_ranked(spark, sf_dir):
-    return bk.pairs_ranked(pairs(spark, shop_events(spark, sf_dir)))
+    return bk.pairs_ranked(pairs(spark, shop(spark, sf_dir, "purchase")))
 
 
 @query
 def top_pairs(spark, sf_dir):
-    return bk.top_pairs(pairs(spark, shop_events(spark, sf_dir)))
+    return bk.top_pairs(pairs(spark, shop(spark, sf_dir, "purchase")))
 
 
 @query
 def pair_documents(spark, sf_dir):
-    documents = bk.pair_documents(pairs(spark, shop_events(spark, sf_dir)), RUN_TS)
+    documents = bk.pair_documents(pairs(spark, shop(spark, sf_dir, "purchase")), RUN_TS)
     return documents.withColumn("items", joined(F.col("items"))).drop("updated_at")
 
 
 @query
 def pairs_with_item(spark, sf_dir):
     """Pairs with any item that was put in a cart."""
-    events = shop_events(spark, sf_dir)
+    events = shop(spark, sf_dir, "cart", "purchase")
     wanted = events.where(F.col("event_type") == "cart").select(F.col("product_id").alias("item_id"))
     return bk.pairs_with_item(bk.pair_documents(pairs(spark, events)), wanted)
 
 
 @query
 def co_occurrence_edges(spark, sf_dir):
-    return bk.co_occurrence_edges(pairs(spark, shop_events(spark, sf_dir)))
+    return bk.co_occurrence_edges(pairs(spark, shop(spark, sf_dir, "purchase")))
 
 
 @query
 def handoff_pairs(spark, sf_dir):
     path = scratch_path(spark, "pairs")
-    tables.write_new(bk.pairs_ranked(pairs(spark, shop_events(spark, sf_dir))), path)
+    tables.write_new(bk.pairs_ranked(pairs(spark, shop(spark, sf_dir, "purchase"))), path)
     return tables.read_table(spark, path)
 
 
@@ -275,54 +319,54 @@ def handoff_pairs(spark, sf_dir):
 
 @query
 def user_category_scores(spark, sf_dir):
-    return scores(shop_events(spark, sf_dir))
+    return scores(shop(spark, sf_dir))
 
 
 @query
 def user_affinity(spark, sf_dir):
-    return af.user_affinity(scores(shop_events(spark, sf_dir)))
+    return af.user_affinity(scores(shop(spark, sf_dir)))
 
 
 @query
 def user_affinity_nested(spark, sf_dir):
-    nested = af.user_affinity_nested(af.user_affinity(scores(shop_events(spark, sf_dir))))
+    nested = af.user_affinity_nested(af.user_affinity(scores(shop(spark, sf_dir))))
     return nested.select("user_id", categories_text(F.col("top_categories")).alias("top_categories"))
 
 
 @query
 def top_categories(spark, sf_dir):
-    top = af.top_categories(scores(shop_events(spark, sf_dir)))
+    top = af.top_categories(scores(shop(spark, sf_dir)))
     return top.select("user_id", joined(F.col("user_top_categories")).alias("user_top_categories"))
 
 
 @query
 def profile_top_categories(spark, sf_dir):
     path = scratch_path(spark, "profiles")
-    tables.write_new(profiles(spark, shop_events(spark, sf_dir)), path)
+    tables.write_new(profiles(spark, shop(spark, sf_dir)), path)
     top = tables.read_profile_top_categories(spark, path, af.TOP_CATEGORIES)
     return top.select("user_id", joined(F.col("user_top_categories")).alias("user_top_categories"))
 
 
 @query
 def user_item_scores(spark, sf_dir):
-    return si.user_item_scores(shop_events(spark, sf_dir))
+    return si.user_item_scores(shop(spark, sf_dir, "cart", "purchase"))
 
 
 @query
 def user_source_items(spark, sf_dir):
-    return si.user_source_items(si.user_item_scores(shop_events(spark, sf_dir)))
+    return si.user_source_items(si.user_item_scores(shop(spark, sf_dir, "cart", "purchase")))
 
 
 @query
 def user_source_items_nested(spark, sf_dir):
-    nested = source_lists(shop_events(spark, sf_dir))
+    nested = source_lists(shop(spark, sf_dir, "cart", "purchase"))
     return nested.select("user_id", joined(F.col("source_items")).alias("source_items"))
 
 
 @query
 def scan_source_items_json(spark, sf_dir):
     path = scratch_path(spark, "source-items")
-    tables.write_json(source_lists(shop_events(spark, sf_dir)), path)
+    tables.write_json(source_lists(shop(spark, sf_dir, "cart", "purchase")), path)
     listed = tables.read_source_items_json(spark, path)
     return listed.select("user_id", joined(F.col("source_items")).alias("source_items"))
 
@@ -332,13 +376,13 @@ def scan_source_items_json(spark, sf_dir):
 
 @query
 def top_co_items(spark, sf_dir):
-    edges = bk.co_occurrence_edges(pairs(spark, shop_events(spark, sf_dir)))
+    edges = bk.co_occurrence_edges(pairs(spark, shop(spark, sf_dir, "purchase")))
     return rc.top_co_items(edges, rc.MAX_CO_ITEMS)
 
 
 @query
 def candidate_recommendations(spark, sf_dir):
-    events = shop_events(spark, sf_dir)
+    events = shop(spark, sf_dir, "cart", "purchase")
     found = rc.candidate_recommendations(source_lists(events), neighbours(spark, events))
     return found.select(
         "user_id", "source_rank", "source_item", F.inline("candidates")
@@ -347,12 +391,12 @@ def candidate_recommendations(spark, sf_dir):
 
 @query
 def user_recommendations(spark, sf_dir):
-    return rc.user_recommendations(blocks(spark, shop_events(spark, sf_dir)))
+    return rc.user_recommendations(blocks(spark, shop(spark, sf_dir, "cart", "purchase")))
 
 
 @query
 def user_recommendations_nested(spark, sf_dir):
-    nested = rc.user_recommendations_nested(blocks(spark, shop_events(spark, sf_dir)))
+    nested = rc.user_recommendations_nested(blocks(spark, shop(spark, sf_dir, "cart", "purchase")))
     return nested.select(
         "user_id", blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations")
     )
@@ -360,13 +404,13 @@ def user_recommendations_nested(spark, sf_dir):
 
 @query
 def user_profiles_flat(spark, sf_dir):
-    events = shop_events(spark, sf_dir)
+    events = shop(spark, sf_dir)
     return pf.user_profiles_flat(af.user_affinity(scores(events)), blocks(spark, events))
 
 
 @query
 def user_profiles_nested(spark, sf_dir):
-    return profiles(spark, shop_events(spark, sf_dir)).select(
+    return profiles(spark, shop(spark, sf_dir)).select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
         blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations"),
@@ -375,7 +419,7 @@ def user_profiles_nested(spark, sf_dir):
 
 @query
 def profiles_exploded(spark, sf_dir):
-    return pf.profiles_exploded(profiles(spark, shop_events(spark, sf_dir)))
+    return pf.profiles_exploded(profiles(spark, shop(spark, sf_dir)))
 
 
 @query
@@ -413,32 +457,32 @@ def upsert_metrics(spark, sf_dir):
 
 @query
 def session_summary(spark, sf_dir):
-    return ab.session_summary(shop_events(spark, sf_dir))
+    return ab.session_summary(shop(spark, sf_dir))
 
 
 @query
 def abandoned_sessions(spark, sf_dir):
-    return ab.abandoned_sessions(shop_events(spark, sf_dir)).select("session_id", "n_cart_events")
+    return ab.abandoned_sessions(shop(spark, sf_dir)).select("session_id", "n_cart_events")
 
 
 @query
 def abandoned_cart_items(spark, sf_dir):
-    return ab.abandoned_cart_items(shop_events(spark, sf_dir))
+    return ab.abandoned_cart_items(shop(spark, sf_dir, "cart", "purchase"))
 
 
 @query
 def flag_abandoned_items(spark, sf_dir):
-    return flagged_text(flagged(shop_events(spark, sf_dir)))
+    return flagged_text(flagged(shop(spark, sf_dir)))
 
 
 @query
 def flag_distribution(spark, sf_dir):
-    return ab.flag_distribution(flagged(shop_events(spark, sf_dir)))
+    return ab.flag_distribution(flagged(shop(spark, sf_dir)))
 
 
 @query
 def abandonment_summary(spark, sf_dir):
-    events = shop_events(spark, sf_dir)
+    events = shop(spark, sf_dir)
     return ab.abandonment_summary(
         flagged(events), scores(events).select("user_id").distinct()
     )
@@ -468,7 +512,7 @@ def lookup_embedded(spark, sf_dir):
 
 @query
 def lookup_available_items(spark, sf_dir):
-    events = shop_events(spark, sf_dir)
+    events = shop(spark, sf_dir)
     available = lk.available_source_items(F.col("co_occurrence_recommendations"))
     return profiles(spark, events).select("user_id", joined(available).alias("available_source_items"))
 
@@ -513,24 +557,24 @@ def click_events_norm(spark, sf_dir):
 
 @query
 def click_pairs_ranked(spark, sf_dir):
-    return bk.pairs_ranked(pairs(spark, click_events(spark, sf_dir)))
+    return bk.pairs_ranked(pairs(spark, clicks(spark, sf_dir, "purchase")))
 
 
 @query
 def click_user_affinity(spark, sf_dir):
-    return af.user_affinity(scores(click_events(spark, sf_dir)))
+    return af.user_affinity(scores(clicks(spark, sf_dir)))
 
 
 @query
 def click_user_source_items(spark, sf_dir):
-    return si.user_source_items(si.user_item_scores(click_events(spark, sf_dir)))
+    return si.user_source_items(si.user_item_scores(clicks(spark, sf_dir, "cart", "purchase")))
 
 
 @query
 def click_user_recommendations(spark, sf_dir):
-    return rc.user_recommendations(blocks(spark, click_events(spark, sf_dir)))
+    return rc.user_recommendations(blocks(spark, clicks(spark, sf_dir, "cart", "purchase")))
 
 
 @query
 def click_flag_abandoned_items(spark, sf_dir):
-    return flagged_text(flagged(click_events(spark, sf_dir)))
+    return flagged_text(flagged(clicks(spark, sf_dir)))
