@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from basketflow.functions.text import WHITE_SPACE, clean, strip
+from basketflow.functions.text import WHITE_SPACE, begins_and_ends_visibly, clean, strip
 
 # Where a category may stand, in order of precedence, both as
 # columns of the log and as fields of the product metadata.
@@ -63,8 +63,10 @@ def _repaired(text: Column) -> Column:
 
 
 def _first_filled(fields: Column) -> Column:
+    first = fields[CATEGORY_FIELDS[0]]
     values = F.transform(F.array(*[fields[name] for name in CATEGORY_FIELDS]), strip)
-    return F.get(F.filter(values, lambda value: value != ""), F.lit(0))
+    filled = F.get(F.filter(values, lambda value: value != ""), F.lit(0))
+    return F.when(begins_and_ends_visibly(first), first).otherwise(filled)
 
 
 def _searched(text: Column) -> Column:

@@ -15,17 +15,21 @@ WHITE_SPACE = (
 )
 
 
+def begins_and_ends_visibly(text: Column) -> Column:
+    """Are the first and the last character visible ASCII characters?"""
+    last = F.right(text, F.lit(1))
+    return (text >= "!") & (text < "\u007f") & (last >= "!") & (last < "\u007f")
+
+
 def strip(column: Column) -> Column:
     """Remove white space of any kind from both ends.
 
-    Nearly all ids begin and end with a visible ASCII character and are left
-    alone after a look at both ends; only the others are trimmed, which is
-    dear with a set of characters.
+    Nearly all values are left alone after a look at both ends; only the others
+    are trimmed, which is dear with a set of characters.
     """
     text = column.cast("string")
-    first_plain = (text >= "!") & (text < "\u007f")
-    last_plain = F.right(text, F.lit(1)).between("!", "~")
-    return F.when(first_plain & last_plain, text).otherwise(F.trim(text, F.lit(WHITE_SPACE)))
+    trimmed = F.trim(text, F.lit(WHITE_SPACE))
+    return F.when(begins_and_ends_visibly(text), text).otherwise(trimmed)
 
 
 def clean(column: Column) -> Column:

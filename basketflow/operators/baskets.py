@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketflow.operators.events import purchases
 
 # Purchases of one session that are paired in one group of rows.
-BLOCK_SIZE = 512
+BLOCK_SIZE = 256
 
 
 def session_baskets(events: DataFrame) -> DataFrame:
@@ -84,9 +84,11 @@ def _pairs_of_large(baskets: DataFrame, block_size: int) -> DataFrame:
             F.least("block", "other").alias("low"),
             F.greatest("block", "other").alias("high"),
         )
-        # Named in full: the partitioning by session that the join leaves would
-        # satisfy the grouping too, and keep a giant session in one task.
-        .repartition("session_id", "low", "high")
+        # The keys are named in full, as the partitioning by session that the
+        # join leaves would satisfy the grouping too, and keep a giant session
+        # in one task.  The number is given, as AQE would join partitions by
+        # their bytes, and each row here still becomes many pairs.
+        .repartition(_shuffle_partitions(baskets), "session_id", "low", "high")
     )
     groups = dealt.groupBy("session_id", "low", "high").agg(
         _products_of("low").alias("lefts"), _products_of("high").alias("rights")
@@ -104,6 +106,10 @@ def _pairs_of_large(baskets: DataFrame, block_size: int) -> DataFrame:
     )
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _products_of(block: str) -> Column:
     return F.collect_list(F.when(F.col("block") == F.col(block), F.col("product_id")))
 

@@ -212,10 +212,7 @@ def scan_events(spark, sf_dir):
 @query
 def scan_events_csv(spark, sf_dir):
     path = scratch_path(spark, "log-csv")
-    log = shop_log(spark, sf_dir)
-    log.write.option("header", True).option("quote", '"').option("escape", '"').option(
-        "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
+    log_files.write_events_csv(shop_log(spark, sf_dir), path)
     return log_files.typed(log_files.read_events_csv(spark, path)).select(*LOG_COLUMNS, "price")
 
 

@@ -22,6 +22,8 @@ def settings(input_bytes: int, cores: int, partition_bytes: int = 192 * MIB) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        # Small inputs are split for all cores too.
+        "spark.sql.files.openCostInBytes": str(MIB),
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
     }

@@ -28,6 +28,18 @@ def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
     return require_columns(log)
 
 
+def write_events_csv(log: DataFrame, path: str) -> None:
+    """A raw log in the form ``read_events_csv`` reads, blanks kept."""
+    (
+        log.write.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """A raw log kept as Parquet."""
     return require_columns(spark.read.parquet(path))
