@@ -93,17 +93,16 @@ def pairs(spark: SparkSession, events: DataFrame) -> DataFrame:
     return bk.pair_counts(events, jobs.stored_giants(spark, events))
 
 
-def neighbours(spark: SparkSession, events: DataFrame) -> DataFrame:
-    edges = bk.co_occurrence_edges(pairs(spark, events))
-    return rc.top_co_items_nested(edges, rc.enough_neighbours())
+def neighbours(counted: DataFrame) -> DataFrame:
+    return rc.top_co_items_nested(bk.co_occurrence_edges(counted), rc.enough_neighbours())
 
 
-def blocks(spark: SparkSession, events: DataFrame) -> DataFrame:
-    return rc.recommendation_blocks(source_lists(events), neighbours(spark, events))
+def blocks(events: DataFrame, counted: DataFrame) -> DataFrame:
+    return rc.recommendation_blocks(source_lists(events), neighbours(counted))
 
 
-def profiles(spark: SparkSession, events: DataFrame) -> DataFrame:
-    return pf.user_profiles(af.user_affinity(scores(events)), blocks(spark, events), RUN_TS)
+def profiles(events: DataFrame, counted: DataFrame) -> DataFrame:
+    return pf.user_profiles(af.user_affinity(scores(events)), blocks(events, counted), RUN_TS)
 
 
 def flagged(events: DataFrame) -> DataFrame:
@@ -154,6 +153,16 @@ def shop(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     return log_files.read_normalized(spark, path, *kinds)
 
 
+def shop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored pair counts, as the later products find them."""
+
+    def write(new: str) -> None:
+        events = shop(spark, sf_dir, "purchase")
+        tables.write_over(pairs(spark, events), new)
+
+    return tables.read_table(spark, stored_once(spark, sf_dir, "shop-pairs", write))
+
+
 def clicks(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
     path = stored_once(
         spark,
@@ -282,26 +291,25 @@ def pairs_ranked(spark, sf_dir):
 
 @query
 def top_pairs(spark, sf_dir):
-    return bk.top_pairs(pairs(spark, shop(spark, sf_dir, "purchase")))
+    return bk.top_pairs(shop_pairs(spark, sf_dir))
 
 
 @query
 def pair_documents(spark, sf_dir):
-    documents = bk.pair_documents(pairs(spark, shop(spark, sf_dir, "purchase")), RUN_TS)
+    documents = bk.pair_documents(shop_pairs(spark, sf_dir), RUN_TS)
     return documents.withColumn("items", joined(F.col("items"))).drop("updated_at")
 
 
 @query
 def pairs_with_item(spark, sf_dir):
     """Pairs with any item that was put in a cart."""
-    events = shop(spark, sf_dir, "cart", "purchase")
-    wanted = events.where(F.col("event_type") == "cart").select(F.col("product_id").alias("item_id"))
-    return bk.pairs_with_item(bk.pair_documents(pairs(spark, events)), wanted)
+    wanted = shop(spark, sf_dir, "cart").select(F.col("product_id").alias("item_id"))
+    return bk.pairs_with_item(bk.pair_documents(shop_pairs(spark, sf_dir)), wanted)
 
 
 @query
 def co_occurrence_edges(spark, sf_dir):
-    return bk.co_occurrence_edges(pairs(spark, shop(spark, sf_dir, "purchase")))
+    return bk.co_occurrence_edges(shop_pairs(spark, sf_dir))
 
 
 @query
@@ -339,7 +347,7 @@ def top_categories(spark, sf_dir):
 @query
 def profile_top_categories(spark, sf_dir):
     path = scratch_path(spark, "profiles")
-    tables.write_new(profiles(spark, shop(spark, sf_dir)), path)
+    tables.write_new(profiles(shop(spark, sf_dir), shop_pairs(spark, sf_dir)), path)
     top = tables.read_profile_top_categories(spark, path, af.TOP_CATEGORIES)
     return top.select("user_id", joined(F.col("user_top_categories")).alias("user_top_categories"))
 
@@ -373,14 +381,14 @@ def scan_source_items_json(spark, sf_dir):
 
 @query
 def top_co_items(spark, sf_dir):
-    edges = bk.co_occurrence_edges(pairs(spark, shop(spark, sf_dir, "purchase")))
+    edges = bk.co_occurrence_edges(shop_pairs(spark, sf_dir))
     return rc.top_co_items(edges, rc.MAX_CO_ITEMS)
 
 
 @query
 def candidate_recommendations(spark, sf_dir):
     events = shop(spark, sf_dir, "cart", "purchase")
-    found = rc.candidate_recommendations(source_lists(events), neighbours(spark, events))
+    found = rc.candidate_recommendations(source_lists(events), neighbours(shop_pairs(spark, sf_dir)))
     return found.select(
         "user_id", "source_rank", "source_item", F.inline("candidates")
     )
@@ -388,12 +396,12 @@ def candidate_recommendations(spark, sf_dir):
 
 @query
 def user_recommendations(spark, sf_dir):
-    return rc.user_recommendations(blocks(spark, shop(spark, sf_dir, "cart", "purchase")))
+    return rc.user_recommendations(blocks(shop(spark, sf_dir, "cart", "purchase"), shop_pairs(spark, sf_dir)))
 
 
 @query
 def user_recommendations_nested(spark, sf_dir):
-    nested = rc.user_recommendations_nested(blocks(spark, shop(spark, sf_dir, "cart", "purchase")))
+    nested = rc.user_recommendations_nested(blocks(shop(spark, sf_dir, "cart", "purchase"), shop_pairs(spark, sf_dir)))
     return nested.select(
         "user_id", blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations")
     )
@@ -402,12 +410,12 @@ def user_recommendations_nested(spark, sf_dir):
 @query
 def user_profiles_flat(spark, sf_dir):
     events = shop(spark, sf_dir)
-    return pf.user_profiles_flat(af.user_affinity(scores(events)), blocks(spark, events))
+    return pf.user_profiles_flat(af.user_affinity(scores(events)), blocks(events, shop_pairs(spark, sf_dir)))
 
 
 @query
 def user_profiles_nested(spark, sf_dir):
-    return profiles(spark, shop(spark, sf_dir)).select(
+    return profiles(shop(spark, sf_dir), shop_pairs(spark, sf_dir)).select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
         blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations"),
@@ -416,7 +424,7 @@ def user_profiles_nested(spark, sf_dir):
 
 @query
 def profiles_exploded(spark, sf_dir):
-    return pf.profiles_exploded(profiles(spark, shop(spark, sf_dir)))
+    return pf.profiles_exploded(profiles(shop(spark, sf_dir), shop_pairs(spark, sf_dir)))
 
 
 @query
@@ -433,7 +441,9 @@ def upsert_pairs(spark, sf_dir):
 @query
 def upsert_profiles(spark, sf_dir):
     first, second = loads(spark, sf_dir)
-    merged = pf.merge_upsert(profiles(spark, first), profiles(spark, second), "user_id")
+    merged = pf.merge_upsert(
+        profiles(first, pairs(spark, first)), profiles(second, pairs(spark, second)), "user_id"
+    )
     return merged.select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
@@ -511,7 +521,7 @@ def lookup_embedded(spark, sf_dir):
 def lookup_available_items(spark, sf_dir):
     events = shop(spark, sf_dir)
     available = lk.available_source_items(F.col("co_occurrence_recommendations"))
-    return profiles(spark, events).select("user_id", joined(available).alias("available_source_items"))
+    return profiles(events, shop_pairs(spark, sf_dir)).select("user_id", joined(available).alias("available_source_items"))
 
 
 @query
@@ -569,7 +579,8 @@ def click_user_source_items(spark, sf_dir):
 
 @query
 def click_user_recommendations(spark, sf_dir):
-    return rc.user_recommendations(blocks(spark, clicks(spark, sf_dir, "cart", "purchase")))
+    events = clicks(spark, sf_dir, "cart", "purchase")
+    return rc.user_recommendations(blocks(events, pairs(spark, events)))
 
 
 @query
