@@ -14,10 +14,13 @@ from basketflow.operators import affinity as af
 from basketflow.operators import baskets as bk
 from basketflow.operators import lookup as lk
 from basketflow.operators import profiles as pf
+from basketflow.operators import recommendations as rc
+from basketflow.operators import source_items as si
 from basketflow.plans import jobs
 from basketflow.plans.scratch import scratch_path
 from basketflow.session import settings
 from basketflow.sources import tables
+from basketflow.sources.events import read_events
 from tests.test_products import SCHEMA, random_log
 
 RUN_TS = datetime(2026, 5, 11, 21, 39, 6, 882311, tzinfo=timezone.utc)
@@ -277,3 +280,14 @@ def test_jobs(spark, tmp_path):
     )
     users = {r.user_id for r in tables.read_table(spark, merged).select("user_id").collect()}
     assert users == {r.user_id for r in read("profiles").select("user_id").collect()} | {"someone"}
+
+
+def test_defaults():
+    assert (si.MAX_SOURCE_ITEMS, rc.MAX_CO_ITEMS, af.TOP_CATEGORIES, lk.DEFAULT_LIMIT) == (20, 5, 3, 5)
+    assert jobs.NEIGHBOURS == 24
+
+
+def test_read_events_requires_columns(spark, tmp_path):
+    tables.write_new(spark.range(1), str(tmp_path / "log"))
+    with pytest.raises(ValueError, match="Missing required columns"):
+        read_events(spark, str(tmp_path / "log"))
