@@ -51,18 +51,25 @@ def candidate_recommendations(
     own items is an expression on the row and needs no further join; the one
     join is by item, against one row per item.
     """
+    return _beside_source_items(source_items, neighbours, max_source_items).select(
+        "user_id", "source_rank", "source_item", _foreign().alias("candidates")
+    )
+
+
+def _beside_source_items(
+    source_items: DataFrame, neighbours: DataFrame, max_source_items: int
+) -> DataFrame:
+    """A row for each user and source item: its neighbours, and all own items."""
     listed = source_items.select(
         "user_id",
         _no_longer_than("source_items", max_source_items).alias("own"),
         F.posexplode("source_items").alias("position", "source_item"),
     )
-    foreign = F.filter("co_items", lambda co: ~F.array_contains(F.col("own"), co["item"]))
-    return listed.join(neighbours, "source_item").select(
-        "user_id",
-        (F.col("position") + 1).alias("source_rank"),
-        "source_item",
-        foreign.alias("candidates"),
-    )
+    return listed.join(neighbours, "source_item").withColumn("source_rank", F.col("position") + 1)
+
+
+def _foreign() -> Column:
+    return F.filter("co_items", lambda co: ~F.array_contains(F.col("own"), co["item"]))
 
 
 def _no_longer_than(column: str, limit: int) -> Column:
@@ -81,15 +88,12 @@ def recommendation_blocks(
 ) -> DataFrame:
     """(user_id, source_rank, source_item, co_items): the best ``max_co_items``
     candidates; a source item without candidates has no block."""
-    return (
-        candidate_recommendations(source_items, neighbours, max_source_items)
-        .where(F.size("candidates") > 0)
-        .select(
-            "user_id",
-            "source_rank",
-            "source_item",
-            F.slice("candidates", 1, at_least_one("max_co_items", max_co_items)).alias("co_items"),
-        )
+    best_foreign = F.slice(_foreign(), 1, at_least_one("max_co_items", max_co_items))
+    # Exploded from an array of one or none: a filter on the size afterwards
+    # would evaluate the expression a second time.
+    filled = F.filter(F.array(best_foreign), lambda block: F.size(block) > 0)
+    return _beside_source_items(source_items, neighbours, max_source_items).select(
+        "user_id", "source_rank", "source_item", F.explode(filled).alias("co_items")
     )
 
 
