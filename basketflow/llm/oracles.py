@@ -2,4 +2,94 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+HOST_RULES = r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(text, '') AS text FROM documents
+),
+words AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM docs)
+),
+windows AS (
+  SELECT doc_id, i, w, lead(w) OVER d AS w2, lead(w, 2) OVER d AS w3
+  FROM words WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+),
+again AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, w3, count(*) OVER (PARTITION BY doc_id, w, w2, w3) AS times FROM windows
+  ) WHERE times > 1 AND w3 IS NOT NULL
+),
+repeated AS (
+  SELECT doc_id, count(DISTINCT i + o) AS n FROM again, (VALUES (0), (1), (2)) AS v(o) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+sizes AS (
+  SELECT doc_id, count(*) AS n, sum(length(w)) AS chars FROM words GROUP BY doc_id
+),
+measured AS (
+  SELECT d.doc_id, d.source, coalesce(s.n, 0) AS n_words, coalesce(s.chars, 0)::BIGINT AS word_chars,
+    (length(d.text) - length(regexp_replace(d.text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    coalesce(l.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+  FROM docs d LEFT JOIN sizes s USING (doc_id) LEFT JOIN lines l USING (doc_id) LEFT JOIN repeated r USING (doc_id)
+),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured
+),
+hosts AS (
+  SELECT source, count(*) AS n_docs, sum(base_failed::INT) AS n_failed FROM judged
+  WHERE source IS NOT NULL GROUP BY source
+),
+moments AS (
+  SELECT sum(n_failed) / sum(n_docs) AS m, var_pop(n_failed / n_docs) AS v FROM hosts
+),
+prior AS (
+  SELECT m, CASE WHEN v > 0 THEN greatest(m * (1 - m) / v - 1, 0.1) ELSE 100 END AS weight FROM moments
+),
+bad AS (
+  SELECT source FROM hosts, prior WHERE (n_failed + m * weight) / (n_docs + weight) > 0.5
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT coalesce(source IN (SELECT source FROM bad), false) AS kept
+FROM judged
+"""
+
+_PATTERNS = [
+    r"://([^/?#]*[.-])?(casino|free-bets|poker|cheap-pills|viagra|ads-track|xxx|porn)[.-]",
+    r"://([^/?#]*\.)?ad\.doubleclick\.",
+    r"/ads/[^?#]*\.(js|gif)([?#]|$)",
+    r"[?&]click_?id=[^&#]+&([^#]*&)?aff(iliate)?_?id=",
+]
+
+URL_FILTERS = f"""
+WITH parts AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages
+),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host LIKE '%.example.net') AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN ('.' || host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN ('.' || host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
+    WHEN ('.' || host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
+    translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NOT NULL THEN 'allow'
+    WHEN {" OR ".join(f"regexp_matches(low, '{p}')" for p in _PATTERNS)} THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+SQL = {
+    "op4_host_rules": HOST_RULES,
+    "op6_url_filters": URL_FILTERS,
+}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import bpe_codec, token_counts
+from basketflow.llm import bpe_codec, host_rules, token_counts, url_filters
 from basketflow.llm.common import table
 
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -20,10 +20,20 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(ENCODING_TOKENIZER))
 
 
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_token_counts,
         op2_bpe_round_trip,
+        op4_host_rules,
+        op6_url_filters,
     )
 }
