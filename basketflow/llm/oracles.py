@@ -89,7 +89,27 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+#: DuckDB has SHA-1 in hex only: five hex digits are four base-32 ones.
+ARCHIVES = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+),
+digits AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((five >> (5 * (3 - j))) & 31)::INT, 1),
+    '' ORDER BY i, j) AS b32
+  FROM (SELECT DISTINCT hex, i, ('0x' || substr(hex, 1 + 5 * i, 5))::BIGINT AS five
+        FROM payloads, range(8) AS r(i)), range(4) AS q(j)
+  GROUP BY hex
+),
+firsts AS (SELECT hex, min(page_id) AS first_id FROM payloads GROUP BY hex)
+SELECT page_id, strlen(html) AS payload_bytes, b32 AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM payloads JOIN digits USING (hex) JOIN firsts USING (hex)
+"""
+
 SQL = {
     "op4_host_rules": HOST_RULES,
     "op6_url_filters": URL_FILTERS,
+    "op9_archives": ARCHIVES,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import bpe_codec, host_rules, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, token_counts, url_filters
 from basketflow.llm.common import table
 
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -28,6 +28,10 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.through_archives(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -35,5 +39,6 @@ QUERIES = {
         op2_bpe_round_trip,
         op4_host_rules,
         op6_url_filters,
+        op9_archives,
     )
 }
