@@ -108,8 +108,40 @@ SELECT page_id, strlen(html) AS payload_bytes, b32 AS payload_digest,
 FROM payloads JOIN digits USING (hex) JOIN firsts USING (hex)
 """
 
+MINHASH_JOIN = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words
+),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+steps AS (SELECT a AS x, b AS y FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT x AS doc_id, y AS other FROM steps
+  UNION
+  SELECT r.doc_id, s.y FROM reached r JOIN steps s ON r.other = s.x
+),
+least AS (SELECT doc_id, min(other) AS m FROM reached GROUP BY doc_id)
+SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(l.m, s.doc_id)) AS component_id,
+  least(s.doc_id, coalesce(l.m, s.doc_id)) = s.doc_id AS kept
+FROM sets s LEFT JOIN least l USING (doc_id)
+"""
+
 SQL = {
     "op4_host_rules": HOST_RULES,
     "op6_url_filters": URL_FILTERS,
     "op9_archives": ARCHIVES,
+    "op10_minhash_join": MINHASH_JOIN,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import archives, bpe_codec, host_rules, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, minhash_join, token_counts, url_filters
 from basketflow.llm.common import table
 
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -32,6 +32,10 @@ def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.through_archives(table(spark, sf_dir, "pages"))
 
 
+def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -40,5 +44,6 @@ QUERIES = {
         op4_host_rules,
         op6_url_filters,
         op9_archives,
+        op10_minhash_join,
     )
 }
