@@ -139,8 +139,31 @@ SELECT s.doc_id, len(s.s) AS n_shingles, least(s.doc_id, coalesce(l.m, s.doc_id)
 FROM sets s LEFT JOIN least l USING (doc_id)
 """
 
+PROJECTION_FOREST = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95
+),
+reached AS (
+  SELECT x AS vec_id, y AS other FROM links
+  UNION
+  SELECT r.vec_id, l.y FROM reached r JOIN links l ON r.other = l.x
+),
+least AS (SELECT vec_id, min(other) AS m FROM reached GROUP BY vec_id),
+degree AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, least(e.vec_id, coalesce(l.m, e.vec_id)) AS component_id,
+  least(e.vec_id, coalesce(l.m, e.vec_id)) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degree d USING (vec_id) LEFT JOIN least l USING (vec_id)
+"""
+
 SQL = {
     "op4_host_rules": HOST_RULES,
+    "op5_projection_forest": PROJECTION_FOREST,
     "op6_url_filters": URL_FILTERS,
     "op9_archives": ARCHIVES,
     "op10_minhash_join": MINHASH_JOIN,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import archives, bpe_codec, host_rules, minhash_join, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, minhash_join, projection_forest, token_counts, url_filters
 from basketflow.llm.common import table
 
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op5_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_forest.embedding_links(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -42,6 +46,7 @@ QUERIES = {
         op1_token_counts,
         op2_bpe_round_trip,
         op4_host_rules,
+        op5_projection_forest,
         op6_url_filters,
         op9_archives,
         op10_minhash_join,
