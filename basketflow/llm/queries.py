@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from basketflow.llm import archives, bpe_codec, host_rules, minhash_join, projection_forest, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, line_crf, minhash_join, mixing, projection_forest, token_counts, url_filters
 from basketflow.llm.common import table
 
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
@@ -32,6 +32,14 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op9_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.through_archives(table(spark, sf_dir, "pages"))
 
@@ -48,6 +56,8 @@ QUERIES = {
         op4_host_rules,
         op5_projection_forest,
         op6_url_filters,
+        op7_mixing,
+        op8_line_crf,
         op9_archives,
         op10_minhash_join,
     )
