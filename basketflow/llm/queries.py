@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketflow.llm import archives, bpe_codec, host_rules, line_crf, minhash_join, mixing, projection_forest, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, line_crf, minhash_join, mixing, projection_forest, surrogates, token_counts, url_filters
 from basketflow.llm.common import table
 
+#: For tests and demonstrations; a real run passes a secret of its own.
+SURROGATE_KEY = b"a key for demonstrations"
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 
 
@@ -20,6 +23,11 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(ENCODING_TOKENIZER))
 
 
+def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.replaced(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    return found.select("doc_id", "text", "entities", F.size("entities").alias("n_entities"))
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -53,6 +61,7 @@ QUERIES = {
     for query in (
         op1_token_counts,
         op2_bpe_round_trip,
+        op3_surrogates,
         op4_host_rules,
         op5_projection_forest,
         op6_url_filters,
