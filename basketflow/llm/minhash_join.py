@@ -204,8 +204,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     ``component_id`` is the smallest ``doc_id`` reachable by links, ``kept`` whether
     it is the row's own.  Texts without words, or null, are linked with nothing.
     Rows that share a ``doc_id`` are one document, so repeated rows are kept or
-    dropped together.  A null ``doc_id`` stands for no document: its row takes the
-    component of its text if another row has one, else none, and is not kept.
+    dropped together.  A row without ``doc_id`` is compared with nothing: it takes the
+    component of a document with the same set of shingles, and is not kept; if there
+    is none it has no component and is kept.
     Columns other than ``doc_id`` and the text are not read.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
@@ -266,5 +267,5 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
         "doc_id",
         "n_shingles",
         component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"),
     )

@@ -57,12 +57,15 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order of the mix of sources, over the files of the table."""
+    """All documents in the order of the mix of sources.
+
+    In a written table, files by name and rows within them are in that order.
+    """
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of each document, in the order of the mix."""
+    """``doc_id, n_tokens, ids`` of each document."""
     encoded = bpe_codec.encode(docs, public_tokenizers.path(ENCODING_TOKENIZER))
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
