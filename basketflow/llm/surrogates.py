@@ -81,7 +81,7 @@ PATTERNS = [
 NAMES = frozenset(n for names in FIRST_NAMES.values() for n in names)
 PATTERNS.append(("full", r"\b(?P<full>(?:" + "|".join(sorted(NAMES)) + r")\b(?:[ ]" + NAME + r"){1,2})"))
 NUMBERS = ("iban", "card", "ssn", "ip", "phone")
-WORD, TWO_DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]{2}")
+WORD, NUMERIC = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]{2}|[0-9]\.[0-9]")
 
 
 @lru_cache(64)
@@ -96,7 +96,7 @@ def hints(text: str) -> tuple[str, ...]:
         low = text.lower()
         if "token" in low or "secret" in low or "key" in low or "passw" in low:
             kinds.append("secret")
-    if TWO_DIGITS.search(text):
+    if NUMERIC.search(text):
         kinds += NUMBERS
     words = set(WORD.findall(text))
     if not words.isdisjoint(TITLES):

@@ -1,0 +1,85 @@
+"""The pipeline against brute force, stage by stage."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import public_tokenizers
+from tokenizers import Tokenizer
+
+import corpus_pipeline as cp
+from basketflow.llm import surrogates as sg
+from basketflow.llm.common import stored
+from basketflow.llm.queries import ENCODING_TOKENIZER, SURROGATE_KEY
+from tests.llm.test_groups import brute_duplicates
+from tests.llm.test_quality import brute_verdicts
+
+SF_DIR = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def staged(spark, docs):
+    frames = []
+    for name, stage in cp.STAGES:
+        docs = stored(stage(spark, docs, SF_DIR), name.replace(" ", "-"))
+        frames.append(docs)
+    return frames
+
+
+def test_stages_on_the_test_table(spark):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = {r.doc_id: r for r in table.collect()}
+    ruled, unique, private, mixed, tokens = staged(spark, table)
+
+    verdicts = brute_verdicts([(r.doc_id, r.text, r.source) for r in rows.values()])
+    kept = {i for i, _, keep in verdicts if keep}
+    assert {r.doc_id for r in ruled.collect()} == kept and 0 < len(kept) < len(rows)
+    _, groups, _ = brute_duplicates({i: rows[i].text for i in kept}, 5)
+    kept = {i for i, c in groups.items() if c == i}
+    assert {r.doc_id for r in unique.collect()} == kept
+    own = sg.Surrogates(SURROGATE_KEY)
+    expected = {i: own.replace(rows[i].text)[0] for i in kept}
+    assert {r.doc_id: r.text for r in private.collect()} == expected
+    assert any(expected[i] != rows[i].text for i in kept)
+    assert all(r.n_chars == len(r.text) for r in private.collect())
+    assert {r.doc_id: r.text for r in mixed.collect()} == expected
+    for frame in (ruled, unique, private, mixed):
+        assert frame.columns == COLUMNS
+    library = Tokenizer.from_file(public_tokenizers.path(ENCODING_TOKENIZER))
+    encode = lambda text: library.encode(text, add_special_tokens=False).ids
+    assert {r.doc_id: (r.n_tokens, r.ids) for r in tokens.collect()} == {
+        i: (len(encode(t)), encode(t)) for i, t in expected.items()
+    }
+    # run() gives the same.
+    assert {r.doc_id: r.ids for r in cp.run(spark, SF_DIR).collect()} == {r.doc_id: r.ids for r in tokens.collect()}
+
+
+def test_order_of_the_mix_is_kept_in_the_files(spark):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    mixed = stored(cp.mix(spark, table, SF_DIR), "mix")
+    at = mixed.select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
+    order = [r.doc_id for r in sorted(at, key=lambda r: (r.file_name, r.row_index))]
+    from basketflow.llm.mixing import mix
+
+    assert order == [r.doc_id for r in sorted(mix(table).collect(), key=lambda r: r.position)]
+
+
+def test_odd_rows(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
+    same = text()
+    rows = [(i, text(), "en", "a", 1, "kept") for i in range(30)]
+    rows += [(100 + i, same, "en", "b", 1, "x") for i in range(20)]
+    rows += [(200, None, "en", "a", None, None), (201, "", None, None, 0, ""), (None, text(), None, None, None, None)]
+    rows += [rows[0], rows[0]]
+    docs = spark.createDataFrame(
+        rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT, component_id STRING"
+    )
+    *frames, tokens = staged(spark, docs)
+    for frame in frames:
+        assert frame.columns == docs.columns
+    expected = Counter(range(30)) + Counter({100: 1, None: 1, 0: 2})
+    assert Counter(r.doc_id for r in tokens.collect()) == expected
+    *frames, tokens = staged(spark, docs.limit(0))
+    assert tokens.count() == 0 and all(f.columns == docs.columns for f in frames)

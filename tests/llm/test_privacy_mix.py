@@ -1,0 +1,202 @@
+"""Surrogates and the mix of sources."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
+
+import pytest
+
+from basketflow.llm import mixing
+from basketflow.llm import surrogates as sg
+from basketflow.llm.queries import QUERIES
+
+KEY = b"test"
+
+
+@pytest.fixture(scope="module")
+def own():
+    return sg.Surrogates(KEY)
+
+
+@pytest.mark.parametrize("size", [2, 3, 10, 100, 1000, 4097])
+def test_permutations_have_no_fixed_points(own, size):
+    images = [own.permutation.image(x, size, "t") for x in range(size)]
+    assert sorted(images) == list(range(size))
+    assert all(a != b for a, b in enumerate(images))
+    other = sg.Permutation(b"other key")
+    assert size < 10 or images != [other.image(x, size, "t") for x in range(size)]
+
+
+CASES = {
+    "email": ["john.smith@acme.com", "jane+x@mail.example.org", "müller.9@firma.de", "a@b.co"],
+    "phone": ["+1 (017) 555-7713", "(017) 555-7713", "017-555-7713", "+49 30 123 4567", "+4930123456789"],
+    "ip": ["97.51.17.173", "10.0.0.1", "192.168.3.4", "8.8.8.8", "127.0.0.1"],
+    "card": ["4111 1111 1111 1111", "4845168114407329", "4111-1111-1111-1111"],
+    "ssn": ["123-45-6789", "321-54-9876"],
+    "iban": ["DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819"],
+    "secret": ["04dbebab91ab85687d33eeaaf9ac699e1188f962", "sk_ABCdef123456"],
+    "name": ["John Smith", "Maria Keller", "Иван Петров", "Νίκος Παππάς"],
+}
+
+
+def sentence(kind, text):
+    before = {"secret": 'token = "', "name": "Dr. "}.get(kind, "see ")
+    return f"The report, {before}{text}" + ('"' if kind == "secret" else "") + " and so on."
+
+
+@pytest.mark.parametrize("kind", sorted(CASES))
+def test_surrogates_keep_kind_and_form(own, kind):
+    seen = {}
+    for text in CASES[kind]:
+        whole = sentence(kind, text)
+        new, found = own.replace(whole)
+        assert [f[0] for f in found] == [kind]
+        _, begin, end, surrogate = found[0]
+        assert whole[begin:end] == text and text not in new
+        assert new == whole[:begin] + surrogate + whole[end:]
+        assert [f[0] for f in own.replace(new)[1]] == [kind]  # what comes out is of the kind too
+        shape = lambda t: re.sub(r"[^\W\d_]", "a", re.sub(r"\d", "0", t))
+        if kind not in ("name", "secret", "ip", "iban"):
+            assert shape(surrogate) == shape(text)
+        assert own.replace(whole) == (new, found)
+        seen[surrogate] = text
+    assert len(seen) == len(set(CASES[kind]))
+
+
+def test_checks_of_the_kinds(own):
+    for text in CASES["card"][:1] + ["4845168114407329", "5555555555554444"]:
+        assert sg.luhn(re.sub(r"\D", "", own.of("card", text))) == sg.luhn(re.sub(r"\D", "", text))
+    for text in CASES["iban"]:
+        code = own.of("iban", text).replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+    assert own.of("ip", "10.1.2.3").startswith("10.") and own.of("ip", "192.168.1.1").startswith("192.168.")
+    assert not own.of("ip", "8.8.8.8").startswith(("10.", "127.", "192.168."))
+    assert own.of("ssn", "123-45-6789")[:3] not in ("000", "666")
+
+
+def test_coreference_across_formats(own):
+    digits = lambda t: re.sub(r"\D", "", own.of("phone", t))[-10:]
+    assert digits("+1 (017) 555-7713") == digits("(017) 555-7713") == digits("017-555-7713")
+    assert own.of("email", "John.Smith@acme.com").lower() == own.of("email", "john.smith@ACME.com").lower()
+    assert own.of("name", "John Smith").split()[1] == own.of("name", "Smith")
+    assert own.of("email", "x@acme.com").split("@")[1] == own.of("email", "y@acme.com").split("@")[1]
+
+
+def test_names_keep_gender_and_script(own):
+    for (script, gender), names in sg.FIRST_NAMES.items():
+        swapped = [own.first_name(n) for n in names]
+        assert sorted(swapped) == sorted(names) and all(a != b for a, b in zip(names, swapped, strict=True))
+    new = own.of("name", "Иван Петров")
+    assert all("а" <= c.lower() <= "я" or c in " ё" for c in new)
+
+
+def test_distinct_entities_stay_distinct(own):
+    rng = random.Random(0)
+    letters = lambda n: "".join(rng.choice("aeioubcdfgst") for _ in range(n))
+    for kind, make in (
+        ("email", lambda: f"{letters(2)}{rng.randrange(9)}@{letters(2)}.com"),
+        ("phone", lambda: f"({rng.randrange(100, 104)}) 555-{rng.randrange(10**4):04d}"),
+        ("ssn", lambda: f"{rng.randrange(1000):03d}-{rng.randrange(3):02d}-{rng.randrange(10**4):04d}"),
+        ("name", lambda: f"{rng.choice(['Anna', 'Leo'])} {letters(3).title()}"),
+        ("ip", lambda: f"{rng.choice([9, 10, 11])}.0.{rng.randrange(3)}.{rng.randrange(256)}"),
+        ("secret", lambda: letters(3) + str(rng.randrange(99))),
+    ):
+        entities = {make() for _ in range(3000)}
+        images = {own.of(kind, e) for e in entities}
+        assert len(images) == len(entities), kind
+        assert not any(own.of(kind, e) == e for e in entities)
+
+
+def test_clean_texts_are_left_alone(own):
+    for text in ("", "In 2024, version 1.2.3 had 1,234,567 users at 10:30.", "Mr and Mrs, the key: yes", "Ines Ines Ines",
+                 "a = b; x: 12", "The 50 states, 3.14159 and 1/2.", "#1 @home 100%"):
+        assert own.replace(text) == (text, [])
+
+
+def test_documents(spark):
+    rows = [
+        (1, "Mail a.b@c.de or a.b@c.de.", "x"), (2, None, "x"), (3, "", "x"), (None, "Call (017) 555-7713", "y"),
+        (1, "Mail a.b@c.de or a.b@c.de.", "x"), (4, "a.b@c.de " * 3000, "z"), (5, "clean", "e"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, entities STRING")
+    result = sg.replaced(docs, KEY)
+    assert result.columns == ["doc_id", "text", "entities"]
+    found = result.collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    by_id = {r.doc_id: r for r in found}
+    assert by_id[2].text is None and by_id[3].text == "" and by_id[5].text == "clean"
+    new = by_id[1].entities[0].surrogate
+    assert by_id[1].text == f"Mail {new} or {new}." and by_id[4].text == f"{new} " * 3000
+    assert sg.collisions(result).count() == 0
+    assert sg.replaced(docs.limit(0), KEY).count() == 0
+
+
+def test_no_personal_data_is_left(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    before = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    result = QUERIES["op3_surrogates"](spark, sf_dir)
+    after = {r.doc_id: r for r in result.collect()}
+    planted = re.compile(r"[\w.]+@[\w.]+\w|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{1,3}(?:\.\d{1,3}){3}\b|\b\d{16}\b|\b[0-9a-f]{40}\b")
+    assert set(before) == set(after)
+    changed = 0
+    for doc_id, text in before.items():
+        found = planted.findall(text)
+        changed += bool(found)
+        assert not any(f in after[doc_id].text for f in found)
+        assert found or after[doc_id].text == text
+    assert changed > 10
+    assert sg.collisions(result).count() == 0
+
+
+@pytest.mark.parametrize("weights", [{"a": 1, "b": 1}, {"a": 5, "b": 3, "c": 1.5, "d": 0.01}, {"x": 1}])
+def test_frame_schedule_deviates_by_less_than_a_block(weights):
+    parts = mixing.parts_of(weights, 200)
+    frame = sum(parts.values())
+    order = mixing.frame_schedule(parts)
+    assert sorted(s for own in order.values() for s in own) == list(range(frame))
+    for source, own in order.items():
+        for t in range(frame + 1):
+            assert abs(sum(s < t for s in own) - t * parts[source] / frame) < 1
+
+
+def test_mix(spark):
+    rng = random.Random(2)
+    rows = [(i, rng.choice(["a", "a", "a", "b", "b", "c", None])) for i in range(900)] + [(5, "a")] * 3 + [(None, "c")] * 2
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id BIGINT, source STRING, position INT")
+    weights = {"a": 1.0, "b": 1.0, "c": 2.0, None: 1.0, "absent": 9.0}
+    found = sorted(mixing.mix(docs, weights, block_docs=4, frame=50).collect(), key=lambda r: r.position)
+    assert [r.position for r in found] == list(range(len(rows)))
+    assert Counter((r.doc_id, r.source) for r in found) == Counter(rows)
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    # Less than one block off, until the first source is out.
+    counts = Counter(r[1] for r in rows)
+    seen, total = Counter(), sum(w for s, w in weights.items() if s != "absent")
+    for n, r in enumerate(found, 1):
+        seen[r.source] += 1
+        if any(seen[s] == counts[s] for s in counts):
+            break
+        for s in counts:
+            assert abs(seen[s] - n * weights[s] / total) < 2 * 4
+    slots = defaultdict(set)
+    for r in found:
+        slots[r.slot].add((r.source, r.block))
+    assert all(len(own) == 1 for own in slots.values())
+    ordered = mixing.mixed_documents(docs, weights).collect()
+    assert Counter((r.doc_id, r.source) for r in ordered) == Counter(rows)
+
+
+def test_mix_of_nothing(spark):
+    none = spark.createDataFrame([], "doc_id BIGINT, source STRING")
+    assert mixing.mix(none).count() == 0
+    assert mixing.mixed_documents(none).count() == 0
+
+
+def test_phases_follow_each_other():
+    plan = mixing.phases({"a": 100, "b": 7, "c": 1, "d": 40}, {"a": 1, "b": 1, "c": 1, "d": 2}, 40)
+    slots = [mixing.slot_of(plan, s, b)[0] for s, n in (("a", 100), ("b", 7), ("c", 1), ("d", 40)) for b in range(1, n + 1)]
+    assert sorted(slots) == list(range(148))
+    for a, b in combinations(plan, 2):
+        assert a.first_slot + a.slots <= b.first_slot
