@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.functions.ranking import at_least_one, best, in_order, ranked
-from basketflow.operators.events import AFFINITY_WEIGHTS, weighted_events
+from basketflow.functions.text import clean
+from basketflow.operators.events import AFFINITY_WEIGHTS, weighted_events, with_values
 
 TOP_CATEGORIES = 3
 
@@ -56,8 +57,9 @@ def top_categories(scores: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
 def profile_top_categories(profiles: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
     """The same, out of stored profiles.
 
-    Profiles may come from elsewhere: categories without name are skipped, and
-    a rank that is no number goes last.
+    Profiles may come from elsewhere: user ids are stripped, profiles without
+    one and categories without name are skipped, and a rank that is no number
+    goes last.
     """
     at_least_one("n", n)
     named = F.filter("top_categories", lambda c: c["category"].isNotNull())
@@ -71,6 +73,5 @@ def profile_top_categories(profiles: DataFrame, n: int = TOP_CATEGORIES) -> Data
         )
     )
     names = F.transform(F.slice(placed, 1, n), lambda c: c["category"])
-    return profiles.select(
-        "user_id", F.coalesce(names, F.array().cast("array<string>")).alias("user_top_categories")
-    )
+    listed = F.coalesce(names, F.array().cast("array<string>")).alias("user_top_categories")
+    return with_values(profiles.select(clean(F.col("user_id")).alias("user_id"), listed), "user_id")

@@ -54,11 +54,13 @@ def basket_pairs(
 
 
 def _pairs_of_small(bought: DataFrame) -> DataFrame:
-    baskets = bought.groupBy("session_id").agg(F.collect_set("product_id").alias("items"))
-    larger = F.filter("items", lambda item: item > F.col("item_a"))
+    items = F.sort_array(F.collect_set("product_id")).alias("items")
+    baskets = bought.groupBy("session_id").agg(items)
+    # In a sorted basket, the larger products are those further on.
+    larger = F.slice("items", F.col("position") + 2, F.size("items"))
     return (
         baskets.where(F.size("items") > 1)
-        .select("session_id", "items", F.explode("items").alias("item_a"))
+        .select("session_id", "items", F.posexplode("items").alias("position", "item_a"))
         .select("session_id", "item_a", F.explode(larger).alias("item_b"))
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketflow.functions.category import event_category
 from basketflow.functions.text import clean
 
+# The columns a log must have.
 REQUIRED_COLUMNS = ("session_id", "user_id", "event_type", "product_id")
 
 # What an event counts for a user's category affinity, and for a
@@ -21,7 +22,7 @@ SOURCE_ITEM_WEIGHTS = {"cart": 1, "purchase": 2}
 def require_columns(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> DataFrame:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the log has no column {', '.join(missing)}")
     return df
 
 

@@ -83,16 +83,18 @@ def profiles_exploded(profiles: DataFrame) -> DataFrame:
 
 
 def _one_row_per_key(updates: DataFrame, key: str) -> DataFrame:
-    """The updates; fails while running if two of them share a key.
+    """The updates; fails while running if two of them share a key, or one has none.
 
     Counted over the same partitioning that the join needs, so the check adds
     no shuffle and no separate pass.
     """
     copies = F.count(F.lit(1)).over(Window.partitionBy(key))
-    error = F.raise_error(F.concat(F.lit(f"duplicate {key} in updates: "), F.col(key).cast("string")))
+    shown = F.coalesce(F.col(key).cast("string"), F.lit("none"))
+    error = F.raise_error(F.concat(F.lit(f"duplicate or missing {key} in updates: "), shown))
+    wrong = (F.col("_copies") > 1) | F.col(key).isNull()
     return (
         updates.withColumn("_copies", copies)
-        .where(F.when(F.col("_copies") > 1, error.cast("boolean")).otherwise(F.lit(True)))
+        .where(F.when(wrong, error.cast("boolean")).otherwise(F.lit(True)))
         .drop("_copies")
     )
 

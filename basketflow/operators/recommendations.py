@@ -9,6 +9,7 @@ from basketflow.functions.ranking import at_least_one, best, in_order
 from basketflow.operators.source_items import MAX_SOURCE_ITEMS
 
 MAX_CO_ITEMS = 5
+_CO_ITEMS = "array<struct<item:string,count:bigint>>"
 
 
 def top_co_items(edges: DataFrame, n: int) -> DataFrame:
@@ -18,81 +19,96 @@ def top_co_items(edges: DataFrame, n: int) -> DataFrame:
 
 
 def top_co_items_nested(edges: DataFrame, n: int) -> DataFrame:
-    """(source_item, co_items): the same as one array of at most ``n`` per item."""
+    """(source_item, co_items, depth): the same as one array per item.
+
+    ``depth`` is ``n``: an array of that many may have been cut there, a shorter
+    one holds all the neighbours.
+    """
     return (
         top_co_items(edges, n)
         .groupBy("source_item")
         .agg(in_order("rank", "item", "count").alias("co_items"))
+        .withColumn("depth", F.lit(n))
     )
 
 
 def enough_neighbours(
-    max_co_items: int = MAX_CO_ITEMS, max_source_items: int = MAX_SOURCE_ITEMS
+    max_co_items: int = MAX_CO_ITEMS, longest_list: int = MAX_SOURCE_ITEMS
 ) -> int:
     """How many neighbours of an item can matter.
 
-    An item is no neighbour of itself, so at most ``max_source_items - 1`` of
-    its neighbours are the user's own.  Even if those are its best, the
+    An item is no neighbour of itself, so at most ``longest_list - 1`` of its
+    neighbours are the user's own.  Even if those are its best, the
     ``max_co_items`` to recommend are among this many.
     """
-    return max_co_items + max_source_items - 1
+    return max_co_items + max(longest_list, 1) - 1
 
 
-def candidate_recommendations(
-    source_items: DataFrame,
-    neighbours: DataFrame,
-    max_source_items: int = MAX_SOURCE_ITEMS,
-) -> DataFrame:
-    """(user_id, source_rank, source_item, candidates): the neighbours of each
-    source item that can still be recommended, without the user's own items.
+def longest_list(source_items: DataFrame) -> int:
+    """The length of the longest list, one number from one pass over the sizes."""
+    return source_items.agg(F.max(F.size("source_items"))).first()[0] or 0
 
-    Both inputs are nested: one list per user, one array of the best (at least
-    ``enough_neighbours``) per item.  Both arrays are bounded, so taking out the
-    own items is an expression on the row and needs no further join; the one
-    join is by item, against one row per item.
+
+def candidate_recommendations(source_items: DataFrame, edges: DataFrame) -> DataFrame:
+    """(user_id, source_rank, source_item, item, count): all neighbours of each
+    source item but the user's own items.
+
+    Two equality joins, whose hot items and users AQE can split; nothing is
+    gathered in a row.
     """
-    return _beside_source_items(source_items, neighbours, max_source_items).select(
-        "user_id", "source_rank", "source_item", _foreign().alias("candidates")
+    listed = source_items.select(
+        "user_id", F.posexplode("source_items").alias("position", "source_item")
+    )
+    own = listed.select("user_id", F.col("source_item").alias("item"))
+    return (
+        listed.join(edges, "source_item")
+        .join(own, ["user_id", "item"], "left_anti")
+        .select(
+            "user_id", (F.col("position") + 1).alias("source_rank"), "source_item", "item", "count"
+        )
     )
 
 
-def _beside_source_items(
-    source_items: DataFrame, neighbours: DataFrame, max_source_items: int
-) -> DataFrame:
+def _beside_source_items(source_items: DataFrame, neighbours: DataFrame) -> DataFrame:
     """A row for each user and source item: its neighbours, and all own items."""
+    own = F.filter("source_items", lambda item: item.isNotNull() & (item != ""))
     listed = source_items.select(
-        "user_id",
-        _no_longer_than("source_items", max_source_items).alias("own"),
-        F.posexplode("source_items").alias("position", "source_item"),
+        "user_id", own.alias("own"), F.posexplode(own).alias("position", "source_item")
     )
     return listed.join(neighbours, "source_item").withColumn("source_rank", F.col("position") + 1)
 
 
-def _foreign() -> Column:
-    return F.filter("co_items", lambda co: ~F.array_contains(F.col("own"), co["item"]))
-
+def _foreign(max_co_items: int) -> Column:
+    """The neighbours that are not the user's own.
 
-def _no_longer_than(column: str, limit: int) -> Column:
-    """The array; fails where it is longer than the bound the cut relies on."""
-    too_long = F.raise_error(
-        F.concat(F.lit(f"more than {limit} source items for user "), F.col("user_id"))
-    )
-    return F.when(F.size(column) > limit, too_long.cast("array<string>")).otherwise(F.col(column))
+    Fails where the stored array was cut too early to tell, instead of
+    returning fewer than there are.
+    """
+    needed = F.lit(max_co_items) + F.size("own") - 1
+    cut = (F.size("co_items") >= F.col("depth")) & (F.col("depth") < needed)
+    error = F.raise_error(F.concat(F.lit("neighbours are stored too shallow for "), F.col("user_id")))
+    checked = F.when(cut, error.cast(_CO_ITEMS)).otherwise(F.col("co_items"))
+    return F.filter(checked, lambda co: ~F.array_contains(F.col("own"), co["item"]))
 
 
 def recommendation_blocks(
     source_items: DataFrame,
     neighbours: DataFrame,
     max_co_items: int = MAX_CO_ITEMS,
-    max_source_items: int = MAX_SOURCE_ITEMS,
 ) -> DataFrame:
     """(user_id, source_rank, source_item, co_items): the best ``max_co_items``
-    candidates; a source item without candidates has no block."""
-    best_foreign = F.slice(_foreign(), 1, at_least_one("max_co_items", max_co_items))
+    candidates; a source item without candidates has no block.
+
+    Both inputs are nested: one list per user, one array per item, at least
+    ``enough_neighbours`` deep.  Taking out the own items is then an expression
+    on the row, and the one join is by item, against one row per item.
+    """
+    at_least_one("max_co_items", max_co_items)
+    best_foreign = F.slice(_foreign(max_co_items), 1, max_co_items)
     # Exploded from an array of one or none: a filter on the size afterwards
     # would evaluate the expression a second time.
     filled = F.filter(F.array(best_foreign), lambda block: F.size(block) > 0)
-    return _beside_source_items(source_items, neighbours, max_source_items).select(
+    return _beside_source_items(source_items, neighbours).select(
         "user_id", "source_rank", "source_item", F.explode(filled).alias("co_items")
     )
 

@@ -9,8 +9,14 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketflow.operators.abandonment import abandoned_cart_items, flag_abandoned_items
+from basketflow.operators.abandonment import (
+    TARGETING_SCHEMA,
+    abandoned_cart_items,
+    abandonment_summary,
+    flag_abandoned_items,
+)
 from basketflow.operators.affinity import TOP_CATEGORIES, user_affinity, user_category_scores
 from basketflow.operators.baskets import (
     BLOCK_SIZE,
@@ -24,7 +30,9 @@ from basketflow.operators.events import normalize_events
 from basketflow.operators.lookup import DEFAULT_LIMIT, lookup_batch
 from basketflow.operators.profiles import merge_upsert, user_profiles
 from basketflow.operators.recommendations import (
+    MAX_CO_ITEMS,
     enough_neighbours,
+    longest_list,
     recommendation_blocks,
     top_co_items_nested,
 )
@@ -34,32 +42,33 @@ from basketflow.operators.source_items import (
     user_source_items,
     user_source_items_nested,
 )
-from basketflow.plans.scratch import scratch_path
+from basketflow.plans.scratch import remove, require_free, scratch_path
 from basketflow.sources.events import read_normalized, write_normalized
 from basketflow.sources.tables import (
     read_profile_top_categories,
+    read_source_items_json,
     read_table,
     write_json,
     write_new,
     write_over,
     write_sorted,
+    write_touched,
 )
 
-# Neighbours stored per item: enough for the profiles, and for most lookups.
-NEIGHBOURS = enough_neighbours()
-
-
 def store_events(log: DataFrame, events_path: str) -> None:
     """Clean the raw log once, for all the jobs below."""
     write_normalized(normalize_events(log), events_path)
 
 
 def stored_giants(
-    spark: SparkSession, events: DataFrame, block_size: int = BLOCK_SIZE
+    spark: SparkSession,
+    events: DataFrame,
+    block_size: int = BLOCK_SIZE,
+    path: str | None = None,
 ) -> DataFrame:
     """The giant sessions of a log, written to the shared folder and read back:
     from its files Spark knows whether the table is small enough to broadcast."""
-    path = scratch_path(spark, "giants")
+    path = path or scratch_path(spark, "giants")
     write_new(giant_sessions(events, block_size), path)
     return read_table(spark, path)
 
@@ -67,9 +76,15 @@ def stored_giants(
 def market_basket(
     spark: SparkSession, events_path: str, pairs_path: str, block_size: int = BLOCK_SIZE
 ) -> None:
+    """Refuses a path where there is something, before any work."""
+    require_free(spark, pairs_path)
     purchased = read_normalized(spark, events_path, "purchase")
-    giants = stored_giants(spark, purchased, block_size)
-    write_over(pairs_ranked(pair_counts(purchased, giants, block_size)), pairs_path)
+    path = scratch_path(spark, "giants")
+    try:
+        giants = stored_giants(spark, purchased, block_size, path)
+        write_new(pairs_ranked(pair_counts(purchased, giants, block_size)), pairs_path)
+    finally:
+        remove(spark, path)
 
 
 def affinity(spark: SparkSession, events_path: str, affinity_path: str) -> None:
@@ -86,13 +101,37 @@ def source_items(
 
 
 def neighbours(
-    spark: SparkSession, pairs_path: str, neighbours_path: str, depth: int = NEIGHBOURS
+    spark: SparkSession, pairs_path: str, neighbours_path: str, depth: int = enough_neighbours()
 ) -> None:
-    """The best neighbours of each item, laid out for lookups by item."""
+    """The best neighbours of each item, laid out for lookups by item, with their depth."""
     edges = co_occurrence_edges(read_table(spark, pairs_path))
     write_sorted(top_co_items_nested(edges, depth), neighbours_path, "source_item")
 
 
+def nearest(
+    spark: SparkSession,
+    neighbours_path: str,
+    pairs_path: str,
+    depth: int,
+    wanted: DataFrame | None = None,
+) -> DataFrame:
+    """Neighbours to at least ``depth``: the stored ones, or, if they are too
+    shallow, deeper ones made from the pairs.
+
+    ``wanted`` (item_id): items that the result may be limited to; only their
+    pairs are ranked then.
+    """
+    stored = read_table(spark, neighbours_path)
+    stored_depth = stored.agg(F.min("depth")).first()[0]
+    if stored_depth is None or stored_depth >= depth:
+        return stored
+    edges = co_occurrence_edges(read_table(spark, pairs_path))
+    if wanted is not None:
+        items = wanted.select(F.col("item_id").alias("source_item")).distinct()
+        edges = edges.join(items, "source_item", "left_semi")
+    return top_co_items_nested(edges, depth)
+
+
 def upsert_into(
     spark: SparkSession, updates: DataFrame, key: str, current_path: str | None, new_path: str
 ) -> None:
@@ -104,6 +143,14 @@ def upsert_into(
     write_sorted(updates, new_path, key)
 
 
+def upsert_in_place(
+    spark: SparkSession, updates: DataFrame, key: str, path: str, parts: int = 64
+) -> None:
+    """Upsert into a table laid out by ``write_touched``: partitions without an
+    updated key are neither read nor written.  Running it again changes nothing."""
+    write_touched(spark, updates, path, key, parts, merge_upsert)
+
+
 def load_pairs(
     spark: SparkSession,
     pairs_path: str,
@@ -120,13 +167,20 @@ def load_profiles(
     affinity_path: str,
     items_path: str,
     neighbours_path: str,
+    pairs_path: str,
     new_path: str,
     current_path: str | None = None,
     run_ts: datetime | None = None,
+    max_co_items: int = MAX_CO_ITEMS,
 ) -> None:
-    blocks = recommendation_blocks(
-        read_table(spark, items_path), read_table(spark, neighbours_path)
-    )
+    """Source items may be a stored table, or JSON lines (a path that ends in
+    ``.json``), with lists of any length; the neighbours are as deep as the
+    longest list needs."""
+    read_items = read_source_items_json if items_path.rstrip("/").endswith(".json") else read_table
+    items = read_items(spark, items_path)
+    depth = enough_neighbours(max_co_items, longest_list(items))
+    near = nearest(spark, neighbours_path, pairs_path, depth)
+    blocks = recommendation_blocks(items, near, max_co_items)
     updates = user_profiles(read_table(spark, affinity_path), blocks, run_ts)
     upsert_into(spark, updates, "user_id", current_path, new_path)
 
@@ -138,10 +192,16 @@ def cart_abandonment(
     targeting_path: str,
     n: int = TOP_CATEGORIES,
     run_ts: datetime | None = None,
+    figures_path: str | None = None,
 ) -> None:
+    """The targeting list, and the figures of the run if they have a path."""
     events = read_normalized(spark, events_path, "cart", "purchase")
     top = read_profile_top_categories(spark, profiles_path, n)
     write_json(flag_abandoned_items(abandoned_cart_items(events), top, run_ts), targeting_path)
+    if figures_path is not None:
+        written = spark.read.schema(TARGETING_SCHEMA).json(targeting_path)
+        profiles = read_table(spark, profiles_path)
+        write_json(abandonment_summary(written, profiles), figures_path)
 
 
 def lookups(
@@ -152,18 +212,15 @@ def lookups(
     pairs_path: str,
     limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
-    """Answer requests from the stored tables; a ``limit`` beyond the stored
-    neighbours is served from the pairs."""
-    if limit <= NEIGHBOURS:
-        nearest = read_table(spark, neighbours_path)
-    else:
-        nearest = top_co_items_nested(co_occurrence_edges(read_table(spark, pairs_path)), limit)
-    return lookup_batch(requests, read_table(spark, profiles_path), nearest, limit)
+    """Answer requests from the stored tables; a ``limit`` beyond the depth of the
+    stored neighbours is served from the pairs of the items asked for."""
+    near = nearest(spark, neighbours_path, pairs_path, limit, requests)
+    return lookup_batch(requests, read_table(spark, profiles_path), near, limit)
 
 
 def table_paths(root: str) -> dict[str, str]:
     """Where ``build_all`` keeps each table."""
-    names = "events pairs affinity source_items neighbours pair_documents profiles targeting"
+    names = "events pairs affinity source_items neighbours pair_documents profiles targeting figures"
     return {name: f"{root.rstrip('/')}/{name}" for name in names.split()}
 
 
@@ -183,10 +240,16 @@ def build_all(
         paths["affinity"],
         paths["source_items"],
         paths["neighbours"],
+        paths["pairs"],
         paths["profiles"],
         run_ts=run_ts,
     )
     cart_abandonment(
-        spark, paths["events"], paths["profiles"], paths["targeting"], run_ts=run_ts
+        spark,
+        paths["events"],
+        paths["profiles"],
+        paths["targeting"],
+        run_ts=run_ts,
+        figures_path=paths["figures"],
     )
     return paths

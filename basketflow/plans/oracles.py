@@ -220,7 +220,8 @@ def _two_loads(parts: tuple[str, ...], result: str, select: str) -> str:
 
 _EVENTS = "SELECT session_id, user_id, event_type, product_id, category FROM log"
 _RECS = "SELECT user_id, source_rank, source_item, rank, item, count FROM recs"
-_FLAGGED = "SELECT * FROM flagged"
+_RUN_TS = " '2026-01-01T00:00:00.000000+00:00' "
+_FLAGGED = "SELECT *," + _RUN_TS + "AS generated_at FROM flagged"
 
 ORACLES: dict[str, str] = {
     "scan_events": RAW,
@@ -247,7 +248,7 @@ ORACLES: dict[str, str] = {
         SHOP,
         *_TO_PAIRS,
         "SELECT item_a || '::' || item_b AS pair_id, item_a, item_b,"
-        " item_a || ',' || item_b AS items, count FROM pairs",
+        " item_a || ',' || item_b AS items, count," + _RUN_TS + "AS updated_at FROM pairs",
     ),
     "pairs_with_item": _with(
         SHOP,
@@ -300,17 +301,20 @@ ORACLES: dict[str, str] = {
         EDGES,
         ITEMS,
         """
-        near AS (
-          SELECT * FROM (
-            SELECT *, row_number() OVER (PARTITION BY source_item ORDER BY count DESC, item) AS place
-            FROM edges) WHERE place <= 24)""",
-        """
         SELECT s.user_id, s.rank AS source_rank, s.product_id AS source_item, n.item, n.count
-        FROM source_items s JOIN near n ON n.source_item = s.product_id
+        FROM source_items s JOIN edges n ON n.source_item = s.product_id
         WHERE NOT EXISTS (
           SELECT 1 FROM source_items o WHERE o.user_id = s.user_id AND o.product_id = n.item)""",
     ),
     "user_recommendations": _with(SHOP, *_TO_RECS, _RECS),
+    "user_recommendations_wide": _with(
+        SHOP,
+        *_TO_PAIRS,
+        EDGES,
+        ITEMS.replace("rank <= 20", "rank <= 30"),
+        RECOMMENDATIONS.replace("rank <= 5", "rank <= 10"),
+        _RECS,
+    ),
     "user_recommendations_nested": _with(
         SHOP, *_TO_PROFILES, "SELECT user_id, recommendations FROM nested_recs"
     ),
@@ -411,6 +415,7 @@ ORACLES: dict[str, str] = {
     "click_pairs_ranked": _with(
         CLICKS, *_TO_PAIRS, "SELECT * FROM pairs ORDER BY count DESC, item_a, item_b"
     ),
+    "click_pairs_in_blocks": _with(CLICKS, *_TO_PAIRS, "SELECT * FROM pairs"),
     "click_user_affinity": _with(CLICKS, SCORES, "SELECT * FROM affinity"),
     "click_user_source_items": _with(CLICKS, ITEMS, "SELECT * FROM source_items"),
     "click_user_recommendations": _with(CLICKS, *_TO_RECS, _RECS),

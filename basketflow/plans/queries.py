@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.functions.category import metadata_category
-from basketflow.functions.formats import as_json
+from basketflow.functions.formats import as_json, iso_timestamp
 from basketflow.operators import abandonment as ab
 from basketflow.operators import affinity as af
 from basketflow.operators import baskets as bk
@@ -23,7 +23,7 @@ from basketflow.operators import profiles as pf
 from basketflow.operators import recommendations as rc
 from basketflow.operators import source_items as si
 from basketflow.plans import jobs
-from basketflow.plans.scratch import scratch_path
+from basketflow.plans.scratch import file_versions, scratch_path
 from basketflow.plans.standin import (
     click_events,
     click_log,
@@ -42,6 +42,9 @@ RUN_TS = datetime(2026, 1, 1, tzinfo=timezone.utc)
 # Orders before and from this day stand for two loads of the stored tables.
 SECOND_LOAD = "1998-04-25"
 
+#: The tables that the logs are made from.
+LOG_TABLES = ["customer", "events", "lineitem", "orders", "part", "supplier"]
+
 LOG_COLUMNS = ["session_id", "user_id", "event_type", "product_id", "product_metadata"]
 
 REGISTRY: dict[str, Query] = {}
@@ -85,20 +88,26 @@ def scores(events: DataFrame) -> DataFrame:
     return af.user_category_scores(events)
 
 
-def source_lists(events: DataFrame) -> DataFrame:
-    return si.user_source_items_nested(si.user_source_items(si.user_item_scores(events)))
+def source_lists(events: DataFrame, n: int = si.MAX_SOURCE_ITEMS) -> DataFrame:
+    return si.user_source_items_nested(si.user_source_items(si.user_item_scores(events), n))
 
 
 def pairs(spark: SparkSession, events: DataFrame) -> DataFrame:
     return bk.pair_counts(events, jobs.stored_giants(spark, events))
 
 
-def neighbours(counted: DataFrame) -> DataFrame:
-    return rc.top_co_items_nested(bk.co_occurrence_edges(counted), rc.enough_neighbours())
+def neighbours(counted: DataFrame, depth: int) -> DataFrame:
+    return rc.top_co_items_nested(bk.co_occurrence_edges(counted), depth)
 
 
-def blocks(events: DataFrame, counted: DataFrame) -> DataFrame:
-    return rc.recommendation_blocks(source_lists(events), neighbours(counted))
+def blocks(
+    events: DataFrame,
+    counted: DataFrame,
+    n: int = si.MAX_SOURCE_ITEMS,
+    max_co_items: int = rc.MAX_CO_ITEMS,
+) -> DataFrame:
+    near = neighbours(counted, rc.enough_neighbours(max_co_items, n))
+    return rc.recommendation_blocks(source_lists(events, n), near, max_co_items)
 
 
 def profiles(events: DataFrame, counted: DataFrame) -> DataFrame:
@@ -112,16 +121,25 @@ def flagged(events: DataFrame) -> DataFrame:
 
 
 def flagged_text(flags: DataFrame) -> DataFrame:
-    return flags.withColumn("user_top_categories", joined(F.col("user_top_categories"))).drop(
-        "generated_at"
-    )
+    return flags.withColumn("user_top_categories", joined(F.col("user_top_categories")))
 
 
-def loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The cleaned events of the first and of the second load."""
+def loads(spark: SparkSession, sf_dir: str) -> list[dict[str, str]]:
+    """The tables of the first and of the second load, by what the jobs store."""
     log = shop_log(spark, sf_dir)
     first = F.col("timestamp") < SECOND_LOAD
-    return ev.normalize_events(log.where(first)), ev.normalize_events(log.where(~first))
+    return [
+        jobs.table_paths(
+            stored_once(
+                spark, sf_dir, name, lambda new, part=part: jobs.build_all(spark, log.where(part), new, RUN_TS)
+            )
+        )
+        for name, part in (("first-load", first), ("second-load", ~first))
+    ]
+
+
+def two_loads(spark: SparkSession, sf_dir: str, name: str) -> list[DataFrame]:
+    return [tables.read_table(spark, paths[name]) for paths in loads(spark, sf_dir)]
 
 
 def stored_once(
@@ -130,9 +148,11 @@ def stored_once(
     """Path of a table written on first use and shared by the queries of a session.
 
     This is how the jobs work too: the log is cleaned and stored once, and each
-    product reads the kinds of events it needs from there.
+    product reads the kinds of events it needs from there.  When a file of the
+    input changes, the table is written anew.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    versions = tuple(file_versions(spark, f"{sf_dir}/{t}.parquet") for t in LOG_TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir, name, versions)
     if key not in _STORED:
         path = scratch_path(spark, name)
         write(path)
@@ -140,7 +160,7 @@ def stored_once(
     return _STORED[key]
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple, str] = {}
 
 
 def shop(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
@@ -297,7 +317,9 @@ def top_pairs(spark, sf_dir):
 @query
 def pair_documents(spark, sf_dir):
     documents = bk.pair_documents(shop_pairs(spark, sf_dir), RUN_TS)
-    return documents.withColumn("items", joined(F.col("items"))).drop("updated_at")
+    return documents.withColumn("items", joined(F.col("items"))).withColumn(
+        "updated_at", iso_timestamp(F.col("updated_at"))
+    )
 
 
 @query
@@ -388,10 +410,8 @@ def top_co_items(spark, sf_dir):
 @query
 def candidate_recommendations(spark, sf_dir):
     events = shop(spark, sf_dir, "cart", "purchase")
-    found = rc.candidate_recommendations(source_lists(events), neighbours(shop_pairs(spark, sf_dir)))
-    return found.select(
-        "user_id", "source_rank", "source_item", F.inline("candidates")
-    )
+    edges = bk.co_occurrence_edges(shop_pairs(spark, sf_dir))
+    return rc.candidate_recommendations(source_lists(events), edges)
 
 
 @query
@@ -399,6 +419,13 @@ def user_recommendations(spark, sf_dir):
     return rc.user_recommendations(blocks(shop(spark, sf_dir, "cart", "purchase"), shop_pairs(spark, sf_dir)))
 
 
+@query
+def user_recommendations_wide(spark, sf_dir):
+    """Longer lists: 30 source items, 10 co-items."""
+    events = shop(spark, sf_dir, "cart", "purchase")
+    return rc.user_recommendations(blocks(events, shop_pairs(spark, sf_dir), 30, 10))
+
+
 @query
 def user_recommendations_nested(spark, sf_dir):
     nested = rc.user_recommendations_nested(blocks(shop(spark, sf_dir, "cart", "purchase"), shop_pairs(spark, sf_dir)))
@@ -429,21 +456,13 @@ def profiles_exploded(spark, sf_dir):
 
 @query
 def upsert_pairs(spark, sf_dir):
-    first, second = loads(spark, sf_dir)
-    merged = pf.merge_upsert(
-        bk.pair_documents(pairs(spark, first), RUN_TS),
-        bk.pair_documents(pairs(spark, second), RUN_TS),
-        "pair_id",
-    )
+    merged = pf.merge_upsert(*two_loads(spark, sf_dir, "pair_documents"), "pair_id")
     return merged.select("pair_id", "item_a", "item_b", "count")
 
 
 @query
 def upsert_profiles(spark, sf_dir):
-    first, second = loads(spark, sf_dir)
-    merged = pf.merge_upsert(
-        profiles(first, pairs(spark, first)), profiles(second, pairs(spark, second)), "user_id"
-    )
+    merged = pf.merge_upsert(*two_loads(spark, sf_dir, "profiles"), "user_id")
     return merged.select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
@@ -453,10 +472,7 @@ def upsert_profiles(spark, sf_dir):
 
 @query
 def upsert_metrics(spark, sf_dir):
-    first, second = loads(spark, sf_dir)
-    return pf.upsert_metrics(
-        bk.pair_documents(pairs(spark, first)), bk.pair_documents(pairs(spark, second)), "pair_id"
-    )
+    return pf.upsert_metrics(*two_loads(spark, sf_dir, "pair_documents"), "pair_id")
 
 
 # --- abandoned carts --------------------------------------------------------
@@ -567,6 +583,13 @@ def click_pairs_ranked(spark, sf_dir):
     return bk.pairs_ranked(pairs(spark, clicks(spark, sf_dir, "purchase")))
 
 
+@query
+def click_pairs_in_blocks(spark, sf_dir):
+    """The same counts with baskets of more than four paired in blocks."""
+    events = clicks(spark, sf_dir, "purchase")
+    return bk.pair_counts(events, jobs.stored_giants(spark, events, 4), 4)
+
+
 @query
 def click_user_affinity(spark, sf_dir):
     return af.user_affinity(scores(clicks(spark, sf_dir)))

@@ -9,17 +9,26 @@ from pyspark.sql import SparkSession
 MIB = 1024 * 1024
 
 
+#: What products shuffle, of the bytes of the raw log: a few short columns of it.
+SHUFFLED_SHARE = 0.05
+#: More shuffle partitions than this cost the driver more than they save the tasks.
+MOST_PARTITIONS = 20_000
+
+
 def settings(input_bytes: int, cores: int, partition_bytes: int = 192 * MIB) -> dict[str, str]:
-    """Settings for a run over ``input_bytes`` of log on ``cores`` cores.
+    """Settings for a run over ``input_bytes`` of raw log on ``cores`` cores.
 
-    Shuffles start from enough partitions for the whole input, so that none
-    has to spill much; AQE joins the small ones together afterwards.
+    Shuffles start from enough partitions for what is shuffled, so that none has
+    to spill much, up to a bound; AQE joins the small ones together afterwards.
     """
-    partitions = max(2 * cores, ceil(input_bytes / partition_bytes))
+    wanted = min(ceil(SHUFFLED_SHARE * input_bytes / partition_bytes), MOST_PARTITIONS)
+    partitions = max(2 * cores, wanted)
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Short rows may stand for much work: keep tasks for all cores.
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         # Small inputs are split for all cores too.

@@ -56,10 +56,13 @@ def write_normalized(events: DataFrame, path: str) -> None:
     """Store the cleaned log once, for all products.
 
     Partitioned by kind of event: a product that needs purchases reads no
-    others.  The kinds are four at most, whatever types the log holds.
+    others.  The kinds are four at most, whatever types the log holds.  Rows are
+    rebalanced by kind before they are written, so that each task writes files of
+    one kind and of the usual size; AQE splits the kinds that are large.
     """
     kind = F.when(F.col("event_type").isin(*KINDS), F.col("event_type")).otherwise("other")
-    events.withColumn("kind", kind).write.mode("overwrite").partitionBy("kind").parquet(path)
+    placed = events.withColumn("kind", kind).hint("rebalance", "kind")
+    placed.write.mode("overwrite").partitionBy("kind").parquet(path)
 
 
 def read_normalized(spark: SparkSession, path: str, *kinds: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +34,11 @@ def read_source_items_json(spark: SparkSession, path: str) -> DataFrame:
     """Source items kept as JSON lines, tolerant of bad ones.
 
     Lines that are no JSON or name no user are skipped; a user whose list has
-    the wrong type is kept, with an empty list.
+    the wrong type is kept, with an empty list.  Entries without text are left out.
     """
     lines = spark.read.schema(SOURCE_ITEMS_SCHEMA).option("mode", "PERMISSIVE").json(path)
-    listed = F.coalesce("source_items", F.array().cast("array<string>"))
+    filled = F.filter("source_items", lambda item: item.isNotNull() & (item != ""))
+    listed = F.coalesce(filled, F.array().cast("array<string>"))
     return lines.where(F.col("user_id") != "").select("user_id", listed.alias("source_items"))
 
 
@@ -58,6 +61,37 @@ def write_sorted(df: DataFrame, path: str, key: str) -> None:
     )
 
 
+def write_touched(
+    spark: SparkSession,
+    updates: DataFrame,
+    path: str,
+    key: str,
+    parts: int,
+    merge: Callable[[DataFrame, DataFrame, str], DataFrame],
+) -> None:
+    """Bring a table in ``parts`` partitions by hash of its key up to date.
+
+    Only the partitions of updated keys are read, merged and replaced; the files
+    of the others stay.  A table that is not there yet is made.
+    """
+    part = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+        placed = updates.withColumn("part", part)
+        # At most as many numbers as there are partitions.
+        touched = [row["part"] for row in placed.select("part").distinct().collect()]
+        stored = read_table(spark, path).where(F.col("part").isin(touched)).drop("part")
+        updates = merge(stored, updates, key)
+    (
+        updates.withColumn("part", part)
+        .hint("rebalance", "part")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("part")
+        .parquet(path)
+    )
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
     """Store a table for joins by ``key``: later joins need not shuffle it."""
     (

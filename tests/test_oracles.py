@@ -3,13 +3,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as driver
+from basketflow.plans.oracles import ORACLES as SQL
+from basketflow.plans.queries import REGISTRY as QUERIES
 from tests.compare import oracle, oracle_rows, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def connection():

@@ -19,7 +19,7 @@ def plan(df) -> str:
 
 @pytest.mark.parametrize(
     "name",
-    ["pairs_ranked", "user_affinity", "user_source_items", "user_profiles_nested", "flag_abandoned_items", "lookup_batch"],
+    ["pairs_ranked", "user_affinity", "user_source_items", "user_profiles_nested", "user_recommendations_wide", "flag_abandoned_items", "lookup_batch"],
 )
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(driver.queries()[name](spark, SF_DIR))

@@ -154,16 +154,35 @@ def test_recommendations(spark, log):
     assert found == {u: blocks for u, blocks in brute_recommendations(rows).items() if blocks}
 
 
-def test_source_lists_beyond_the_bound_fail(spark):
+def test_neighbours_too_shallow_fail(spark):
     lists = spark.createDataFrame(
         [("u", [str(i) for i in range(21)])], "user_id STRING, source_items ARRAY<STRING>"
     )
     nearest = spark.createDataFrame(
-        [("1", [("99", 1)])],
-        "source_item STRING, co_items ARRAY<STRUCT<item: STRING, count: BIGINT>>",
+        [("1", [("99", 1)], 24), ("2", [("98", 2), ("97", 1)], 2)],
+        "source_item STRING, co_items ARRAY<STRUCT<item: STRING, count: BIGINT>>, depth INT",
     )
-    with pytest.raises(Exception, match="more than 20 source items"):
+    with pytest.raises(Exception, match="too shallow for u"):
         rc.recommendation_blocks(lists, nearest).collect()
+    # An array that is shorter than its depth was not cut.
+    assert rc.recommendation_blocks(lists, nearest.where("depth = 24")).count() == 1
+
+
+def test_missing_entries_of_a_source_list_count_for_nothing(spark):
+    lists = spark.createDataFrame(
+        [("u", ["a", None, ""]), ("v", [None]), ("w", None)], "user_id STRING, source_items ARRAY<STRING>"
+    )
+    pairs = spark.createDataFrame([("a", "b", 3)], "item_a STRING, item_b STRING, count BIGINT")
+    nearest = rc.top_co_items_nested(bk.co_occurrence_edges(pairs), rc.enough_neighbours())
+    blocks = rc.recommendation_blocks(lists, nearest)
+    assert [tuple(r) for r in rc.user_recommendations(blocks).collect()] == [("u", 1, "a", 1, "b", 3)]
+
+
+def test_pairs_ranked_are_in_order(spark, log):
+    rows, events = log
+    ranked = bk.pairs_ranked(bk.pair_counts(events, no_giants(spark))).collect()
+    expected = sorted(((-n, a, b) for (a, b), n in brute_pairs(rows).items()))
+    assert [(-r["count"], r.item_a, r.item_b) for r in ranked] == expected
 
 
 def test_next_best_neighbour_fills_up(spark):
