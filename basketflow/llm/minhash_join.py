@@ -11,14 +11,16 @@ that symbol left out: all pairs within the distance share an entry.
 Only then are texts compared, on their full sets of shingles:
 
 - Equal sets are one class, found by digest; only a class's first text is compared.
-- The texts of an entry are compared with its smallest one, so that a large group
-  of near copies costs as many comparisons as texts, not their square; first each
-  text with one candidate only.  Pairs that are in one component by then need no
-  comparison.  The others, also those of two texts in an entry that are not its
-  smallest, are compared after that, so that no link is lost.
-- A text with very many candidates is dealt out over several tasks.
-
-Texts move once from the corpus to the table of texts that have a candidate.
+- First each text is compared with the smallest one of its entries.  So a large
+  group of near copies costs as many comparisons as texts, not their square.
+- Entries whose texts are in one component by then are done.  The texts of the
+  others are clustered by the entries they share.  A cluster is compared in one task
+  if it is small, else in blocks of bounded size, block against block over all
+  tasks: pairs within the distance that are not yet in one component.  Tasks return
+  the links that join components, not the pairs, so that no link between components
+  is lost and a group of any size leaves few rows.
+
+Texts move once from the corpus to the table of texts that share an entry.
 """
 
 from __future__ import annotations
@@ -44,6 +46,8 @@ SIMILARITY, WORDS = 80, 5
 SYMBOLS, CHUNK, DISTANCE = 65, 5, 25
 #: Shingles that one task compares with one text, about.
 DEALT = 200_000
+#: Texts and shingles of a block of a large cluster, about.
+BLOCK_TEXTS, BLOCK_SHINGLES = 1_000, 2_000_000
 #: Distinct words whose hashes a worker remembers.
 MEMO = 500_000
 
@@ -150,10 +154,10 @@ def distance(one: pd.Series, other: pd.Series) -> pd.Series:
 
 
 def near(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``a, b, n_b`` of the distinct pairs within the signature distance."""
+    """``a, b, n_b`` of the pairs within the signature distance."""
     one = classes.select(F.col("doc").alias("a"), F.col("signature").alias("sig_a"))
     other = classes.select(F.col("doc").alias("b"), F.col("signature").alias("sig_b"), F.col("n").alias("n_b"))
-    joined = pairs.distinct().join(one, "a").join(other, "b")
+    joined = pairs.join(one, "a").join(other, "b")
     return joined.where(distance("sig_a", "sig_b") <= DISTANCE).select("a", "b", "n_b")
 
 
@@ -198,6 +202,67 @@ def shingles_of(text: bytes, size: int) -> set:
     return set(zip(*(words[i:] for i in range(size)), strict=False))
 
 
+def compared(table: pa.Table, words: int, similarity: int) -> pa.Table:
+    """Links that join components among the texts of a cluster, or of two blocks of it."""
+    table = table.take(pa.array(np.argsort(table.column("doc").to_numpy(), kind="stable")))
+    docs = table.column("doc").to_numpy()
+    block = table.column("block").to_numpy()
+    two = table.column("i")[0].as_py() != table.column("j")[0].as_py()
+    texts = [t.encode("utf-8") for t in table.column("text").to_pylist()]
+    sets = [shingle_hashes(words_of(t), words) for t in texts]
+    sizes = np.array([len(s) for s in sets])
+    signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), "<u2").reshape(-1, SYMBOLS)
+    group = table.column("group").to_numpy().copy()
+    found = []
+    for at in range(len(docs) - 1):
+        rest = slice(at + 1, None)
+        likely = (group[rest] != group[at]) & ((signatures[rest] != signatures[at]).sum(axis=1) <= DISTANCE)
+        likely &= 100 * np.minimum(sizes[rest], sizes[at]) >= similarity * np.maximum(sizes[rest], sizes[at])
+        if two:
+            likely &= block[rest] != block[at]
+        for other in (np.flatnonzero(likely) + at + 1).tolist():
+            if group[other] == group[at]:
+                continue  # joined meanwhile
+            common = len(np.intersect1d(sets[at], sets[other], assume_unique=True))
+            if 100 * common < similarity * (sizes[at] + sizes[other] - common):
+                continue
+            one, two_ = shingles_of(texts[at], words), shingles_of(texts[other], words)
+            common = len(one & two_)
+            if 100 * common >= similarity * (len(one) + len(two_) - common):
+                found.append((docs[at], docs[other]))
+                group[group == group[other]] = group[at]
+    kinds = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    return pa.table({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=kinds)
+
+
+def across(
+    open_pairs: DataFrame, groups: DataFrame, classes: DataFrame, texts: DataFrame, words: int, similarity: int
+) -> DataFrame:
+    """Links between components of texts that share an entry, or share one with a third.
+
+    ``open_pairs``: ``a, b`` that lead through all such texts.
+    """
+    clusters = components(open_pairs).select(F.col("node").alias("doc"), F.col("component").alias("cluster"))
+    members = stored(clusters.join(classes.select("doc", "n", "signature"), "doc"), "clusters")
+    wanted = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+    blocks = members.groupBy("cluster").agg(wanted.cast("int").alias("blocks"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = (
+        members.join(blocks, "cluster")
+        .select("*", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block"))
+        .select("doc", "cluster", "signature", "block", other)
+        .withColumn("i", F.least("block", "other"))
+        .withColumn("j", F.greatest("block", "other"))
+        .drop("other")
+    )
+    own = groups.select(F.col("node").alias("doc"), "component")
+    placed = dealt.join(own, "doc", "left").withColumn("group", F.coalesce("component", "doc")).drop("component")
+    rows = placed.join(texts, "doc")
+    return rows.groupBy("cluster", "i", "j").applyInArrow(
+        lambda table: compared(table, words, similarity), "a long, b long"
+    )
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``, one row per row of ``docs``.
 
@@ -225,39 +290,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
         "entries",
     )
     crowded = stored(entered.join(shared.where("size > 2").select("key", "a"), "key"), "crowded")
-    pairs = shared.select("a", "b").union(crowded.where("doc <> a").select("a", F.col("doc").alias("b")))
-    pairs = stored(near(pairs, classes), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    texts = stored(rows.withColumnRenamed("doc_id", "doc").join(wanted, "doc"), "texts")
-    # First each text with one candidate, its smallest.
-    first = pairs.groupBy("b").agg(F.min(F.struct("a", "n_b")).alias("p")).select("p.a", "b", "p.n_b")
-    found = stored(linked(first, texts, words, similarity), "links")
+    members = shared.where("size = 2").select("key", "a", F.col("b").alias("doc")).union(
+        crowded.select("key", "a", "doc").where("doc <> a")
+    )
+    wanted = members.select(F.explode(F.array("a", "doc")).alias("doc")).distinct()
+    # By a shuffle whatever the sizes, as wanted texts grow with the corpus.
+    texts = stored(rows.withColumnRenamed("doc_id", "doc").join(wanted.hint("merge"), "doc"), "texts")
+    first = members.groupBy("doc").agg(F.min("a").alias("a")).select("a", F.col("doc").alias("b"))
+    found = stored(linked(stored(near(first, classes), "pairs"), texts, words, similarity), "links")
     groups = components(found)
 
-    # What is not yet in one component, and is not compared yet.
-    own = groups.select(F.col("node").alias("doc"), "component")
-    group = F.coalesce(F.col("component"), F.col("doc"))
-    members = crowded.join(own, "doc", "left").select("key", "doc", group.alias("group"))
-    split = members.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi")
-    open_members = members.join(split.select("key"), "key")
-    others = open_members.select("key", F.col("doc").alias("b"), F.col("group").alias("group_b"))
-    across = (
-        open_members.join(others, "key").where("group <> group_b AND doc < b").select(F.col("doc").alias("a"), "b")
+    # Entries with texts of several components.
+    by_doc = groups.select(F.col("node").alias("doc"), "component")
+    by_a = groups.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
+    grouped = members.join(by_doc, "doc", "left").join(by_a, "a", "left")
+    group, group_a = F.coalesce("component", "doc"), F.coalesce("component_a", "a")
+    mixed_entries = grouped.where(group != group_a).select("key").distinct()
+    open_pairs = stored(
+        members.join(mixed_entries, "key", "left_semi").select("a", F.col("doc").alias("b")).distinct(), "open-pairs"
     )
-    by_a = groups.select(F.col("node").alias("a"), F.col("component").alias("group_a"))
-    by_b = groups.select(F.col("node").alias("b"), F.col("component").alias("group_b"))
-    differ = F.coalesce("group_a", "a") != F.coalesce("group_b", "b")
-    rest = pairs.select("a", "b").join(by_a, "a", "left").join(by_b, "b", "left").where(differ).select("a", "b")
-    rest = rest.union(across).distinct().join(first.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(near(rest, classes), "pairs")
-    if not rest.isEmpty():
-        more = rest.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-        new = more.join(wanted, "doc", "left_anti")
-        if not new.isEmpty():
-            texts = texts.union(rows.withColumnRenamed("doc_id", "doc").join(new, "doc"))
-        again = stored(linked(rest, texts, words, similarity), "links")
-        if not again.isEmpty():
-            groups = components(found.union(again))
+    if not open_pairs.isEmpty():
+        more = stored(across(open_pairs, groups, classes, texts, words, similarity), "links")
+        if not more.isEmpty():
+            groups = components(found.union(more))
 
     by_text = classes.join(groups, classes.doc == groups.node, "left").select(
         "digest", F.coalesce("component", "doc").alias("component")
