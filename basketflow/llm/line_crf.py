@@ -299,7 +299,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Field
         features_of, f"doc_id {kind}, lines array<double>, label int"
     )
     # In a fixed order, so that training again gives the same field.
-    rows = sorted(((r["doc_id"], r["label"], r["lines"]) for r in found.toLocalIterator()), key=lambda r: r[:2])
+    rows = sorted(((r["doc_id"], r["label"], r["lines"]) for r in found.toArrow().to_pylist()), key=lambda r: r[:2])
     if len({label for _, label, _ in rows}) < 2:
         # Nothing to learn from: lines are as good as the labels say, or even.
         share = float(np.mean([label for _, label, _ in rows])) if rows else 0.5
