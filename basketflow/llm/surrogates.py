@@ -15,16 +15,19 @@ keyed permutation of all codes of that form:
 - The result keeps type, script, letter case, punctuation, and for first names the
   gender.
 
-``collisions`` checks the outcome on a corpus: surrogates shared by different
-entities, by an aggregate over their digests.
-
-Replacing is one narrow pass, so hot texts and hot entities need no care.  The key
-is a parameter; who has no key can't go back.
+Collisions that only the corpus can tell are checked before anything is replaced: a
+surrogate that is the code of another entity in the corpus, or of two of them.  The
+distinct digests of entities and of their surrogates are joined; an entity that
+collides gets the next permutation, until none does.  Names are left out of this
+check: their parts come from lists of names that anyone may have.
+
+Finding and replacing are narrow passes over the texts; only distinct digests are
+shuffled, so hot texts and hot entities need no care.  The key is a parameter; who
+has no key can't go back.
 """
 
 from __future__ import annotations
 
-import hashlib
 import hmac
 import re
 import unicodedata
@@ -32,11 +35,17 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketflow.llm.common import stored
+
 ROUNDS = 10
+#: Entities that may need another permutation than the first: tasks hold them all, so
+#: more are refused.  Permutations that are tried.
+MAX_COLLISIONS, ATTEMPTS = 1_000_000, 20
 
 #: First names by script and gender, titles that a name follows.
 FIRST_NAMES = {
@@ -111,6 +120,7 @@ class Permutation:
 
     def __init__(self, key: bytes):
         self.key = key
+        self.attempt = 0
 
     def _round(self, label: str, number: int, bits: int) -> int:
         size = -(-bits // 8)
@@ -140,7 +150,7 @@ class Permutation:
         if size < 2:
             return x
         half = max(1, -(-(size - 1).bit_length() // 2))
-        label = f"{label}/{size}"
+        label = f"{self.attempt}/{label}/{size}"
         shift = 1 + self._round(f"{label}/shift", 0, 64) % (size - 1)
         place = (self._walk(x, size, half, label, range(ROUNDS)) + shift) % size
         # The rounds backwards undo themselves, as the halves are swapped at the end.
@@ -175,9 +185,11 @@ def recased(text: str, like: str) -> str:
 
 
 class Surrogates:
-    def __init__(self, key: bytes):
+    def __init__(self, key: bytes, attempts: dict[str, int] | None = None):
+        self.key = key
+        self.attempts = attempts or {}
         self.permutation = Permutation(key)
-        self.known: dict[tuple[str, str], str] = {}
+        self.known: dict[tuple[str, str], tuple[str, str]] = {}
         self.first = {n.lower(): (kind, i) for kind, names in FIRST_NAMES.items() for i, n in enumerate(names)}
 
     def _code(self, code: str, alphabets: list[str], label: str, apart: Callable[[str], bool]) -> str:
@@ -279,14 +291,25 @@ class Surrogates:
                 parts.append(self.letters(part, "surname", lambda code: code in self.first))
         return " ".join(parts)
 
-    def of(self, kind: str, text: str) -> str:
+    def digest(self, kind: str, text: str) -> str:
+        """A keyed digest that tells entities apart without showing them."""
+        return hmac.digest(self.key, f"entity/{kind}/{canonical(kind, text)}".encode(), "sha256").hex()[:32]
+
+    def known_as(self, kind: str, text: str) -> tuple[str, str]:
+        """Surrogate and digest of an entity."""
         if len(self.known) > 100_000:
             self.known.clear()
         key = kind, text
         if key not in self.known:
-            self.known[key] = getattr(self, "name" if kind == "full" else kind)(text)
+            digest = self.digest(kind, text)
+            self.permutation.attempt = self.attempts.get(digest, 0)
+            self.known[key] = getattr(self, kind)(text), digest
+            self.permutation.attempt = 0
         return self.known[key]
 
+    def of(self, kind: str, text: str) -> str:
+        return self.known_as(kind, text)[0]
+
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int, str]]]:
         """The text with surrogates; kind, place in the original and surrogate of each entity."""
         kinds = hints(text)
@@ -302,9 +325,10 @@ class Surrogates:
             original = text[start:end]
             if kind == "full" and len(set(original.split(" "))) == 1:
                 continue  # one word again and again is no name
+            kind = "name" if kind == "full" else kind
             new = self.of(kind, original)
             parts += [text[at:start], new]
-            found.append(("name" if kind == "full" else kind, start, end, new))
+            found.append((kind, start, end, new))
             at = end
         parts.append(text[at:])
         return "".join(parts), found
@@ -315,14 +339,48 @@ ALL = [DIGITS, HEX, *ALPHABETS]
 
 def canonical(kind: str, text: str) -> str:
     """What makes two spellings the same entity."""
+    if kind == "phone":
+        text = re.sub(r"^\+[0-9]{1,3}(?=[ .(-])", "", text)
     if kind in ("phone", "card", "ssn"):
         return "".join(c for c in text if c in DIGITS)
     return unicodedata.normalize("NFC", text).lower().replace(" ", "")
 
 
-@lru_cache(2)
-def _surrogates(key: bytes) -> Surrogates:
-    return Surrogates(key)
+def colliding(docs: DataFrame, key: bytes, attempts: dict[str, int]) -> DataFrame:
+    """``entity``: digests of entities whose surrogate is another one's code or surrogate."""
+    known = docs.sparkSession.sparkContext.broadcast(attempts)
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Surrogates(key, known.value)
+        for batch in batches:
+            rows = set()
+            for text in batch.column("text").to_pylist():
+                for kind, begin, end, new in own.replace(text or "")[1]:
+                    if kind != "name":
+                        rows.add((own.digest(kind, text[begin:end]), own.digest(kind, new)))
+            columns = [pa.array([r[i] for r in rows], pa.string()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["entity", "image"])
+
+    texts = docs.select(docs["text"].cast("string").alias("text"))
+    pairs = stored(texts.mapInArrow(digests, "entity string, image string").distinct(), "entities")
+    real = pairs.select(F.col("entity").alias("image")).distinct()
+    another = pairs.join(real, "image", "left_semi").select("entity")
+    first = pairs.groupBy("image").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
+    shared = pairs.join(first, "image").where("entity <> first").select("entity")
+    return another.union(shared).distinct()
+
+
+def settled(docs: DataFrame, key: bytes) -> dict[str, int]:
+    """Entities that need another permutation than the first, and which."""
+    attempts: dict[str, int] = {}
+    for attempt in range(1, ATTEMPTS):
+        found = colliding(docs, key, attempts).limit(MAX_COLLISIONS + 1).collect()
+        if not found:
+            return attempts
+        attempts |= {row["entity"]: attempt for row in found}
+        if len(attempts) > MAX_COLLISIONS:
+            raise ValueError(f"more than {MAX_COLLISIONS} collisions")
+    raise ValueError(f"collisions after {ATTEMPTS} permutations")
 
 
 def replaced(docs: DataFrame, key: bytes) -> DataFrame:
@@ -332,8 +390,9 @@ def replaced(docs: DataFrame, key: bytes) -> DataFrame:
     ``surrogate``, and ``entity``, a keyed digest of the original that tells
     entities apart without showing them.  Null texts stay null, empty ones empty;
     a column of ``docs`` called ``entities`` is replaced.  Texts without an entity
-    come back as they were.
+    come back as they were; repeated rows are replaced alike.
     """
+    attempts = docs.sparkSession.sparkContext.broadcast(settled(docs, key))
     entity = T.StructType(
         [
             T.StructField("kind", T.StringType()),
@@ -347,7 +406,7 @@ def replaced(docs: DataFrame, key: bytes) -> DataFrame:
 
     @F.pandas_udf(result)
     def swap(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = _surrogates(key)
+        own = Surrogates(key, attempts.value)
         for texts in batches:
             rows = []
             for text in texts:
@@ -356,17 +415,10 @@ def replaced(docs: DataFrame, key: bytes) -> DataFrame:
                     continue
                 new, found = own.replace(text)
                 entities = [
-                    {
-                        "kind": kind,
-                        "begin": begin,
-                        "end": end,
-                        "surrogate": surrogate,
-                        "entity": hmac.digest(
-                            key, f"entity/{kind}/{canonical(kind, text[begin:end])}".encode(), "sha256"
-                        ).hex()[:32],
-                    }
+                    {"kind": kind, "begin": begin, "end": end, "surrogate": surrogate,
+                     "entity": own.known_as(kind, text[begin:end])[1]}
                     for kind, begin, end, surrogate in found
-                ]
+                ]
                 rows.append((new, entities))
             yield pd.DataFrame(rows, columns=["text", "entities"])
 
@@ -382,6 +434,7 @@ def collisions(surrogated: DataFrame) -> DataFrame:
     """``kind, surrogate, n_entities`` of surrogates that stand for several entities.
 
     Distinct pairs are formed before the shuffle, so a hot entity is a row per task.
+    Formats of one entity are told apart only by their surrogates.
     """
     pairs = surrogated.select(F.explode("entities").alias("e")).select("e.kind", "e.surrogate", "e.entity").distinct()
     return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("n_entities")).where("n_entities > 1")

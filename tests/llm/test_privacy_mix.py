@@ -134,6 +134,20 @@ def test_documents(spark):
     assert sg.replaced(docs.limit(0), KEY).count() == 0
 
 
+def test_collisions_in_the_corpus_are_settled(spark):
+    """A corpus that holds a surrogate as somebody's real number."""
+    one = "(017) 555-7713"
+    taken = sg.Surrogates(KEY).of("phone", one)
+    rows = [(1, f"call {one}"), (2, f"call {taken} now"), (3, f"again {one}"), (4, f"or +1 {one}")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    assert [r.entity for r in sg.colliding(docs, KEY, {}).collect()] == [sg.Surrogates(KEY).digest("phone", one)]
+    result = sg.replaced(docs, KEY)
+    found = {r.doc_id: r.entities[0].surrogate for r in result.collect()}
+    assert found[1] == found[3] and found[4] == f"+1 {found[1]}"
+    assert len({found[1], found[2], one, taken}) == 4
+    assert sg.collisions(result).count() == 0
+
+
 def test_no_personal_data_is_left(spark):
     sf_dir = "/root/testdata/sf0.01"
     before = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
