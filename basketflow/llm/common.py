@@ -12,9 +12,6 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Bytes that part words: blank and \t \n \v \f \r, as ``bytes.split()`` parts them.
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -28,16 +25,21 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to a new table in the shared folder, and read from there; its path."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to a new table in the shared folder, and read from there.
+    """The same without the path.
 
     Lost executors cost only the tasks that still read it; its files stay until
     the shared folder is cleared, as later plans read them.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored_at(df, name)[0]
 
 
 def text_or_empty(docs: DataFrame, name: str = "text") -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import stored
+from basketflow.llm.common import stored_at
+from basketflow.plans.scratch import remove
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -21,10 +22,11 @@ def components(links: DataFrame) -> DataFrame:
     nothing changes; rounds grow with the logarithm of the longest chain.  All
     steps are joins and aggregates on the node; links of a node with very many are
     reduced to a minimum before the shuffle, and Spark splits its side of a join.
-    Each round is a stored table, so that lost executors cost no more than a round.
+    Each round is a stored table, so that lost executors cost no more than a round;
+    the one before it is removed.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = stored(edges, "components")
+    edges, path = stored_at(edges, "components")
     before = None
     while (now := _state(edges)) != before:
         before = now
@@ -33,6 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("y > x").join(least, "x").select(F.col("y").alias("u"), F.col("m").alias("v")).distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(moved.union(smallest).distinct(), "components")
+        last = path
+        edges, path = stored_at(moved.union(smallest).distinct(), "components")
+        remove(links.sparkSession, last)
     roots = edges.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("component"))
     return edges.toDF("node", "component").union(roots)
