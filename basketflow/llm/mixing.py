@@ -5,9 +5,10 @@ Each source's documents are cut into blocks.  Of a source with weight w, block j
 slot the released block with the earliest deadline goes next.  So after t slots a
 source has had w t blocks, give or take less than one.
 
-Weights are whole parts of a frame of slots, so the schedule of one frame repeats:
-it is made once, on the driver, for as many slots as the frame has, whatever the
-number of documents.  A document's slot then follows from its block's number by
+Weights are rounded to whole parts of a frame of slots (thousandths, or finer with a
+longer frame), so the schedule of one frame repeats: it is made once, on the driver,
+for as many slots as the frame has, whatever the number of documents.  The bound of
+one block holds against the rounded weights.  A document's slot then follows from its block's number by
 arithmetic.  When a source runs out, the others' weights are shared out anew, and a
 new phase begins; there are at most as many phases as sources.
 
@@ -33,7 +34,7 @@ BLOCK_DOCS, FRAME, BUCKET_DOCS = 16, 1_000, 4_000
 #: Without target weights, a source gets its share of documents to this power.
 TEMPER = 0.7
 #: More sources than this are refused: the schedule holds each of them.
-MAX_SOURCES = 10_000
+MAX_SOURCES = 1_000
 SEED = 20_260_101
 
 
