@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import random
 import shutil
 from collections import defaultdict
 from datetime import datetime, timezone
