@@ -305,7 +305,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     by_a = groups.select(F.col("node").alias("a"), F.col("component").alias("component_a"))
     grouped = members.join(by_doc, "doc", "left").join(by_a, "a", "left")
     group, group_a = F.coalesce("component", "doc"), F.coalesce("component_a", "a")
-    mixed_entries = grouped.where(group != group_a).select("key").distinct()
+    # Stored, so that the next join stands alone and Spark can split an entry's rows.
+    mixed_entries = stored(grouped.where(group != group_a).select("key").distinct(), "mixed-entries")
     open_pairs = stored(
         members.join(mixed_entries, "key", "left_semi").select("a", F.col("doc").alias("b")).distinct(), "open-pairs"
     )
