@@ -13,9 +13,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from basketflow.llm.common import stored, text_chunks, text_or_empty
 
@@ -109,6 +111,32 @@ def host_rates(measured: DataFrame) -> DataFrame:
     return hosts.withColumn("rate", rate)
 
 
+def bad_hosts(measured: DataFrame, max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """``host`` of the hosts that fail."""
+    return host_rates(measured).where(F.col("rate") > max_rate).select("host")
+
+
+def accepted(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, all columns.
+
+    The texts do not move: they are measured once for the hosts and once more where
+    they are, and only the failed hosts, stored so that Spark knows their size, are
+    joined to them.  Rows are judged one by one, whatever their ``doc_id``.
+    """
+    bad = stored(bad_hosts(stored(measures(docs, host), "measures"), max_rate), "bad-hosts")
+
+    @F.pandas_udf(BooleanType())
+    def passes(texts: pd.Series) -> pd.Series:
+        found = []
+        for text in texts:
+            n_words, *_, repeated = measure(text.encode("utf-8"))
+            found.append(n_words >= MIN_WORDS and 100 * repeated <= MAX_REPEATED * n_words)
+        return pd.Series(found, dtype=bool)
+
+    good = docs.where(passes(text_or_empty(docs)))
+    return good.join(bad, docs[host].cast("string") == bad["host"], "left_anti").select(*(docs[c] for c in docs.columns))
+
+
 def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """``doc_id``, the measures, ``base_failed`` and ``kept``, one row per row of ``docs``.
 
@@ -119,7 +147,7 @@ def judge(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE
     host are not read.
     """
     measured = stored(measures(docs, host), "measures")
-    bad = host_rates(measured).where(F.col("rate") > max_rate).select("host", F.lit(True).alias("host_failed"))
+    bad = bad_hosts(measured, max_rate).withColumn("host_failed", F.lit(True))
     return measured.join(bad, "host", "left").select(
         "doc_id",
         *MEASURES,

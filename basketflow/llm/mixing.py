@@ -210,5 +210,6 @@ def mixed_documents(docs: DataFrame, weights: dict[str | None, float] | None = N
     """
     order = mix(docs, weights).where("copy = 0")
     same = docs["doc_id"].eqNullSafe(order["doc_id"]) & docs["source"].cast("string").eqNullSafe(order["source"])
-    joined = docs.join(order, same, "left")
+    # By a shuffle whatever the sizes, as positions grow with the documents.
+    joined = docs.join(order.hint("merge"), same, "left")
     return joined.orderBy(order["position"]).select(*(docs[c] for c in docs.columns))

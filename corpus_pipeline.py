@@ -28,11 +28,8 @@ def only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and come from a host that does.
-
-    Rows with one ``doc_id`` are judged one by one; all stay if one does.
-    """
-    return only(docs, host_rules.judge(docs).where("kept"))
+    """Documents that pass the base rules and come from a host that does, row by row."""
+    return host_rules.accepted(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
