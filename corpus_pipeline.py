@@ -61,10 +61,28 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def positioned(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The rows of a written table and their ``position`` in it: files by part number, then rows."""
+    rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # One row a file, as Spark's own list of them on the driver.
+    sizes = {r["_file"]: r["count"] for r in rows.groupBy("_file").count().collect()}
+    part = lambda name: (int(name.split("-")[1]), name)
+    offsets, before = [], 0
+    for name in sorted(sizes, key=part):
+        offsets.append((name, before))
+        before += sizes[name]
+    starts = spark.createDataFrame(offsets, "_file string, _start long")
+    position = (F.col("_start") + F.col("_row")).alias("position")
+    return rows.join(F.broadcast(starts), "_file").select(position, *(docs[c] for c in docs.columns))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of each document."""
-    encoded = bpe_codec.encode(docs, public_tokenizers.path(ENCODING_TOKENIZER))
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """``position, doc_id, n_tokens, ids`` of each document of the mix's table, in its order."""
+    rows = positioned(spark, docs).orderBy("position")
+    # The encoder hands the id on as it is, so the position travels in it.
+    keyed = rows.select(F.struct("position", "doc_id").alias("doc_id"), "text")
+    encoded = bpe_codec.encode(keyed, public_tokenizers.path(ENCODING_TOKENIZER))
+    return encoded.select("doc_id.position", "doc_id.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -82,8 +100,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``."""
+    """All stages over the table ``documents``; the rows in the order of the mix."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    # Files are not read in the order of their names.
+    return docs.orderBy("position")

@@ -6,9 +6,11 @@ import random
 from collections import Counter
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
+from basketflow.llm import mixing
 from basketflow.llm import surrogates as sg
 from basketflow.llm.common import stored
 from basketflow.llm.queries import ENCODING_TOKENIZER, SURROGATE_KEY
@@ -65,6 +67,29 @@ def test_order_of_the_mix_is_kept_in_the_files(spark):
     assert order == [r.doc_id for r in sorted(mix(table).collect(), key=lambda r: r.position)]
 
 
+def test_run_is_in_the_order_of_the_mix(spark):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = {r.doc_id: r for r in table.collect()}
+    verdicts = brute_verdicts([(r.doc_id, r.text, r.source) for r in rows.values()])
+    ruled = {i for i, _, keep in verdicts if keep}
+    _, groups, _ = brute_duplicates({i: rows[i].text for i in ruled}, 5)
+    kept = table.where(F.col("doc_id").isin([i for i, c in groups.items() if c == i]))
+    expected = [r.doc_id for r in sorted(mixing.mix(kept).collect(), key=lambda r: r.position)]
+    found = cp.run(spark, SF_DIR).collect()
+    assert [r.position for r in found] == list(range(len(expected)))
+    assert [r.doc_id for r in found] == expected
+
+
+def test_tokens_follow_files_of_any_size(spark):
+    """Spark reads large files first; their numbers tell the order."""
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.expr("repeat(concat('w', id, ' '), int(1 + id * id / 50))").alias("text")
+    )
+    mixed = stored(docs.repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id"), "sizes")
+    found = cp.tokens(spark, mixed, SF_DIR).collect()
+    assert [(r.position, r.doc_id) for r in found] == [(i, i) for i in range(400)]
+
+
 def test_odd_rows(spark):
     rng = random.Random(3)
     text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
