@@ -1,16 +1,21 @@
 """Mixing sources to target weights by a Pfair schedule.
 
-Each source's documents are cut into blocks.  Of a source with weight w, block j
-(from 1) is released at slot floor((j - 1) / w) and due by slot ceil(j / w); in each
-slot the released block with the earliest deadline goes next.  So after t slots a
-source has had w t blocks, give or take less than one.
-
-Weights are rounded to whole parts of a frame of slots (thousandths, or finer with a
-longer frame), so the schedule of one frame repeats: it is made once, on the driver,
-for as many slots as the frame has, whatever the number of documents.  The bound of
-one block holds against the rounded weights.  A document's slot then follows from its block's number by
-arithmetic.  When a source runs out, the others' weights are shared out anew, and a
-new phase begins; there are at most as many phases as sources.
+Each source's documents are cut into blocks.  All sources are served at rates in the
+ratio of their weights until they run out, and the others then share the slots by
+theirs.  A source of weight w has had its j-th block
+by the moment j / w of a common clock; at moment v, T(v) = sum of min(w v, n) over the
+sources (n blocks each) slots have passed.  So block j is released at slot
+floor(T((j - 1) / w)) and due by slot ceil(T(j / w)), and in each slot the released block
+with the earliest deadline goes next.  No deadline is missed, as the blocks with windows
+inside some slots never need more than those, so at any slot a source has had what its
+weight gives it, give or take less than one block.  Weights are taken as the exact
+fractions that floats are, and no slot or weight is rounded.
+
+Sources with the same number of documents and the same weight have the same windows, so
+they are one class, served in turn.  N documents have less than sqrt(2 N) different
+numbers of documents a source, so the classes are few however many the sources.  The
+driver holds the classes and makes the schedule in one pass, as runs of blocks of a
+class, which it hands to Spark in pieces; documents find theirs by a join.
 
 A block's number is the document's place in its source.  Places are given without
 ordering a source in one task: documents are dealt by hash into buckets of bounded
@@ -20,17 +25,23 @@ size, numbered within them, and the buckets' sizes summed up before them.
 from __future__ import annotations
 
 import heapq
+from bisect import bisect
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from functools import reduce
+from itertools import accumulate, islice
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import stored
 
 #: Documents of a block, slots of a frame, documents of a bucket (about).
 BLOCK_DOCS, FRAME, BUCKET_DOCS = 16, 1_000, 4_000
+#: Blocks of a run at most, runs that the driver hands over at once.
+RUN_BLOCKS, PIECE_RUNS = 4_000, 500_000
 #: Without target weights, a source gets its share of documents to this power.
 TEMPER = 0.7
 #: More sources than this are refused: the schedule holds each of them.
@@ -38,6 +49,88 @@ MAX_SOURCES = 1_000
 SEED = 20_260_101
 
 
+@dataclass
+class Sources:
+    """A class of sources: documents and weight of each, and how many they are."""
+
+    docs: int
+    weight: float
+    members: int
+
+
+#: Block ``first + i`` of class ``number`` is in slot ``slot + i``, from ``position + i * size``.
+RUN = "number long, first long, length long, slot long, position long, size long, release long, deadline long"
+
+
+def runs(classes: list[Sources], block_docs: int) -> Iterator[tuple[int, ...]]:
+    """The schedule in the order of slots, as rows of ``RUN``: earliest deadline first.
+
+    The blocks of a class are numbered by round, and within it by member.
+    """
+    exact = [Fraction(c.weight) for c in classes]
+    scale = max((w.denominator for w in exact), default=1)
+    # Denominators of floats are powers of two.
+    weight = [int(w * scale) for w in exact]
+    blocks = [-(-c.docs // block_docs) for c in classes]
+    by_end = sorted(range(len(classes)), key=lambda c: Fraction(blocks[c], weight[c]))
+    ends = [(blocks[c], weight[c]) for c in by_end]
+    rough = [n / w for n, w in ends]
+    out = [0, *accumulate(classes[c].members * blocks[c] for c in by_end)]
+    total = sum(c.members * w for c, w in zip(classes, weight, strict=True))
+    rates = [total - x for x in (0, *accumulate(classes[c].members * weight[c] for c in by_end))]
+
+    def passed(j: int, w: int) -> int:
+        """T(j / w) times w."""
+        p = bisect(rough, j / w)
+        while p < len(ends) and ends[p][0] * w <= j * ends[p][1]:
+            p += 1
+        while p and ends[p - 1][0] * w > j * ends[p - 1][1]:
+            p -= 1
+        return out[p] * w + rates[p] * j
+
+    later = [(0, c, 0) for c in range(len(classes))]
+    ready: list[tuple[int, int, int, int, int]] = []
+    slot = position = 0
+    while later or ready:
+        while later and later[0][0] <= slot:
+            release, c, j = heapq.heappop(later)
+            until, w = passed(j + 1, weight[c]), weight[c]
+            heapq.heappush(ready, (-(-until // w), c, j, 0, release))
+            if j + 1 < blocks[c]:
+                heapq.heappush(later, (until // w, c, j + 1))
+        due, c, j, member, release = heapq.heappop(ready)
+        own = classes[c]
+        length = min(own.members - member, RUN_BLOCKS, later[0][0] - slot if later else RUN_BLOCKS)
+        size = block_docs if j + 1 < blocks[c] else own.docs - j * block_docs
+        assert slot + length <= due, "a deadline is missed"
+        yield c, j * own.members + member, length, slot, position, size, release, due
+        slot, position = slot + length, position + length * size
+        if member + length < own.members:
+            heapq.heappush(ready, (due, c, j, member + length, release))
+
+
+def schedule(spark: SparkSession, classes: list[Sources], block_docs: int) -> DataFrame:
+    """A row for each block: ``number, nth, slot, first_position, release, deadline``."""
+    pieces, rows = [], runs(classes, block_docs)
+    names = [part.split()[0] for part in RUN.split(", ")]
+    while piece := list(islice(rows, PIECE_RUNS)):
+        columns = [pa.array(column, pa.int64()) for column in zip(*piece, strict=True)]
+        pieces.append(stored(spark.createDataFrame(pa.table(columns, names=names)), "runs"))
+    found = reduce(DataFrame.union, pieces) if pieces else spark.createDataFrame([], RUN)
+    each = found.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1)).alias("i"))
+    return each.select(
+        "number",
+        (F.col("first") + F.col("i")).alias("nth"),
+        (F.col("slot") + F.col("i")).alias("slot"),
+        (F.col("position") + F.col("i") * F.col("size")).alias("first_position"),
+        "release",
+        "deadline",
+    )
+
+
+# Schedules of whole parts of a frame, for a few sources; ``mix`` doesn't use them.
+
+
 @dataclass
 class Phase:
     first_slot: int
@@ -103,12 +196,8 @@ def phases(blocks: dict[str, int], weights: dict[str, float], frame: int) -> lis
     return found
 
 
-def tempered(counts: dict[str, int], power: float = TEMPER) -> dict[str, float]:
-    return {s: n**power for s, n in counts.items() if n}
-
-
-def placed(docs: DataFrame, source: str = "source") -> DataFrame:
-    """``doc_id, source, copy, place``: each row's place in its source, from 0."""
+def numbered(docs: DataFrame, source: str = "source") -> tuple[DataFrame, DataFrame]:
+    """``doc_id, source, copies, bucket, own``, and the buckets' ``source, bucket, size, offset``."""
     rows = docs.select("doc_id", F.col(source).cast("string").alias("source"))
     total = rows.count()
     buckets = max(1, -(-total // BUCKET_DOCS))
@@ -120,18 +209,46 @@ def placed(docs: DataFrame, source: str = "source") -> DataFrame:
     sizes = counted.groupBy("source", "bucket").agg(F.sum("copies").alias("size"))
     # Buckets of a source: one for each few thousand documents, so these are few.
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0))).drop("size")
-    numbered = counted.withColumn(
+    offsets = sizes.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    rows = counted.withColumn(
         "own", F.coalesce(F.sum("copies").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    same = numbered.source.eqNullSafe(offsets.source) & (numbered.bucket == offsets.bucket)
-    joined = numbered.join(offsets, same).select(
-        "doc_id", numbered.source, "copies", (F.col("offset") + F.col("own")).alias("start")
+    return rows.drop("mixed"), stored(offsets, "buckets")
+
+
+def placed(rows: DataFrame, offsets: DataFrame) -> DataFrame:
+    """``doc_id, source, copy, place`` and what else ``offsets`` has: places in a source from 0."""
+    same = rows["source"].eqNullSafe(offsets["source"]) & (rows["bucket"] == offsets["bucket"])
+    more = [c for c in offsets.columns if c not in ("source", "bucket", "size", "offset")]
+    joined = rows.join(offsets, same).select(
+        "doc_id", rows["source"], "copies", (F.col("offset") + F.col("own")).alias("start"), *more
     )
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy")
-    return joined.select("doc_id", "source", "start", copies).select(
-        "doc_id", "source", "copy", (F.col("start") + F.col("copy")).alias("place")
+    return joined.select("doc_id", "source", "start", copies, *more).select(
+        "doc_id", "source", "copy", (F.col("start") + F.col("copy")).alias("place"), *more
+    )
+
+
+def classed(sources: DataFrame, weights: dict[str | None, float]) -> tuple[DataFrame, list[Sources]]:
+    """``source, number, member, members`` of ``source, docs``, and the classes by number."""
+    spark = sources.sparkSession
+    given = spark.createDataFrame([(s, float(w)) for s, w in weights.items() if w > 0], "source string, given double")
+    same = sources["source"].eqNullSafe(given["source"])
+    known = sources.join(given, same, "left").select(sources["source"], "docs", "given")
+    name = F.concat_ws("/", F.col("docs").cast("string"), F.col("given").cast("string"))
+    known = stored(known.withColumn("class", name), "sources")
+    kinds = known.groupBy("class", "docs", "given").count().collect()
+    if sum(r["count"] for r in kinds) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} sources")
+    kinds.sort(key=lambda r: (r["docs"], r["class"]))
+    classes = [Sources(r["docs"], r["docs"] ** TEMPER if r["given"] is None else r["given"], r["count"]) for r in kinds]
+    numbers = spark.createDataFrame(
+        [(r["class"], n, r["count"]) for n, r in enumerate(kinds)], "class string, number long, members long"
     )
+    # Members are numbered as documents are: a class may have very many.
+    members = placed(*numbered(known.select(F.col("source").alias("doc_id"), "class"), "class"))
+    members = members.select(F.col("doc_id").alias("source"), F.col("source").alias("class"), F.col("place").alias("member"))
+    return members.join(numbers, "class").select("source", "number", "member", "members"), classes
 
 
 def mix(
@@ -147,47 +264,20 @@ def mix(
     block's, ``release`` and ``deadline`` are the block's as slots of the whole mix.
     A source without a target weight gets its share of documents to the power of
     0.7.  Null is a source of its own.  No row is dropped or repeated: when a source
-    is out, the others go on.  Rows with the same ``doc_id`` and source are placed
+    is out, the others go on.  ``frame`` has no effect, as nothing is rounded to it.  Rows with the same ``doc_id`` and source are placed
     one after another and told apart by ``copy``.  Other columns are not read.
     """
-    at = stored(placed(docs, source), "places")
-    sizes = at.groupBy("source").count().limit(MAX_SOURCES + 1).collect()
-    if len(sizes) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    counts = {r["source"]: r["count"] for r in sizes}
-    # Names by number: null is a source too.
-    name = {number: s for number, s in enumerate(sorted(counts, key=lambda s: (s is None, s or "")))}
-    target = tempered(counts) | {s: w for s, w in (weights or {}).items() if s in counts and w > 0}
-    total = {str(n): counts[s] for n, s in name.items()}
-    blocks = {n: -(-count // block_docs) for n, count in total.items()}
-    plan = phases(blocks, {str(n): target[s] for n, s in name.items()}, frame)
-    # The last block of a source may be short; later positions move up.
-    short = sorted(
-        (slot_of(plan, n, blocks[n])[0], blocks[n] * block_docs - total[n]) for n in blocks if blocks[n]
+    rows, offsets = numbered(docs, source)
+    sources, classes = classed(offsets.groupBy("source").agg(F.sum("size").alias("docs")), weights or {})
+    sources = stored(sources.withColumnRenamed("source", "_source"), "members")
+    # Joined with the buckets, as a source may have most of the rows.
+    known = offsets.join(sources, offsets["source"].eqNullSafe(sources["_source"])).drop("_source")
+    at = placed(rows, known).withColumn("block", F.expr(f"place div {block_docs}"))
+    at = at.withColumn("nth", F.col("block") * F.col("members") + F.col("member"))
+    position = (F.col("first_position") + F.col("place") % block_docs).alias("position")
+    return at.join(schedule(docs.sparkSession, classes, block_docs), ["number", "nth"]).select(
+        "doc_id", "source", "copy", "block", "slot", "release", "deadline", position
     )
-    number_of = {s: str(n) for n, s in name.items()}
-    schedule = docs.sparkSession.sparkContext.broadcast((plan, short, number_of))
-
-    @F.pandas_udf("block long, slot long, release long, deadline long, position long")
-    def slots(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        plan, short, number_of = schedule.value
-        known: dict[tuple, tuple] = {}
-        for sources, places in batches:
-            found = []
-            for own, place in zip(sources, places, strict=True):
-                block = int(place) // block_docs
-                key = (own, block)
-                if key not in known:
-                    slot, release, due = slot_of(plan, number_of[own], block + 1)
-                    missing = sum(gap for last, gap in short if last < slot)
-                    known[key] = slot, release, due, slot * block_docs - missing
-                slot, release, due, first = known[key]
-                found.append((block, slot, release, due, first + int(place) % block_docs))
-            if len(known) > 100_000:
-                known.clear()
-            yield pd.DataFrame(found, columns=["block", "slot", "release", "deadline", "position"], dtype="int64")
-
-    return at.withColumn("s", slots("source", "place")).select("doc_id", "source", "copy", "s.*")
 
 
 def slot_of(plan: list[Phase], source: str, block: int) -> tuple[int, int, int]:

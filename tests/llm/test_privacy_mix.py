@@ -5,8 +5,9 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter, defaultdict
-from itertools import combinations
+from itertools import accumulate, combinations
 
+import numpy as np
 import pytest
 
 from basketflow.llm import mixing
@@ -214,3 +215,33 @@ def test_phases_follow_each_other():
     assert sorted(slots) == list(range(148))
     for a, b in combinations(plan, 2):
         assert a.first_slot + a.slots <= b.first_slot
+
+
+def test_blocks_deviate_by_less_than_one_from_the_target_weights():
+    rng = random.Random(4)
+    classes = [mixing.Sources(rng.randrange(1, 60), rng.uniform(0.1, 1), rng.choice([1, 1, 2, 9])) for _ in range(200)]
+    classes.append(mixing.Sources(20_000, 300.0, 1))
+    served = [c for c in classes for _ in range(c.members)]
+    first = [0, *accumulate(c.members for c in classes)]
+    slots = {}
+    for c, nth, length, slot, *_ in mixing.runs(classes, 4):
+        for i in range(length):
+            assert slot + i not in slots
+            slots[slot + i] = first[c] + (nth + i) % classes[c].members
+    weight = np.array([c.weight for c in served])
+    blocks = np.array([-(-c.docs // 4) for c in served])
+    assert sorted(slots) == list(range(blocks.sum())) and len(slots) > 5_000 and len(served) > 500
+    had, due = np.zeros(len(served)), np.zeros(len(served))
+    for slot in range(len(slots)):
+        left = 1.0  # of the slot, shared by weight among those that still have blocks
+        while left > 1e-9:
+            going = due < blocks - 1e-9
+            if not going.any():
+                break
+            rate = np.where(going, weight, 0) / weight[going].sum()
+            step = min(left, ((blocks - due)[going] / rate[going]).min())
+            due += rate * step
+            left -= step
+        had[slots[slot]] += 1
+        assert np.abs(had - due).max() < 1 + 1e-6
+    assert (had == blocks).all()
