@@ -44,8 +44,6 @@ BLOCK_DOCS, FRAME, BUCKET_DOCS = 16, 1_000, 4_000
 RUN_BLOCKS, PIECE_RUNS = 4_000, 500_000
 #: Without target weights, a source gets its share of documents to this power.
 TEMPER = 0.7
-#: More sources than this are refused: the schedule holds each of them.
-MAX_SOURCES = 1_000
 SEED = 20_260_101
 
 
@@ -238,8 +236,6 @@ def classed(sources: DataFrame, weights: dict[str | None, float]) -> tuple[DataF
     name = F.concat_ws("/", F.col("docs").cast("string"), F.col("given").cast("string"))
     known = stored(known.withColumn("class", name), "sources")
     kinds = known.groupBy("class", "docs", "given").count().collect()
-    if sum(r["count"] for r in kinds) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
     kinds.sort(key=lambda r: (r["docs"], r["class"]))
     classes = [Sources(r["docs"], r["docs"] ** TEMPER if r["given"] is None else r["given"], r["count"]) for r in kinds]
     numbers = spark.createDataFrame(

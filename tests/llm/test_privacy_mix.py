@@ -245,3 +245,19 @@ def test_blocks_deviate_by_less_than_one_from_the_target_weights():
         had[slots[slot]] += 1
         assert np.abs(had - due).max() < 1 + 1e-6
     assert (had == blocks).all()
+
+
+def test_mix_of_very_many_sources(spark):
+    docs = spark.range(9000).selectExpr(
+        "id AS doc_id", "CASE WHEN id < 2000 THEN 'hot' ELSE concat('s', pmod(hash(id), 3000)) END AS source"
+    )
+    counts = Counter(r.source for r in docs.collect())
+    found = sorted(mixing.mix(docs, {"s1": 90.0}, block_docs=4).collect(), key=lambda r: r.position)
+    assert len(counts) > 2500
+    assert [r.position for r in found] == list(range(9000)) and sorted(r.doc_id for r in found) == list(range(9000))
+    assert all(r.release <= r.slot < r.deadline for r in found)
+    slots = defaultdict(set)
+    for r in found:
+        slots[r.slot].add((r.source, r.block))
+    assert sorted(slots) == list(range(sum(-(-n // 4) for n in counts.values())))
+    assert all(len(own) == 1 for own in slots.values())
