@@ -274,6 +274,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
     is none it has no component and is kept.
     Columns other than ``doc_id`` and the text are not read.
     """
+    return verdicts(docs, words, similarity).drop("digest")
+
+
+def verdicts(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
+    """The same, and the ``digest`` of each row's set of shingles, null without words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
     sketched = stored(sketches(rows, words), "sketches")
     classes = stored(
@@ -324,4 +329,5 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, similarity: int = SIMIL
         "n_shingles",
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),
+        "digest",
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe_codec, host_rules, minhash_join, mixing, surrogates
-from basketflow.llm.common import stored, table
+from basketflow.llm.common import stored, table, text_or_empty
 from basketflow.llm.queries import ENCODING_TOKENIZER, SURROGATE_KEY
 
 
@@ -36,9 +36,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each group of near duplicates: the one with the smallest id.
 
     Documents without words are linked with nothing and stay, and so do documents
-    without an id whose text no other document has.
+    without an id whose text no other document has: one of each set of copies.
     """
-    return only(docs, minhash_join.near_duplicates(docs).where("kept"))
+    verdicts = minhash_join.verdicts(docs)
+    named = only(docs.where("doc_id IS NOT NULL"), verdicts.where("kept AND doc_id IS NOT NULL"))
+    # Null is the id of many documents, so these are told apart by row.
+    nameless = stored(docs.where("doc_id IS NULL").withColumn("_row", F.monotonically_increasing_id()), "nameless")
+    if nameless.isEmpty():
+        return named
+    rows = nameless.select(F.col("_row").alias("doc_id"), text_or_empty(nameless).alias("text"))
+    sketched = stored(minhash_join.sketches(rows, minhash_join.WORDS).select("doc_id", "digest"), "nameless-sketches")
+    first = sketched.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("_row"))
+    alone = verdicts.where("kept AND doc_id IS NULL").select("digest").distinct()
+    stay = first.join(alone, "digest", "left_semi").select("_row")
+    stay = stay.union(sketched.where("digest IS NULL").select("doc_id"))
+    return named.union(nameless.join(stay, "_row", "left_semi").select(*docs.columns))
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,3 +108,17 @@ def test_odd_rows(spark):
     assert Counter(r.doc_id for r in tokens.collect()) == expected
     *frames, tokens = staged(spark, docs.limit(0))
     assert tokens.count() == 0 and all(f.columns == docs.columns for f in frames)
+
+
+def test_documents_without_id_are_judged_one_by_one(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(80))
+    shared, twice, alone, near = text(), text(), text(), text()
+    rows = [(1, shared), (None, shared), (None, shared), (None, twice), (None, twice), (None, twice), (None, alone)]
+    rows += [(2, near), (3, near + " more"), (None, near + " more"), (None, ""), (None, None), (4, shared), (2, near)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    found = cp.near_duplicates(spark, docs, SF_DIR)
+    assert found.columns == docs.columns
+    assert Counter(tuple(r) for r in found.collect()) == Counter(
+        [(1, shared), (2, near), (2, near), (None, twice), (None, alone), (None, ""), (None, None)]
+    )
