@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import text_chunks, text_or_empty
+from basketflow.llm.common import stored, text_chunks, text_or_empty
 
-#: Labelled documents to train on, at most, and lines of each that train (all are scored).
-TRAIN_DOCS, TRAIN_LINES = 6_000, 200
+#: Labelled documents to train on, at most, and lines of all of them; their texts are whole.
+TRAIN_DOCS, TRAIN_LINES = 6_000, 1_200_000
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY = 150, 0.1, 1e-3
 
@@ -273,8 +273,12 @@ def remainder(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Field:
-    """The field from at most ``max_docs`` labelled documents that are not held out."""
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES) -> Field:
+    """The field from at most ``max_docs`` labelled documents that are not held out.
+
+    They train with all their lines.  A document that has more than are left of
+    ``max_lines`` after those before it, in order of a hash, is left out as a whole.
+    """
     known = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (remainder(F.col("doc_id")) != 0))
         .groupBy("doc_id")
@@ -286,14 +290,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Field
     def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, "text"):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
-            # Training looks at so many lines of a text at most.
-            texts = [b"\n".join(text.split(b"\n", TRAIN_LINES)[:TRAIN_LINES]) for text in texts]
             features, size, counts = line_features(texts)
             rows = np.split(np.column_stack([size, features]), np.cumsum(counts)[:-1])
             columns = [pa.array([r.ravel() for r in rows], pa.list_(pa.float64())), batch.column("label")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", "lines", "label"])
 
     texts = docs.select(F.col("doc_id"), text_or_empty(docs).alias("text")).join(F.broadcast(known), "doc_id")
+    texts = stored(texts.withColumn("n", 1 + F.length("text") - F.length(F.translate("text", "\n", ""))), "sample")
+    sizes = texts.groupBy("doc_id").agg(F.sum("n").alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    whole, left = [], max_lines
+    for r in sizes:
+        if r["n"] <= left:
+            whole.append((r["doc_id"],))
+            left -= r["n"]
+    if len(whole) < len(sizes):
+        fits = docs.sparkSession.createDataFrame(whole, docs.select("doc_id").schema)
+        texts = texts.join(F.broadcast(fits), "doc_id", "left_semi")
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = texts.select("doc_id", "text", "label").mapInArrow(
         features_of, f"doc_id {kind}, lines array<double>, label int"

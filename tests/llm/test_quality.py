@@ -125,3 +125,20 @@ def test_scores_of_odd_tables(spark):
         assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
         assert [r.held_out for r in rows if r.doc_id is None] == [False]
     assert line_crf.quality_scores(docs.limit(0), both).count() == 0
+
+
+def test_training_sees_whole_texts(spark, monkeypatch):
+    """Documents that differ only beyond their first lines."""
+    seen = []
+    train = line_crf.train
+    monkeypatch.setattr(line_crf, "train", lambda *a: seen.append(a) or train(*a))
+    head, junk, prose = "A plain line of words.\n" * 300, "## | $$ 99\n" * 300, "Other words are here too.\n" * 300
+    rows = [(i, head + (prose if i % 2 else junk)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id BIGINT, quality INT")
+    field = line_crf.fit(docs, labels)
+    assert set(seen[0][2]) == {601}
+    good, bad = line_crf.score(field, [rows[1][1].encode(), rows[0][1].encode()])
+    assert good > 0.7 and bad < 0.3
+    line_crf.fit(docs, labels, max_lines=601 * 7 + 600)
+    assert list(seen[1][2]) == [601] * 7
