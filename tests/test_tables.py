@@ -388,11 +388,11 @@ def test_stored_log_has_few_files_per_kind(spark, tmp_path):
 
 def test_replaced_input_gives_new_rows(spark, tmp_path):
     for name in LOG_TABLES:
-        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path)
+        shutil.copyfile(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
     counted = lambda: REGISTRY["pair_counts"](spark, str(tmp_path)).count()
     first = counted()
     for name in LOG_TABLES:
-        shutil.copy(f"/root/testdata/sf0.01/{name}.parquet", tmp_path)
+        shutil.copyfile(f"/root/testdata/sf0.01/{name}.parquet", tmp_path / f"{name}.parquet")
     assert counted() > 2 * first
 
 
