@@ -25,10 +25,14 @@ def shared_folder(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+def unused_path(name: str) -> str:
+    return f"{name}-{uuid.uuid4().hex}"
+
+
 def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written to a new table in the shared folder, and read from there; its path."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{unused_path(name)}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -161,10 +161,18 @@ SELECT e.vec_id, coalesce(d.n, 0) AS n_links, least(e.vec_id, coalesce(l.m, e.ve
 FROM embeddings e LEFT JOIN degree d USING (vec_id) LEFT JOIN least l USING (vec_id)
 """
 
+STREAM_DEDUP = """
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  doc_id = max(doc_id) OVER same AS kept, sha256(text) AS text_sha256
+FROM docs WINDOW same AS (PARTITION BY text)
+"""
+
 SQL = {
     "op4_host_rules": HOST_RULES,
     "op5_projection_forest": PROJECTION_FOREST,
     "op6_url_filters": URL_FILTERS,
     "op9_archives": ARCHIVES,
     "op10_minhash_join": MINHASH_JOIN,
+    "op11_stream_dedup": STREAM_DEDUP,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import archives, bpe_codec, host_rules, line_crf, minhash_join, mixing, projection_forest, surrogates, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, line_crf, minhash_join, mixing, projection_forest, stream_dedup, surrogates, token_counts, url_filters
 from basketflow.llm.common import table
 
 #: For tests and demonstrations; a real run passes a secret of its own.
@@ -56,6 +56,11 @@ def op10_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=80)
 
 
+def op11_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = stream_dedup.exact_duplicates(spark, f"{sf_dir}/documents.parquet")
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -69,5 +74,6 @@ QUERIES = {
         op8_line_crf,
         op9_archives,
         op10_minhash_join,
+        op11_stream_dedup,
     )
 }

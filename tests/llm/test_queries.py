@@ -23,6 +23,6 @@ def test_query_equals_sql(spark, name):
 
 def test_a_query_for_each_operator():
     numbers = [int(name.split("_")[0].removeprefix("op")) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11))
+    assert sorted(numbers) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     assert len(corpus_pipeline.STAGES) == 5
