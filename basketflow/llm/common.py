@@ -46,6 +46,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return stored_at(df, name)[0]
 
 
+def table_parts(written: DataFrame) -> DataFrame:
+    """The rows of a stored table with ``_part`` (the task that wrote them) and ``_row`` (their place in its file)."""
+    part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    return written.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
+
+
 def text_or_empty(docs: DataFrame, name: str = "text") -> Column:
     return F.coalesce(docs[name].cast("string"), F.lit(""))
 
