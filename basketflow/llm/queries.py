@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.llm import archives, bpe_codec, host_rules, line_crf, minhash_join, mixing, projection_forest, stream_dedup, surrogates, token_counts, url_filters
+from basketflow.llm import archives, bpe_codec, host_rules, line_crf, merkle, minhash_join, mixing, projection_forest, stream_dedup, surrogates, token_alignment, token_counts, url_filters
 from basketflow.llm.common import table
 
 #: For tests and demonstrations; a real run passes a secret of its own.
 SURROGATE_KEY = b"a key for demonstrations"
 COUNTING_TOKENIZER, ENCODING_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +62,15 @@ def op11_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = map(public_tokenizers.path, (ENCODING_TOKENIZER, PIECE_TOKENIZER))
+    return token_alignment.aligned_documents(table(spark, sf_dir, "documents"), *files)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -75,5 +85,7 @@ QUERIES = {
         op9_archives,
         op10_minhash_join,
         op11_stream_dedup,
+        op12_token_alignment,
+        op13_merkle_manifest,
     )
 }
