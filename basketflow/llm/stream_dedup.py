@@ -22,6 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,9 @@ BATCH_BYTES = 64 << 30
 #: Hex digits of SHA-256 that are the key of the state; fewer are for tests.
 DIGEST_DIGITS = 64
 
+#: Words of 64 rows that contents are fetched by at once: some 200 bytes each in every task.
+WORDS = 1 << 18
+
 #: Settings of Spark's state store.
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
@@ -81,10 +85,13 @@ class StreamDedup:
         folder: str,
         digits: int = DIGEST_DIGITS,
         batch_bytes: int = BATCH_BYTES,
+        words: int = WORDS,
     ):
         self.spark, self.source, self.folder, self.batch_bytes = spark, source.rstrip("/"), folder.rstrip("/"), batch_bytes
         self.schema = spark.read.parquet(self.source).select("doc_id", "text").schema
-        self.key = F.left("text_sha256", F.lit(digits))
+        self.words = words
+        self.key_of = lambda digest: F.left(digest, F.lit(digits))
+        self.key = self.key_of(F.col("text_sha256"))
         kind = self.schema["doc_id"].dataType.simpleString()
         self.log_schema = f"doc_id {kind}, text_sha256 string, file string, row long, batch long"
 
@@ -150,19 +157,41 @@ class StreamDedup:
         )
 
     def contents(self, wanted: DataFrame) -> DataFrame:
-        """``key, text`` and locator of each of ``wanted`` (``key`` and locator), read by its locator."""
-        # As many names as there are files, of which Spark keeps a list in any case.
-        files = [row["file"] for row in wanted.select("file").distinct().collect()]
-        if not files:
-            return wanted.select("key", *LOCATOR, F.lit("").alias("text")).limit(0)
-        read = self.spark.read.schema(self.schema).parquet(*map(as_literal, sorted(files)))
-        return read.select(*self._content()).join(wanted, ["file", "row"]).select("key", *LOCATOR, "text")
+        """``key, text`` and locator (without batch) of each of ``wanted`` (locators), read by its locator.
+
+        The rows wanted of a file are bits in words of 64 rows.  Files are read in blocks
+        whose words are few enough to be sent to every task, so only the texts wanted
+        leave the scan.  Of several blocks each is stored before the next is read.
+        """
+        word, bit = F.expr("row div 64"), F.expr("shiftleft(1L, cast(row % 64 AS INT))")
+        words = stored(wanted.groupBy("file", word.alias("word")).agg(F.bit_or(bit).alias("bits")), "dedup-wanted")
+        # One row for each file; Spark has a list of them in any case.
+        counts = {r["file"]: r["count"] for r in words.groupBy("file").count().collect()}
+        numbered, held = {}, 0
+        for file, count in sorted(counts.items()):
+            numbered[file] = held // self.words
+            held += count
+        block_of = self.spark.createDataFrame(list(numbered.items()), "file string, block long")
+        placed = words.join(block_of, "file")
+        found = []
+        for block in sorted(set(numbered.values())):
+            files = [file for file, own in numbered.items() if own == block]
+            own = placed.where(F.col("block") == block).select("file", "word", "bits")
+            if sum(counts[file] for file in files) <= 2 * self.words:
+                own = F.broadcast(own)
+            read = self.spark.read.schema(self.schema).parquet(*map(as_literal, files)).select(*self._content())
+            marked = read.withColumn("word", word).join(own, ["file", "word"])
+            marked = marked.where(F.getbit("bits", (F.col("row") % 64).cast("int")) == 1)
+            texts = marked.select(self.key_of(F.sha2("text", 256)).alias("key"), "file", "row", "text")
+            found.append(stored(texts, "dedup-contents") if held > self.words else texts)
+        none = self.spark.createDataFrame([], "key string, file string, row long, text string")
+        return reduce(DataFrame.union, found) if found else none
 
     def verify(self) -> None:
         """Compare the full bytes of hits that came since the last check.
 
-        A key's contents are all equal if the least and the greatest are; both are
-        found per task first, so no key's contents meet in one task.
+        Each task drops what equals a content it has seen, so of a key's contents no
+        more than one from each task meet, and all are equal if one is left.
         """
         checked = f"{self.folder}/checked"
         marker = self.spark.createDataFrame([(None,)], "key string")
@@ -174,15 +203,10 @@ class StreamDedup:
         again = self.state().where("size > 1").select("key", "first")
         new = self.log().where(F.col("batch") > since).select(self.key.alias("key"), *LOCATOR).join(again, "key")
         hits = stored(new, "dedup-hits")
-        firsts = hits.select("key", "first.*").where(F.col("batch") <= since).distinct()
-        wanted = stored(hits.select("key", *LOCATOR).union(firsts), "dedup-wanted")
-        unlike = (
-            self.contents(wanted)
-            .groupBy("key")
-            .agg(F.min("text").alias("least"), F.max("text").alias("greatest"))
-            .where("least <> greatest")
-            .select("key")
-        )
+        firsts = hits.select("first.*").where(F.col("batch") <= since).distinct()
+        wanted = hits.select(*LOCATOR).union(firsts)
+        contents = F.collect_set("text")
+        unlike = self.contents(wanted).groupBy("key").agg(contents.alias("contents")).where("size(contents) > 1").select("key")
         marker.union(unlike).write.mode("overwrite").parquet(f"{checked}/upto={upto}")
 
     def _checked(self) -> DataFrame:
@@ -208,9 +232,9 @@ class StreamDedup:
         again = self.state().where("size > 1").select("key", "keep", "size")
         if unlike.isEmpty():
             return rows.join(again, "key", "left").select(*result)
-        apart = rows.join(unlike, "key", "left_semi")
-        texts = stored(self.contents(stored(apart.select("key", *LOCATOR), "dedup-apart")), "dedup-texts")
-        own = texts.join(apart.drop("key"), LOCATOR)
+        apart = stored(rows.join(unlike, "key", "left_semi"), "dedup-apart")
+        # A file belongs to one batch, so file and row tell rows apart.
+        own = self.contents(apart).drop("key").join(apart, ["file", "row"])
         told = own.groupBy("key", "text").agg(
             F.max(F.struct("doc_id", *LOCATOR)).alias("keep"), F.count(F.lit(1)).alias("size")
         )

@@ -47,15 +47,15 @@ def test_odd_rows(spark, tmp_path, digits):
     check(ODD, StreamDedup(spark, str(tmp_path / "docs"), str(tmp_path / "state"), digits).run())
 
 
-@pytest.mark.parametrize("digits", [64, 1])
-def test_increments(spark, tmp_path, digits):
+@pytest.mark.parametrize(("digits", "words"), [(64, 1 << 18), (1, 1 << 18), (1, 2)])
+def test_increments(spark, tmp_path, digits, words):
     """Files that come later, several steps a run, hits on contents of earlier files."""
     source, rows = str(tmp_path / "docs"), []
     for part in range(3):
         new = [(100 * part + i, f"text {i % (7 + part)}", None, 0) for i in range(40)]
         rows += new
         spark.createDataFrame(new, SCHEMA).repartition(2).write.mode("append").parquet(source)
-        dedup = StreamDedup(spark, source, str(tmp_path / "state"), digits, batch_bytes=1)
+        dedup = StreamDedup(spark, source, str(tmp_path / "state"), digits, batch_bytes=1, words=words)
         check(rows, dedup.run())
     assert dedup.log().select("batch").where("batch >= 0").distinct().count() == 6
     # Nothing new: no step is run, and the verdicts stay.
