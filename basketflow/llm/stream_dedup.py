@@ -44,6 +44,8 @@ STATE_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Else each of the many stores takes some megabytes of disk in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 LOCATOR = ["batch", "file", "row"]
 
@@ -90,6 +92,7 @@ class StreamDedup:
         self.spark, self.source, self.folder, self.batch_bytes = spark, source.rstrip("/"), folder.rstrip("/"), batch_bytes
         self.schema = spark.read.parquet(self.source).select("doc_id", "text").schema
         self.words = words
+        self._repeated: DataFrame | None = None
         self.key_of = lambda digest: F.left(digest, F.lit(digits))
         self.key = self.key_of(F.col("text_sha256"))
         kind = self.schema["doc_id"].dataType.simpleString()
@@ -134,6 +137,7 @@ class StreamDedup:
         )
         with settings(self.spark, STATE_SETTINGS):
             self._finish(classes.writeStream.format("noop").outputMode("update"), "settle")
+        self._repeated = None
 
     def _finish(self, writer, name: str) -> None:
         query = writer.option("checkpointLocation", f"{self.folder}/{name}").trigger(availableNow=True).start()
@@ -156,6 +160,13 @@ class StreamDedup:
             F.col("value.min").alias("first"),
         )
 
+    def repeated(self) -> DataFrame:
+        """The entries of digests that more than one row has, read from the state store once."""
+        if self._repeated is None:
+            with settings(self.spark, STATE_SETTINGS):
+                self._repeated = stored(self.state().where("size > 1"), "dedup-repeated")
+        return self._repeated
+
     def contents(self, wanted: DataFrame) -> DataFrame:
         """``key, text`` and locator (without batch) of each of ``wanted`` (locators), read by its locator.
 
@@ -200,7 +211,7 @@ class StreamDedup:
         upto = self.log().agg(F.max("batch")).first()[0]
         if upto is None or upto <= since:
             return
-        again = self.state().where("size > 1").select("key", "first")
+        again = self.repeated().select("key", "first")
         new = self.log().where(F.col("batch") > since).select(self.key.alias("key"), *LOCATOR).join(again, "key")
         hits = stored(new, "dedup-hits")
         firsts = hits.select("first.*").where(F.col("batch") <= since).distinct()
@@ -229,7 +240,7 @@ class StreamDedup:
             *LOCATOR,
         ]
         rows = self.log().withColumn("key", self.key)
-        again = self.state().where("size > 1").select("key", "keep", "size")
+        again = self.repeated().select("key", "keep", "size")
         if unlike.isEmpty():
             return rows.join(again, "key", "left").select(*result)
         apart = stored(rows.join(unlike, "key", "left_semi"), "dedup-apart")
