@@ -35,3 +35,8 @@ def strip(column: Column) -> Column:
 def clean(column: Column) -> Column:
     """Strip white space; what is then empty is absent (NULL)."""
     return F.nullif(strip(column), F.lit(""))
+
+
+def quoted(name: str) -> str:
+    """A column's name as Spark's expressions take any name."""
+    return f"`{name.replace('`', '``')}`"

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketflow.functions.text import quoted
 from basketflow.operators.affinity import user_affinity_nested
 from basketflow.operators.baskets import run_timestamp
 from basketflow.operators.recommendations import user_recommendations_nested
@@ -100,10 +101,9 @@ def _one_row_per_key(updates: DataFrame, key: str) -> DataFrame:
 
 
 def _both(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    old = target.select(F.col(key).alias("_old_key"), F.struct(*target.columns).alias("_old"))
-    new = _one_row_per_key(updates, key).select(
-        F.col(key).alias("_new_key"), F.struct(*target.columns).alias("_new")
-    )
+    row = F.struct(*map(quoted, target.columns))
+    old = target.select(F.col(key).alias("_old_key"), row.alias("_old"))
+    new = _one_row_per_key(updates, key).select(F.col(key).alias("_new_key"), row.alias("_new"))
     return old.join(new, F.col("_old_key") == F.col("_new_key"), "full")
 
 
@@ -117,6 +117,16 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return _both(target, updates, key).select(merged.alias("row")).select("row.*")
 
 
+def merge_flagged(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """``merge_upsert`` with two flags: ``_matched`` rows were replaced, ``_inserted`` ones are new."""
+    old, new = F.col("_old_key").isNotNull(), F.col("_new_key").isNotNull()
+    return (
+        _both(target, updates, key)
+        .select(F.when(new, F.col("_new")).otherwise(F.col("_old")).alias("row"), (old & new).alias("_matched"), (~old & new).alias("_inserted"))
+        .select("row.*", "_matched", "_inserted")
+    )
+
+
 def upsert_metrics(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """One row: how many updates matched a stored row, modified it, or were new.
 

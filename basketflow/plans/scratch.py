@@ -31,6 +31,14 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """The names of what is directly in a folder; none if it is not there."""
+    at, files = _file_system(spark, folder)
+    if not files.exists(at):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(at))
+
+
 def file_versions(spark: SparkSession, folder: str) -> tuple:
     """Name, size and time of each file below a folder, in order."""
     at, files = _file_system(spark, folder)
