@@ -93,21 +93,19 @@ def flag_distribution(flagged: DataFrame) -> DataFrame:
     return flagged.groupBy("flag").agg(F.count(F.lit(1)).alias("n_items"))
 
 
+def targeting_figures() -> list[Column]:
+    """The counts of a targeting list, each named as in the figures of a run."""
+    return [
+        F.count(F.lit(1)).alias("abandoned_cart_items"),
+        F.count_if(F.col("flag") == HIGH_DISCOUNT).alias(HIGH_DISCOUNT),
+        F.count_if(F.col("flag") == STANDARD_REMINDER).alias(STANDARD_REMINDER),
+    ]
+
+
 def abandonment_summary(flagged: DataFrame, profiles: DataFrame) -> DataFrame:
     """(metric, value): the figures of a run, from its targeting list."""
-    counted = flagged.agg(
-        F.count_distinct("session_id").alias("sessions"),
-        F.count(F.lit(1)).alias("items"),
-        F.count_if(F.col("flag") == HIGH_DISCOUNT).alias("high"),
-        F.count_if(F.col("flag") == STANDARD_REMINDER).alias("standard"),
-    )
-    rows = [
-        ("abandoned_sessions", "sessions"),
-        ("abandoned_cart_items", "items"),
-        (HIGH_DISCOUNT, "high"),
-        (STANDARD_REMINDER, "standard"),
-    ]
-    listed = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).alias("value")) for m, c in rows])
+    counted = flagged.agg(F.count_distinct("session_id").alias("abandoned_sessions"), *targeting_figures())
+    listed = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in counted.columns])
     loaded = profiles.agg(F.count(F.lit(1)).alias("value"))
     return counted.select(F.inline(listed)).unionByName(
         loaded.select(F.lit("user_profiles").alias("metric"), "value")

@@ -131,6 +131,37 @@ def pair_counts(
     )
 
 
+def numbered_purchases(events: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The purchases as events whose ``product_id`` is the product's number.
+
+    ``numbers`` (item, number) has every product bought, numbered in order.
+    """
+    bought = purchases(events).join(numbers, F.col("product_id") == F.col("item"))
+    return bought.select("session_id", F.lit("purchase").alias("event_type"), F.col("number").alias("product_id"))
+
+
+def numbered_pair_counts(
+    events: DataFrame, giants: DataFrame, numbers: DataFrame, block_size: int = BLOCK_SIZE
+) -> DataFrame:
+    """(pair, count): ``pair_counts`` with both items' numbers in one long.
+
+    Numbers are in the order of the items, so pairs are in the order of
+    (item_a, item_b).
+    """
+    pairs = basket_pairs(numbered_purchases(events, numbers), giants, block_size)
+    pair = F.shiftleft(F.col("item_a").cast("long"), 32).bitwiseOR(F.col("item_b").cast("long"))
+    return pairs.groupBy(pair.alias("pair")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def named_pairs(counted: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(item_a, item_b, count) of numbered pairs, in their order."""
+    names = [numbers.select(F.col("number").alias(f"_{x}"), F.col("item").alias(f"item_{x}")) for x in "ab"]
+    ends = counted.select(
+        F.shiftright("pair", 32).cast("int").alias("_a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("_b"), "count"
+    )
+    return ends.join(names[0], "_a").join(names[1], "_b").select("item_a", "item_b", "count")
+
+
 def pairs_ranked(pairs: DataFrame) -> DataFrame:
     """All pairs, the most frequent first."""
     return pairs.orderBy(F.desc("count"), "item_a", "item_b")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from basketflow.functions.ranking import at_least_one, best, in_order
 from basketflow.operators.source_items import MAX_SOURCE_ITEMS
 
 MAX_CO_ITEMS = 5
+#: Rows of a join below which an item is not worth splitting.
+LEAST_WORK = 1_000_000
 _CO_ITEMS = "array<struct<item:string,count:bigint>>"
 
 
@@ -49,23 +53,64 @@ def longest_list(source_items: DataFrame) -> int:
     return source_items.agg(F.max(F.size("source_items"))).first()[0] or 0
 
 
-def candidate_recommendations(source_items: DataFrame, edges: DataFrame) -> DataFrame:
+def hot_items(listed: DataFrame, edges: DataFrame, parts: int, least: int = LEAST_WORK) -> DataFrame:
+    """(source_item, slices, blocks): items whose lists times neighbours are more than their share.
+
+    A share is a ``parts``-th of all rows that the join gives, ``least`` at least.  There
+    can't be more than ``parts`` such items, so they are few by construction.  Their
+    lists are dealt into ``slices`` and their neighbours into ``blocks``, the larger side first.
+    """
+    sizes = (
+        listed.groupBy("source_item")
+        .agg(F.count(F.lit(1)).alias("lists"))
+        .join(edges.groupBy("source_item").agg(F.count(F.lit(1)).alias("neighbours")), "source_item")
+        .withColumn("work", F.col("lists") * F.col("neighbours"))
+    )
+    whole = Observation()
+    most = sizes.observe(whole, F.sum("work").alias("work")).orderBy(F.desc("work")).limit(parts).collect()
+    wanted = max((whole.get["work"] or 0) / parts, least)
+    rows = []
+    for r in most:
+        if r["work"] <= wanted:
+            break
+        pieces = ceil(r["work"] / wanted)
+        larger = min(pieces, max(r["lists"], r["neighbours"]))
+        other = ceil(pieces / larger)
+        by_lists = r["lists"] >= r["neighbours"]
+        rows.append((r["source_item"], larger if by_lists else other, other if by_lists else larger))
+    return listed.sparkSession.createDataFrame(rows, "source_item STRING, slices INT, blocks INT")
+
+
+def _dealt(rows: DataFrame, hot: DataFrame, key: str, own: str, other: str, dealt: str, copied: str) -> DataFrame:
+    """``rows`` with ``dealt``, a number below ``own`` by hash of ``key``, and a copy for each ``copied`` below ``other``."""
+    placed = rows.join(F.broadcast(hot), "source_item", "left")
+    number = F.coalesce(F.pmod(F.xxhash64(key), F.col(own)), F.lit(0)).cast("int")
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+    return placed.select(*rows.columns, number.alias(dealt), F.explode(copies).alias(copied))
+
+
+def candidate_recommendations(
+    source_items: DataFrame, edges: DataFrame, parts: int | None = None, least: int = LEAST_WORK
+) -> DataFrame:
     """(user_id, source_rank, source_item, item, count): all neighbours of each
     source item but the user's own items.
 
-    Two equality joins, whose hot items and users AQE can split; nothing is
-    gathered in a row.
+    One equality join.  An item that many lists hold and that has many neighbours is
+    found by counts first; its lists are dealt into slices and its neighbours into
+    blocks, and each slice meets each block in a place of its own, so no task gets more
+    than about a ``parts``-th of all rows.  Own items, a list on the row, are left out
+    by an expression.  ``parts``: eight times the shuffle's partitions if not given.
     """
-    listed = source_items.select(
-        "user_id", F.posexplode("source_items").alias("position", "source_item")
-    )
-    own = listed.select("user_id", F.col("source_item").alias("item"))
+    parts = parts or 8 * int(source_items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    own = F.filter("source_items", lambda item: item.isNotNull())
+    listed = source_items.select("user_id", own.alias("own"), F.posexplode("source_items").alias("position", "source_item"))
+    hot = hot_items(listed, edges, parts, least)
+    slices = _dealt(listed, hot, "user_id", "slices", "blocks", "slice", "block")
+    blocks = _dealt(edges, hot, "item", "blocks", "slices", "block", "slice")
     return (
-        listed.join(edges, "source_item")
-        .join(own, ["user_id", "item"], "left_anti")
-        .select(
-            "user_id", (F.col("position") + 1).alias("source_rank"), "source_item", "item", "count"
-        )
+        slices.join(blocks, ["source_item", "slice", "block"])
+        .where(~F.array_contains("own", F.col("item")))
+        .select("user_id", (F.col("position") + 1).alias("source_rank"), "source_item", "item", "count")
     )
 
 

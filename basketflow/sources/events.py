@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,11 @@ from basketflow.operators.events import require_columns
 # Event types a product reads; in the stored log each has a partition.
 KINDS = ("view", "cart", "purchase")
 
+#: Bytes that a writing task gets at least, tasks for each core at most.
+WRITER_BYTES, WRITERS_PER_CORE = 8 << 20, 4
+#: What Spark takes for the size of rows that it knows nothing of, or more.
+UNKNOWN_BYTES = 1 << 62
+
 
 def read_events_csv(spark: SparkSession, path: str) -> DataFrame:
     """A raw CSV log: header, every column a string, doubled quotes in quotes.
@@ -52,17 +59,29 @@ def typed(log: DataFrame) -> DataFrame:
     return log.withColumns(present)
 
 
+def _joined(events: DataFrame) -> DataFrame:
+    """A log in few enough tasks for files of a good size: for each some megabytes at
+    least, and a few tasks for each core at most.
+
+    Splits of files are joined where they are.  Of other logs Spark does not know the size,
+    and their rows are rebalanced by kind.
+    """
+    size = int(str(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= UNKNOWN_BYTES:
+        return events.hint("rebalance", "kind")
+    most = WRITERS_PER_CORE * events.sparkSession.sparkContext.defaultParallelism
+    return events.coalesce(max(1, min(ceil(size / WRITER_BYTES), most)))
+
+
 def write_normalized(events: DataFrame, path: str) -> None:
     """Store the cleaned log once, for all products.
 
-    Partitioned by kind of event: a product that needs purchases reads no
-    others.  The kinds are four at most, whatever types the log holds.  Rows are
-    rebalanced by kind before they are written, so that each task writes files of
-    one kind and of the usual size; AQE splits the kinds that are large.
+    Partitioned by kind of event: a product that needs purchases reads no others.
+    The kinds are four at most, whatever types the log holds.  A task writes a file of
+    each, so a log in files is not shuffled, but written by few tasks.
     """
     kind = F.when(F.col("event_type").isin(*KINDS), F.col("event_type")).otherwise("other")
-    placed = events.withColumn("kind", kind).hint("rebalance", "kind")
-    placed.write.mode("overwrite").partitionBy("kind").parquet(path)
+    _joined(events.withColumn("kind", kind)).write.mode("overwrite").partitionBy("kind").parquet(path)
 
 
 def read_normalized(spark: SparkSession, path: str, *kinds: str) -> DataFrame:

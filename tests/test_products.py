@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from basketflow.operators import abandonment as ab
 from basketflow.operators import affinity as af
@@ -14,6 +15,8 @@ from basketflow.operators import baskets as bk
 from basketflow.operators import profiles as pf
 from basketflow.operators import recommendations as rc
 from basketflow.operators import source_items as si
+from basketflow.plans import jobs
+from basketflow.sources import tables
 
 SCHEMA = "session_id STRING, user_id STRING, event_type STRING, product_id STRING, category STRING"
 
@@ -285,3 +288,51 @@ def test_profiles_need_affinity(spark):
 def test_limits_must_be_positive(spark, function):
     with pytest.raises(ValueError, match="at least 1"):
         function(spark.range(1), 0)
+
+
+def test_hot_items_are_dealt_over_tasks(spark):
+    """A third of all lists hold one item, which has most neighbours: no task gets far more than the others."""
+    rng = random.Random(12)
+    lists = [(f"u{u}", ["hot"] * (u % 3 == 0) + rng.sample([f"i{i}" for i in range(400)], 4)) for u in range(3000)]
+    edges = [("hot", f"n{i}", i) for i in range(300)] + [(f"i{i}", f"i{(i + k) % 400}", k) for i in range(400) for k in range(1, 6)]
+    items = spark.createDataFrame(lists, "user_id STRING, source_items ARRAY<STRING>")
+    known = spark.createDataFrame(edges, "source_item STRING, item STRING, count BIGINT")
+    neighbours = defaultdict(list)
+    for a, b, n in edges:
+        neighbours[a].append((b, n))
+    expected = Counter(
+        (u, place, a, b, n) for u, own in lists for place, a in enumerate(own, 1) for b, n in neighbours[a] if b not in own
+    )
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        found = rc.candidate_recommendations(items, known, least=100)
+        sizes = sorted(r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect())
+        assert len(sizes) == 32 and sizes[-1] <= 3 * sizes[16]
+        assert Counter(tuple(r) for r in found.collect()) == expected
+        plain = rc.candidate_recommendations(items, known)  # nothing worth splitting
+        sizes = sorted(r["count"] for r in plain.groupBy(F.spark_partition_id()).count().collect())
+        assert sizes[-1] > 30 * sizes[16]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    hot = {r.source_item: (r.slices, r.blocks) for r in rc.hot_items(items.selectExpr("explode(source_items) AS source_item"), known, 100, 10).collect()}
+    assert list(hot) == ["hot"] and hot["hot"][1] == 1 and hot["hot"][0] > 50
+    assert rc.candidate_recommendations(items.limit(0), known).count() == 0
+
+
+def test_numbered_pairs_equal_plain_ones(spark, tmp_path):
+    """Odd items, giants in blocks; numbers are in the order of the items."""
+    rows = random_log(31, 1500) + [("s1", "u", "purchase", p, None) for p in ("é", "a::b", "Z", "~", "0", "語", "a b")]
+    events = spark.createDataFrame(rows, SCHEMA)
+    tables.write_numbered(bk.purchases(events).selectExpr("product_id AS item"), str(tmp_path / "items"))
+    for block in (4, 256):
+        found = jobs.counted_pairs(spark, events, str(tmp_path / "items"), block).collect()
+        assert {(r.item_a, r.item_b): r["count"] for r in found} == brute_pairs(rows)
+    tables.write_numbered(spark.createDataFrame([("b",), ("a",), ("é",), ("a",)], "item STRING"), str(tmp_path / "n"))
+    numbers = tables.read_numbered(spark, str(tmp_path / "n"))
+    assert sorted((r.number, r.item) for r in numbers.collect()) == [(0, "a"), (1, "b"), (2, "é")]
+    tables.write_numbered(numbers.limit(0), str(tmp_path / "none"))
+    assert tables.read_numbered(spark, str(tmp_path / "none")).count() == 0
