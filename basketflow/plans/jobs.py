@@ -8,27 +8,28 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.operators.abandonment import (
-    TARGETING_SCHEMA,
     abandoned_cart_items,
-    abandonment_summary,
+    abandoned_sessions,
     flag_abandoned_items,
+    targeting_figures,
 )
-from basketflow.operators.affinity import TOP_CATEGORIES, user_affinity, user_category_scores
+from basketflow.operators.affinity import TOP_CATEGORIES, profile_top_categories, user_affinity, user_category_scores
 from basketflow.operators.baskets import (
     BLOCK_SIZE,
     co_occurrence_edges,
     giant_sessions,
-    pair_counts,
+    named_pairs,
+    numbered_pair_counts,
     pair_documents,
     pairs_ranked,
 )
-from basketflow.operators.events import normalize_events
-from basketflow.operators.lookup import DEFAULT_LIMIT, lookup_batch
-from basketflow.operators.profiles import merge_upsert, user_profiles
+from basketflow.operators.events import normalize_events, purchases
+from basketflow.operators.lookup import DEFAULT_LIMIT, lookup_batch, pair_terms, profile_terms
+from basketflow.operators.profiles import user_profiles
 from basketflow.operators.recommendations import (
     MAX_CO_ITEMS,
     enough_neighbours,
@@ -44,15 +45,16 @@ from basketflow.operators.source_items import (
 )
 from basketflow.plans.scratch import remove, require_free, scratch_path
 from basketflow.sources.events import read_normalized, write_normalized
+from basketflow.sources.keyed import KeyedTable, Version
 from basketflow.sources.tables import (
-    read_profile_top_categories,
+    read_numbered,
     read_source_items_json,
     read_table,
     write_json,
     write_new,
+    write_numbered,
     write_over,
     write_sorted,
-    write_touched,
 )
 
 def store_events(log: DataFrame, events_path: str) -> None:
@@ -73,18 +75,47 @@ def stored_giants(
     return read_table(spark, path)
 
 
+def item_numbers(spark: SparkSession, events_path: str, items_path: str) -> None:
+    """The products bought, numbered in order, by which pairs are counted."""
+    bought = purchases(read_normalized(spark, events_path, "purchase"))
+    write_numbered(bought.select(F.col("product_id").alias("item")), items_path)
+
+
+def counted_pairs(
+    spark: SparkSession,
+    purchased: DataFrame,
+    items_path: str,
+    block_size: int = BLOCK_SIZE,
+    giants_path: str | None = None,
+) -> DataFrame:
+    """``pair_counts`` by the items' numbers."""
+    numbers = read_numbered(spark, items_path)
+    giants = stored_giants(spark, purchased, block_size, giants_path)
+    return named_pairs(numbered_pair_counts(purchased, giants, numbers, block_size), numbers)
+
+
 def market_basket(
-    spark: SparkSession, events_path: str, pairs_path: str, block_size: int = BLOCK_SIZE
+    spark: SparkSession,
+    events_path: str,
+    pairs_path: str,
+    block_size: int = BLOCK_SIZE,
+    items_path: str | None = None,
 ) -> None:
-    """Refuses a path where there is something, before any work."""
+    """Refuses a path where there is something, before any work.
+
+    ``items_path``: the numbers of this log's items; made for this run if not given.
+    """
     require_free(spark, pairs_path)
     purchased = read_normalized(spark, events_path, "purchase")
-    path = scratch_path(spark, "giants")
+    giants_path, own_path = scratch_path(spark, "giants"), scratch_path(spark, "items")
     try:
-        giants = stored_giants(spark, purchased, block_size, path)
-        write_new(pairs_ranked(pair_counts(purchased, giants, block_size)), pairs_path)
+        if items_path is None:
+            item_numbers(spark, events_path, own_path)
+        counted = counted_pairs(spark, purchased, items_path or own_path, block_size, giants_path)
+        write_new(pairs_ranked(counted), pairs_path)
     finally:
-        remove(spark, path)
+        remove(spark, giants_path)
+        remove(spark, own_path)
 
 
 def affinity(spark: SparkSession, events_path: str, affinity_path: str) -> None:
@@ -132,34 +163,20 @@ def nearest(
     return top_co_items_nested(edges, depth)
 
 
-def upsert_into(
-    spark: SparkSession, updates: DataFrame, key: str, current_path: str | None, new_path: str
-) -> None:
-    """Write the next snapshot of a stored table; the current one is only read."""
-    if current_path == new_path:
-        raise ValueError("a snapshot cannot be written over the one it is made from")
-    if current_path is not None:
-        updates = merge_upsert(read_table(spark, current_path), updates, key)
-    write_sorted(updates, new_path, key)
+def pair_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, "pair_id", pair_terms)
 
 
-def upsert_in_place(
-    spark: SparkSession, updates: DataFrame, key: str, path: str, parts: int = 64
-) -> None:
-    """Upsert into a table laid out by ``write_touched``: partitions without an
-    updated key are neither read nor written.  Running it again changes nothing."""
-    write_touched(spark, updates, path, key, parts, merge_upsert)
+def profile_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, "user_id", profile_terms)
 
 
 def load_pairs(
-    spark: SparkSession,
-    pairs_path: str,
-    new_path: str,
-    current_path: str | None = None,
-    run_ts: datetime | None = None,
-) -> None:
+    spark: SparkSession, pairs_path: str, store_path: str, run_ts: datetime | None = None
+) -> Version:
+    """Bring the stored pairs up to date; the new version of their table."""
     updates = pair_documents(read_table(spark, pairs_path), run_ts)
-    upsert_into(spark, updates, "pair_id", current_path, new_path)
+    return pair_table(spark, store_path).upsert(updates)
 
 
 def load_profiles(
@@ -168,21 +185,25 @@ def load_profiles(
     items_path: str,
     neighbours_path: str,
     pairs_path: str,
-    new_path: str,
-    current_path: str | None = None,
+    store_path: str,
     run_ts: datetime | None = None,
     max_co_items: int = MAX_CO_ITEMS,
-) -> None:
-    """Source items may be a stored table, or JSON lines (a path that ends in
-    ``.json``), with lists of any length; the neighbours are as deep as the
-    longest list needs."""
-    read_items = read_source_items_json if items_path.rstrip("/").endswith(".json") else read_table
-    items = read_items(spark, items_path)
+    items_format: str = "parquet",
+) -> Version:
+    """Bring the stored profiles up to date; the new version of their table.
+
+    Source items are a stored table, or JSON lines (``items_format`` "json"), with
+    lists of any length; the neighbours are as deep as the longest list needs.
+    """
+    readers = {"parquet": read_table, "json": read_source_items_json}
+    if items_format not in readers:
+        raise ValueError(f"items_format is one of {', '.join(sorted(readers))}, not {items_format}")
+    items = readers[items_format](spark, items_path)
     depth = enough_neighbours(max_co_items, longest_list(items))
     near = nearest(spark, neighbours_path, pairs_path, depth)
     blocks = recommendation_blocks(items, near, max_co_items)
     updates = user_profiles(read_table(spark, affinity_path), blocks, run_ts)
-    upsert_into(spark, updates, "user_id", current_path, new_path)
+    return profile_table(spark, store_path).upsert(updates)
 
 
 def cart_abandonment(
@@ -196,12 +217,18 @@ def cart_abandonment(
 ) -> None:
     """The targeting list, and the figures of the run if they have a path."""
     events = read_normalized(spark, events_path, "cart", "purchase")
-    top = read_profile_top_categories(spark, profiles_path, n)
-    write_json(flag_abandoned_items(abandoned_cart_items(events), top, run_ts), targeting_path)
-    if figures_path is not None:
-        written = spark.read.schema(TARGETING_SCHEMA).json(targeting_path)
-        profiles = read_table(spark, profiles_path)
-        write_json(abandonment_summary(written, profiles), figures_path)
+    loaded = profile_table(spark, profiles_path)
+    top = profile_top_categories(loaded.read(), n)
+    flagged = flag_abandoned_items(abandoned_cart_items(events), top, run_ts)
+    if figures_path is None:
+        write_json(flagged, targeting_path)
+        return
+    # Counted as the rows are written; profiles are counted in the version of their table.
+    seen = Observation()
+    write_json(flagged.observe(seen, *targeting_figures()), targeting_path)
+    sessions = abandoned_sessions(events).count()
+    figures = [("abandoned_sessions", sessions), *seen.get.items(), ("user_profiles", loaded.version().total)]
+    write_json(spark.createDataFrame(figures, "metric STRING, value BIGINT"), figures_path)
 
 
 def lookups(
@@ -213,14 +240,16 @@ def lookups(
     limit: int = DEFAULT_LIMIT,
 ) -> DataFrame:
     """Answer requests from the stored tables; a ``limit`` beyond the depth of the
-    stored neighbours is served from the pairs of the items asked for."""
+    stored neighbours is served from the pairs of the items asked for.  Of the
+    profiles, few requests read only the parts and row groups of their users."""
     near = nearest(spark, neighbours_path, pairs_path, limit, requests)
-    return lookup_batch(requests, read_table(spark, profiles_path), near, limit)
+    asked_for = profile_table(spark, profiles_path).read_keys(requests.select("user_id"))
+    return lookup_batch(requests, asked_for, near, limit)
 
 
 def table_paths(root: str) -> dict[str, str]:
     """Where ``build_all`` keeps each table."""
-    names = "events pairs affinity source_items neighbours pair_documents profiles targeting figures"
+    names = "events items pairs affinity source_items neighbours pair_documents profiles targeting figures"
     return {name: f"{root.rstrip('/')}/{name}" for name in names.split()}
 
 
@@ -230,7 +259,8 @@ def build_all(
     """Run every job on a raw log, from an empty store; paths of the tables."""
     paths = table_paths(root)
     store_events(log, paths["events"])
-    market_basket(spark, paths["events"], paths["pairs"])
+    item_numbers(spark, paths["events"], paths["items"])
+    market_basket(spark, paths["events"], paths["pairs"], items_path=paths["items"])
     affinity(spark, paths["events"], paths["affinity"])
     source_items(spark, paths["events"], paths["source_items"])
     neighbours(spark, paths["pairs"], paths["neighbours"])

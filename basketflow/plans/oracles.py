@@ -193,7 +193,8 @@ SELECT '{"user_id":"' || a.user_id || '","item_id":"' || item_id
        || '],"available_source_items":['
        || CASE WHEN available_source_items = '' THEN '' ELSE
             '"' || replace(available_source_items, ',', '","') || '"' END
-       || ']}' AS json
+       || '],"profile_updated_at":'
+       || CASE WHEN found_user THEN '"2026-01-01T00:00:00.000000+00:00"' ELSE 'null' END || '}' AS json
 FROM answers a
 """
 
@@ -220,6 +221,7 @@ def _two_loads(parts: tuple[str, ...], result: str, select: str) -> str:
 
 _EVENTS = "SELECT session_id, user_id, event_type, product_id, category FROM log"
 _RECS = "SELECT user_id, source_rank, source_item, rank, item, count FROM recs"
+_SECOND_RUN_TS = " '2026-01-02T00:00:00.000000+00:00' "
 _RUN_TS = " '2026-01-01T00:00:00.000000+00:00' "
 _FLAGGED = "SELECT *," + _RUN_TS + "AS generated_at FROM flagged"
 
@@ -279,6 +281,16 @@ ORACLES: dict[str, str] = {
         "SELECT user_id, string_agg(product_id, ',' ORDER BY rank) AS source_items"
         " FROM source_items GROUP BY user_id",
     ),
+    "scan_source_items_faults": _with(
+        SHOP,
+        ITEMS,
+        """
+        SELECT user_id, string_agg(product_id, ',' ORDER BY rank) AS source_items, NULL AS reason
+        FROM source_items GROUP BY user_id
+        UNION ALL SELECT s_name, '', NULL FROM supplier
+        UNION ALL SELECT DISTINCT user_id, NULL, 'replaced' FROM source_items
+        UNION ALL SELECT NULL, NULL, unnest(['no object', 'no object', 'no user']) FROM supplier""",
+    ),
     "scan_source_items_json": _with(
         SHOP,
         ITEMS,
@@ -345,9 +357,13 @@ ORACLES: dict[str, str] = {
         _TO_PAIRS,
         "pairs",
         """
-        SELECT item_a || '::' || item_b AS pair_id, item_a, item_b, count FROM two
+        SELECT item_a || '::' || item_b AS pair_id, item_a, item_b, count,"""
+        + _SECOND_RUN_TS
+        + """AS updated_at FROM two
         UNION ALL
-        SELECT item_a || '::' || item_b, item_a, item_b, count FROM one
+        SELECT item_a || '::' || item_b, item_a, item_b, count,"""
+        + _RUN_TS
+        + """FROM one
         WHERE NOT EXISTS (
           SELECT 1 FROM two WHERE two.item_a = one.item_a AND two.item_b = one.item_b)""",
     ),
@@ -355,9 +371,13 @@ ORACLES: dict[str, str] = {
         _TO_PROFILES,
         "profiles",
         """
-        SELECT user_id, top_categories, recommendations FROM two
+        SELECT user_id, top_categories, recommendations,"""
+        + _SECOND_RUN_TS
+        + """AS updated_at FROM two
         UNION ALL
-        SELECT user_id, top_categories, recommendations FROM one
+        SELECT user_id, top_categories, recommendations,"""
+        + _RUN_TS
+        + """FROM one
         WHERE user_id NOT IN (SELECT user_id FROM two)""",
     ),
     "upsert_metrics": _two_loads(
@@ -410,6 +430,22 @@ ORACLES: dict[str, str] = {
                top_categories, recommendations, available_source_items
         FROM answers""",
     ),
+    "lookup_by_index": _with(
+        SHOP,
+        *_TO_PROFILES,
+        "asked AS (SELECT CAST(s_suppkey AS VARCHAR) AS item FROM supplier)",
+        """
+        SELECT 'user_id' AS kind, user_id AS term, user_id AS key FROM profiles
+        UNION ALL SELECT DISTINCT 'category', category, user_id FROM affinity
+        UNION ALL SELECT DISTINCT 'source_item', source_item, user_id FROM recs
+          WHERE source_item IN (FROM asked) AND user_id IN (SELECT user_id FROM affinity)
+        UNION ALL SELECT DISTINCT 'co_item', item, user_id FROM recs
+          WHERE item IN (FROM asked) AND user_id IN (SELECT user_id FROM affinity)
+        UNION ALL SELECT 'item', item_a, item_a || '::' || item_b FROM pairs WHERE item_a IN (FROM asked)
+        UNION ALL SELECT 'item', item_b, item_a || '::' || item_b FROM pairs WHERE item_b IN (FROM asked)
+        UNION ALL SELECT 'count', lpad(CAST(count AS VARCHAR), 19, '0'), item_a || '::' || item_b
+          FROM pairs WHERE count >= 2""",
+    ),
     "lookup_json": _with(SHOP, *_TO_ANSWERS, JSON_ANSWERS),
     "click_events_norm": _with(CLICKS, _EVENTS),
     "click_pairs_ranked": _with(

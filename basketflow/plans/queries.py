@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,7 @@ from basketflow.sources import tables
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = datetime(2026, 1, 1, tzinfo=timezone.utc)
+SECOND_RUN_TS = datetime(2026, 1, 2, tzinfo=timezone.utc)
 
 # Orders before and from this day stand for two loads of the stored tables.
 SECOND_LOAD = "1998-04-25"
@@ -92,8 +94,12 @@ def source_lists(events: DataFrame, n: int = si.MAX_SOURCE_ITEMS) -> DataFrame:
     return si.user_source_items_nested(si.user_source_items(si.user_item_scores(events), n))
 
 
-def pairs(spark: SparkSession, events: DataFrame) -> DataFrame:
-    return bk.pair_counts(events, jobs.stored_giants(spark, events))
+def pairs(spark: SparkSession, sf_dir: str, log: str = "shop") -> DataFrame:
+    """The pair counts of a log, by its items' stored numbers."""
+    logs = {"shop": shop_path, "click": clicks_path}
+    path = logs[log](spark, sf_dir)
+    items = stored_once(spark, sf_dir, f"{log}-items", lambda new: jobs.item_numbers(spark, path, new))
+    return jobs.counted_pairs(spark, log_files.read_normalized(spark, path, "purchase"), items)
 
 
 def neighbours(counted: DataFrame, depth: int) -> DataFrame:
@@ -138,8 +144,19 @@ def loads(spark: SparkSession, sf_dir: str) -> list[dict[str, str]]:
     ]
 
 
-def two_loads(spark: SparkSession, sf_dir: str, name: str) -> list[DataFrame]:
-    return [tables.read_table(spark, paths[name]) for paths in loads(spark, sf_dir)]
+def both_loads(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """The stored tables after both loads, the second into what the first left."""
+    runs = list(zip(loads(spark, sf_dir), (RUN_TS, SECOND_RUN_TS)))
+
+    def write(new: str) -> None:
+        into = jobs.table_paths(new)
+        for p, run_ts in runs:
+            jobs.load_pairs(spark, p["pairs"], into["pair_documents"], run_ts)
+            jobs.load_profiles(
+                spark, p["affinity"], p["source_items"], p["neighbours"], p["pairs"], into["profiles"], run_ts
+            )
+
+    return jobs.table_paths(stored_once(spark, sf_dir, "both-loads", write))
 
 
 def stored_once(
@@ -163,34 +180,27 @@ def stored_once(
 _STORED: dict[tuple, str] = {}
 
 
+def shop_path(spark: SparkSession, sf_dir: str) -> str:
+    return stored_once(spark, sf_dir, "shop-events", lambda new: jobs.store_events(shop_log(spark, sf_dir), new))
+
+
 def shop(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    path = stored_once(
-        spark,
-        sf_dir,
-        "shop-events",
-        lambda new: jobs.store_events(shop_log(spark, sf_dir), new),
-    )
-    return log_files.read_normalized(spark, path, *kinds)
+    return log_files.read_normalized(spark, shop_path(spark, sf_dir), *kinds)
 
 
 def shop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored pair counts, as the later products find them."""
 
-    def write(new: str) -> None:
-        events = shop(spark, sf_dir, "purchase")
-        tables.write_over(pairs(spark, events), new)
+    path = stored_once(spark, sf_dir, "shop-pairs", lambda new: tables.write_over(pairs(spark, sf_dir), new))
+    return tables.read_table(spark, path)
+
 
-    return tables.read_table(spark, stored_once(spark, sf_dir, "shop-pairs", write))
+def clicks_path(spark: SparkSession, sf_dir: str) -> str:
+    return stored_once(spark, sf_dir, "click-events", lambda new: jobs.store_events(click_log(spark, sf_dir), new))
 
 
 def clicks(spark: SparkSession, sf_dir: str, *kinds: str) -> DataFrame:
-    path = stored_once(
-        spark,
-        sf_dir,
-        "click-events",
-        lambda new: jobs.store_events(click_log(spark, sf_dir), new),
-    )
-    return log_files.read_normalized(spark, path, *kinds)
+    return log_files.read_normalized(spark, clicks_path(spark, sf_dir), *kinds)
 
 
 def stored(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -225,7 +235,7 @@ def lookup_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     paths = stored(spark, sf_dir)
     return (
         requests(spark, sf_dir, paths),
-        tables.read_table(spark, paths["profiles"]),
+        jobs.profile_table(spark, paths["profiles"]).read(),
         tables.read_table(spark, paths["neighbours"]),
     )
 
@@ -301,12 +311,12 @@ def basket_pairs(spark, sf_dir):
 
 @query
 def pair_counts(spark, sf_dir):
-    return pairs(spark, shop(spark, sf_dir, "purchase"))
+    return pairs(spark, sf_dir)
 
 
 @query
 def pairs_ranked(spark, sf_dir):
-    return bk.pairs_ranked(pairs(spark, shop(spark, sf_dir, "purchase")))
+    return bk.pairs_ranked(pairs(spark, sf_dir))
 
 
 @query
@@ -337,7 +347,7 @@ def co_occurrence_edges(spark, sf_dir):
 @query
 def handoff_pairs(spark, sf_dir):
     path = scratch_path(spark, "pairs")
-    tables.write_new(bk.pairs_ranked(pairs(spark, shop(spark, sf_dir, "purchase"))), path)
+    tables.write_new(bk.pairs_ranked(pairs(spark, sf_dir)), path)
     return tables.read_table(spark, path)
 
 
@@ -368,9 +378,8 @@ def top_categories(spark, sf_dir):
 
 @query
 def profile_top_categories(spark, sf_dir):
-    path = scratch_path(spark, "profiles")
-    tables.write_new(profiles(shop(spark, sf_dir), shop_pairs(spark, sf_dir)), path)
-    top = tables.read_profile_top_categories(spark, path, af.TOP_CATEGORIES)
+    stored_profiles = jobs.profile_table(spark, stored(spark, sf_dir)["profiles"]).read()
+    top = af.profile_top_categories(stored_profiles, af.TOP_CATEGORIES)
     return top.select("user_id", joined(F.col("user_top_categories")).alias("user_top_categories"))
 
 
@@ -398,6 +407,30 @@ def scan_source_items_json(spark, sf_dir):
     return listed.select("user_id", joined(F.col("source_items")).alias("source_items"))
 
 
+@query
+def scan_source_items_faults(spark, sf_dir):
+    """Lists from JSON lines of two loads, the first with faults: what is kept, and
+    what is rejected and why.  Suppliers stand for lines that are damaged."""
+    path = scratch_path(spark, "source-lines")
+    lists = source_lists(shop(spark, sf_dir, "cart", "purchase"))
+    earlier = lists.select(F.to_json(F.struct("user_id", F.array(F.lit("old")).alias("source_items"))).alias("value"))
+    name = F.col("s_name")
+    faults = F.array(
+        F.concat(F.lit("no json "), name),
+        F.concat(F.lit('["'), name, F.lit('"]')),
+        F.concat(F.lit('{"user_id": "", "source_items": ["'), name, F.lit('"]}')),
+        F.concat(F.lit('{"user_id": "'), name, F.lit('", "source_items": "no list"}')),
+    )
+    damaged = table(spark, sf_dir, "supplier").select(F.explode(faults).alias("value"))
+    earlier.union(damaged).write.text(f"{path}/load=1")
+    lists.select(F.to_json(F.struct("user_id", "source_items")).alias("value")).write.text(f"{path}/load=2")
+    kept = tables.read_source_items_json(spark, path).select(
+        "user_id", joined(F.col("source_items")).alias("source_items"), F.lit(None).cast("string").alias("reason")
+    )
+    rejected = tables.rejected_source_items(spark, path)
+    return kept.unionByName(rejected.select("user_id", F.lit(None).cast("string").alias("source_items"), "reason"))
+
+
 # --- recommendations and profiles -------------------------------------------
 
 
@@ -456,23 +489,25 @@ def profiles_exploded(spark, sf_dir):
 
 @query
 def upsert_pairs(spark, sf_dir):
-    merged = pf.merge_upsert(*two_loads(spark, sf_dir, "pair_documents"), "pair_id")
-    return merged.select("pair_id", "item_a", "item_b", "count")
+    merged = jobs.pair_table(spark, both_loads(spark, sf_dir)["pair_documents"]).read()
+    return merged.select("pair_id", "item_a", "item_b", "count", iso_timestamp(F.col("updated_at")).alias("updated_at"))
 
 
 @query
 def upsert_profiles(spark, sf_dir):
-    merged = pf.merge_upsert(*two_loads(spark, sf_dir, "profiles"), "user_id")
+    merged = jobs.profile_table(spark, both_loads(spark, sf_dir)["profiles"]).read()
     return merged.select(
         "user_id",
         categories_text(F.col("top_categories")).alias("top_categories"),
         blocks_text(F.col("co_occurrence_recommendations")).alias("recommendations"),
+        iso_timestamp(F.col("updated_at")).alias("updated_at"),
     )
 
 
 @query
 def upsert_metrics(spark, sf_dir):
-    return pf.upsert_metrics(*two_loads(spark, sf_dir, "pair_documents"), "pair_id")
+    one, two = (jobs.pair_table(spark, p["pair_documents"]).read() for p in loads(spark, sf_dir))
+    return pf.upsert_metrics(one, two, "pair_id")
 
 
 # --- abandoned carts --------------------------------------------------------
@@ -566,8 +601,26 @@ def lookup_batch(spark, sf_dir):
 
 @query
 def lookup_json(spark, sf_dir):
-    answered = lk.lookup_batch(*lookup_inputs(spark, sf_dir))
-    return as_json(answered.drop("profile_updated_at"))
+    return as_json(lk.lookup_batch(*lookup_inputs(spark, sf_dir)))
+
+
+@query
+def lookup_by_index(spark, sf_dir):
+    """Stored profiles and pairs by each of their indexed terms: the users, all
+    categories, each supplier's number as an item, and pairs found more than once."""
+    paths = stored(spark, sf_dir)
+    by_user = jobs.profile_table(spark, paths["profiles"])
+    by_pair = jobs.pair_table(spark, paths["pair_documents"])
+    items = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("term"))
+    of_kind = lambda kind, terms: terms.select(F.lit(kind).alias("kind"), "term")
+    affinity = tables.read_table(spark, paths["affinity"])
+    named = of_kind("category", affinity.select(F.col("category").alias("term")))
+    for kind in ("source_item", "co_item"):
+        named = named.union(of_kind(kind, items))
+    users = of_kind("user_id", affinity.select(F.col("user_id").alias("term")))
+    often = [("count", f"{2:019d}", "9" * 19)]
+    found = [by_user.lookup(named), by_user.lookup(users), by_pair.lookup(of_kind("item", items)), by_pair.lookup_ranges(often)]
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- the same products from the click log -----------------------------------
@@ -580,7 +633,7 @@ def click_events_norm(spark, sf_dir):
 
 @query
 def click_pairs_ranked(spark, sf_dir):
-    return bk.pairs_ranked(pairs(spark, clicks(spark, sf_dir, "purchase")))
+    return bk.pairs_ranked(pairs(spark, sf_dir, "click"))
 
 
 @query
@@ -603,7 +656,7 @@ def click_user_source_items(spark, sf_dir):
 @query
 def click_user_recommendations(spark, sf_dir):
     events = clicks(spark, sf_dir, "cart", "purchase")
-    return rc.user_recommendations(blocks(events, pairs(spark, events)))
+    return rc.user_recommendations(blocks(events, pairs(spark, sf_dir, "click")))
 
 
 @query

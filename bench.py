@@ -74,7 +74,8 @@ def main() -> None:
     paths = jobs.table_paths(root)
     jobs.store_events(read_events_csv(spark, raw), paths["events"])
     each = {
-        "pairs": lambda p: jobs.market_basket(spark, p["events"], p["pairs"]),
+        "items": lambda p: jobs.item_numbers(spark, p["events"], p["items"]),
+        "pairs": lambda p: jobs.market_basket(spark, p["events"], p["pairs"], items_path=p["items"]),
         "affinity": lambda p: jobs.affinity(spark, p["events"], p["affinity"]),
         "source_items": lambda p: jobs.source_items(spark, p["events"], p["source_items"]),
         "neighbours": lambda p: jobs.neighbours(spark, p["pairs"], p["neighbours"]),

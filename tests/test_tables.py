@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import shutil
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketflow.functions.formats import as_json, iso_timestamp
+from basketflow.operators import abandonment as ab
 from basketflow.operators import affinity as af
 from basketflow.operators import baskets as bk
 from basketflow.operators import lookup as lk
@@ -59,6 +60,31 @@ def test_source_items_json_is_tolerant(spark, tmp_path):
     assert rows_of(listed) == [("u1", ["a", "b"]), ("u2", []), ("u3", []), ("u4", ["a"])]
 
 
+def test_rejected_lines_have_reasons_and_the_last_list_counts(spark, tmp_path):
+    path = tmp_path / "items"
+    path.mkdir()
+    (path / "a.json").write_text(
+        '{"user_id": "u1", "source_items": ["old"]}\n{"user_id": "u1", "source_items": ["older", "b"]}\n[1]\nnull\n   \n'
+    )
+    (path / "b.json").write_text('{"user_id": "u1", "source_items": ["new"]}\n{"user_id": 5, "source_items": []}\n{"x": 1}\ncut {"\n')
+    kept = tables.read_source_items_json(spark, str(path))
+    assert rows_of(kept) == [("5", []), ("u1", ["new"])]
+    rejected = tables.rejected_source_items(spark, str(path))
+    found = Counter((Path(r.file).name, r.line, r.reason) for r in rejected.collect())
+    assert found == Counter(
+        [
+            ("a.json", '{"user_id": "u1", "source_items": ["old"]}', "replaced"),
+            ("a.json", '{"user_id": "u1", "source_items": ["older", "b"]}', "replaced"),
+            ("a.json", "[1]", "no object"),
+            ("a.json", "null", "no object"),
+            ("b.json", '{"x": 1}', "no user"),
+            ("b.json", 'cut {"', "no object"),
+        ]
+    )
+    lines = spark.read.text(str(path)).where("trim(value) <> ''").count()
+    assert kept.count() + rejected.count() == lines
+
+
 def test_json_roundtrip(spark, tmp_path):
     lists = spark.createDataFrame(
         [("u1", ["a", 'q"uote']), ("u2", [])], tables.SOURCE_ITEMS_SCHEMA
@@ -97,11 +123,6 @@ def test_upsert_refuses_duplicate_keys(spark):
             result.collect()
 
 
-def test_snapshot_is_not_written_over_itself(spark, tmp_path):
-    with pytest.raises(ValueError, match="snapshot"):
-        jobs.upsert_into(spark, spark.range(1), "id", str(tmp_path), str(tmp_path))
-
-
 def test_profile_top_categories(spark):
     profiles = spark.createDataFrame(
         [
@@ -259,6 +280,7 @@ def test_jobs(spark, tmp_path):
     log = spark.createDataFrame(rows, SCHEMA)
     first = jobs.build_all(spark, log, str(tmp_path / "one"), RUN_TS)
     read = lambda name: tables.read_table(spark, first[name])
+    users_of = lambda path: {r.user_id for r in jobs.profile_table(spark, path).read().select("user_id").collect()}
     targeting = spark.read.json(first["targeting"])
     assert set(targeting.columns) == {
         "user_id",
@@ -269,8 +291,12 @@ def test_jobs(spark, tmp_path):
         "flag",
         "generated_at",
     }
-    assert read("profiles").count() == read("affinity").select("user_id").distinct().count()
-    assert read("pair_documents").count() == read("pairs").count()
+    figures = {r.metric: r.value for r in spark.read.json(first["figures"]).collect()}
+    summary = ab.abandonment_summary(targeting, jobs.profile_table(spark, first["profiles"]).read())
+    assert figures == {r.metric: r.value for r in summary.collect()}
+    before = users_of(first["profiles"])
+    assert len(before) == read("affinity").select("user_id").distinct().count()
+    assert jobs.pair_table(spark, first["pair_documents"]).read().count() == read("pairs").count()
 
     asked = read("source_items").select("user_id", F.get("source_items", F.lit(0)).alias("item_id"))
     near, far = (
@@ -284,18 +310,16 @@ def test_jobs(spark, tmp_path):
 
     later = [(s, "someone", t, p, c) for s, _, t, p, c in random_log(8, 300)]
     second = jobs.build_all(spark, spark.createDataFrame(later, SCHEMA), str(tmp_path / "two"), RUN_TS)
-    merged = str(tmp_path / "merged")
-    jobs.load_profiles(
+    version = jobs.load_profiles(
         spark,
         second["affinity"],
         second["source_items"],
         second["neighbours"],
         second["pairs"],
-        merged,
         first["profiles"],
     )
-    users = {r.user_id for r in tables.read_table(spark, merged).select("user_id").collect()}
-    assert users == {r.user_id for r in read("profiles").select("user_id").collect()} | {"someone"}
+    assert users_of(first["profiles"]) == before | {"someone"}
+    assert (version.number, version.inserted, version.total) == (2, 1, len(before) + 1)
 
 
 def brute_lists(rows, n, co_items):
@@ -321,13 +345,14 @@ def test_limits_hold_through_the_jobs(spark, tmp_path, depth):
     jobs.market_basket(spark, at("events"), at("pairs"))
     jobs.affinity(spark, at("events"), at("affinity"))
     jobs.source_items(spark, at("events"), at("items"), n=30)
-    tables.write_json(tables.read_table(spark, at("items")), at("items.json"))
+    tables.write_json(tables.read_table(spark, at("items")), at("items-json"))
     jobs.neighbours(spark, at("pairs"), at("near"), depth)
-    for items in ("items", "items.json"):
+    for items, form in (("items", "parquet"), ("items-json", "json")):
+        store = at(f"profiles-{items}")
         jobs.load_profiles(
-            spark, at("affinity"), at(items), at("near"), at("pairs"), at(f"profiles-{items}"), max_co_items=10
+            spark, at("affinity"), at(items), at("near"), at("pairs"), store, max_co_items=10, items_format=form
         )
-        profiles = tables.read_table(spark, at(f"profiles-{items}"))
+        profiles = jobs.profile_table(spark, store).read()
         found = {
             (r.user_id, b.source_item): [(c.item, c["count"]) for c in b.co_items]
             for r in profiles.collect()
@@ -363,22 +388,6 @@ def test_market_basket_refuses_a_path_and_clears_up(spark, tmp_path):
     assert giants() == before
 
 
-def test_update_of_one_key_rewrites_one_partition(spark, tmp_path):
-    path = tmp_path / "table"
-    rows = spark.range(200).selectExpr("cast(id AS STRING) AS k", "id AS v")
-    jobs.upsert_in_place(spark, rows, "k", str(path), parts=8)
-    files = lambda: {f for f in path.rglob("*.parquet")}
-    before = files()
-    for _ in range(2):
-        update = spark.createDataFrame([("7", 700)], "k STRING, v BIGINT")
-        jobs.upsert_in_place(spark, update, "k", str(path), parts=8)
-    kept = before & files()
-    assert len({f.parent for f in before}) == 8
-    assert len({f.parent for f in before - kept}) == 1
-    found = {r.k: r.v for r in spark.read.parquet(str(path)).collect()}
-    assert found == {str(i): i for i in range(200)} | {"7": 700}
-
-
 def test_stored_log_has_few_files_per_kind(spark, tmp_path):
     log = spark.createDataFrame(random_log(5, 4000), SCHEMA).repartition(40)
     jobs.store_events(log, str(tmp_path / "events"))
