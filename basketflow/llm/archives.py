@@ -8,27 +8,36 @@ bytes.  Contents that were seen before become ``revisit`` records.
 
 An archive is written by Spark's text writer, record after record, with the
 terminator of WARC records as line separator, so that it works on any file system;
-it is read back as whole files, whose size is bounded by the records per file, and
-taken apart by the declared lengths alone.
+it is read back as whole files, whose size is bounded in bytes, and taken apart by the
+declared lengths alone, a few records at a time.
+
+``read_arc`` reads legacy archives from storage, compressed ones too.  Lines of real
+archives have blanks inside fields, and records are cut or damaged: what cannot be read
+becomes a row that tells where and why, and reading goes on at the next record line.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import shared_folder, stored, text_chunks
 
-#: Records of a WARC file: the bound of a file that a task reads as a whole.
-RECORDS_PER_FILE = 2_000
+#: Bytes of a WARC file, which a task reads as a whole; one that a single record fills may be larger.
+FILE_BYTES = 32 << 20
+#: Bytes of records that are handed on at once.
+BATCH_BYTES = 4 << 20
 #: Equal payloads of at least so many bytes become revisits.
 MIN_REVISIT_BYTES = 0
 #: Name space of the record identifiers.
@@ -89,37 +98,93 @@ def arc_archive(records: list[tuple[str, str, bytes]], version: int) -> bytes:
     return b"".join(parts)
 
 
-def parse_arc(archive: bytes) -> Iterator[ArcRecord]:
-    """The records of an ARC file, without its version block.
-
-    Raises ``ValueError`` for an unknown version, a line with too few fields, or a
-    declared length that the file does not hold.
+@dataclass
+class BadRecord:
+    """What could not be read of an archive, and where it begins."""
+
+    at: int
+    reason: str
+
+
+#: What a record line looks like: fields that may hold blanks are between such as don't.
+ARC_LINES = {
+    1: re.compile(rb"(.+) (\S+) (\d{12,14}) (.+) (\d+)\r?"),
+    2: re.compile(rb"(.+) (\S+) (\d{12,14}) (.+) (\d+|-) (\S+) (.+) (\d+|-) (.+) (\d+)\r?"),
+}
+
+
+def unzipped(archive: bytes) -> tuple[bytes, str | None]:
+    """An archive's bytes, decompressed if need be, and why the rest is missing if it is."""
+    if not archive.startswith(b"\x1f\x8b"):
+        return archive, None
+    found, rest = [], archive
+    while rest.startswith(b"\x1f\x8b"):  # a member for each record
+        member = zlib.decompressobj(31)
+        try:
+            found.append(member.decompress(rest))
+        except zlib.error as damaged:
+            return b"".join(found), str(damaged)
+        if not member.eof:
+            return b"".join(found), "the last compressed member is cut"
+        rest = member.unused_data
+    return b"".join(found), "no compressed member where one should begin" if rest.strip(b"\0\r\n") else None
+
+
+def scan_arc(archive: bytes) -> Iterator[ArcRecord | BadRecord]:
+    """The records of an ARC file, without its version block, and what is bad between them.
+
+    After a bad record reading goes on at the next line that looks like a record's.
+    An unknown version or none ends it.
     """
-    at, names = 0, None
+    archive, cut = unzipped(archive)
+    end = archive.find(b"\n")
+    line = ARC_LINES[1].fullmatch(archive[: max(end, 0)])
+    if end < 0 or not line or not line[1].startswith(b"filedesc://"):
+        yield BadRecord(0, "no version block")
+        return
+    at = end + 1 + int(line[5])
+    block = archive[end + 1 : at].split(b" ", 1)[0]
+    version = int(block) if block.isdigit() else None
+    if version not in ARC_FIELDS:
+        yield BadRecord(0, f"unknown version {block.decode('utf-8', 'replace')}")
+        return
+    names, pattern = ARC_FIELDS[version], ARC_LINES[version]
+    next_line = re.compile(rb"\n(?=" + pattern.pattern + rb"\n)")
     while at < len(archive):
-        if archive[at : at + 1] == b"\n":  # between records
+        if archive[at : at + 1] in b"\r\n":  # between records
             at += 1
             continue
         end = archive.find(b"\n", at)
-        if end < 0:
-            raise ValueError(f"record line without an end at byte {at}")
-        values = archive[at:end].decode("utf-8").rstrip("\r").split(" ")
-        length = int(values[-1])
-        content = archive[end + 1 : end + 1 + length]
-        if len(content) != length:
-            raise ValueError(f"record at byte {at} declares {length} bytes, {len(content)} are there")
-        at = end + 1 + length
-        if names is None:
-            if not values[0].startswith("filedesc://"):
-                raise ValueError("no version block")
-            version = int(content.split(b" ", 1)[0])
-            if version not in ARC_FIELDS:
-                raise ValueError(f"unknown version {version}")
-            names = ARC_FIELDS[version]
+        values = pattern.fullmatch(archive[at : end if end >= 0 else len(archive)])
+        reason = None
+        if values is None:
+            reason = f"no record line of {len(names)} fields"
+        else:
+            start, length = end + 1, int(values[len(names)])
+            content = archive[start : start + length]
+            if end < 0 or len(content) < length:
+                reason = f"{length} bytes declared, {len(content) if end >= 0 else 0} are there"
+            elif archive[start + length : start + length + 1] not in (b"", b"\r", b"\n"):
+                reason = f"no line ends after the {length} bytes declared"
+        if reason is None:
+            texts = [value.decode("utf-8", "replace") for value in values.groups()]
+            yield ArcRecord(dict(zip(names, texts, strict=True)), content)
+            at = start + length
             continue
-        if len(values) != len(names):
-            raise ValueError(f"{len(values)} fields instead of {len(names)}")
-        yield ArcRecord(dict(zip(names, values, strict=True)), content)
+        yield BadRecord(at, reason)
+        # The content of a record with a wrong length is skipped along with its line.
+        later = next_line.search(archive, end if end >= 0 else len(archive))
+        at = later.end() if later else len(archive)
+    if cut:
+        yield BadRecord(len(archive), cut)
+
+
+def parse_arc(archive: bytes) -> Iterator[ArcRecord]:
+    """The records of an ARC file; raises ``ValueError`` where one is bad."""
+    for record in scan_arc(archive):
+        if isinstance(record, BadRecord):
+            raise ValueError(f"at byte {record.at}: {record.reason}")
+        yield record
 
 
 def iso_date(date: str) -> str:
@@ -253,21 +318,78 @@ def convert(archives: DataFrame) -> DataFrame:
     return archives.select("archive", "firsts").mapInArrow(records, "record binary")
 
 
-def write_warc(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+def slotted(records: DataFrame, file_bytes: int) -> DataFrame:
+    """``record`` and ``slot``: a task's records fill one file of ``file_bytes`` after another."""
+
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, held = 0, 0
+        for batch in batches:
+            slots = []
+            for size in pa.compute.binary_length(batch.column("record")).to_pylist():
+                if held and held + size > file_bytes:
+                    slot, held = slot + 1, 0
+                held += size + len(TERMINATOR)
+                slots.append(slot)
+            yield pa.RecordBatch.from_arrays([batch.column("record"), pa.array(slots, pa.int32())], names=["record", "slot"])
+
+    return records.select("record").mapInArrow(filled, "record binary, slot int")
+
+
+def write_warc(records: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """The records as WARC files in a folder that is not there yet."""
-    (
-        records.select(F.col("record").cast("string").alias("value"))
-        .write.option("lineSep", TERMINATOR)
-        .option("maxRecordsPerFile", records_per_file)
-        .text(path)
-    )
+    lines = slotted(records, file_bytes).select(F.col("record").cast("string").alias("value"), "slot")
+    lines.write.option("lineSep", TERMINATOR).partitionBy("slot").text(path)
+
+
+def in_batches(rows: Iterator[dict], schema: pa.Schema, size_of) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of about ``BATCH_BYTES``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += size_of(row)
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=schema)
+
+
+def read_arc(spark: SparkSession, path: str, pattern: str = "*.arc*") -> DataFrame:
+    """``file, url, ip, date, content_type, content, at, error`` of each record of the ARC
+    files (compressed or not) in a folder.
+
+    ``date`` is as a WARC date.  A bad record has ``error`` and the byte ``at`` which
+    it begins (of the decompressed file); the others have neither.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
+    schema = "file string, url string, ip string, date string, content_type string, content binary, at long, error string"
+    names = [field.split() for field in schema.split(", ")]
+    kinds = pa.schema([(n, {"string": pa.string(), "binary": pa.binary(), "long": pa.int64()}[k]) for n, k in names])
+
+    def row(file: str, record: ArcRecord | BadRecord) -> dict:
+        if isinstance(record, BadRecord):
+            return {"file": file, "at": record.at, "error": record.reason}
+        f = record.fields
+        return {
+            "file": file, "url": f["URL"], "ip": f["IP-address"], "date": iso_date(f["Archive-date"]),
+            "content_type": f["Content-type"], "content": record.content,
+        }
+
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                name = file.as_py()
+                rows = (row(name, record) for record in scan_arc(content.as_py()))
+                yield from in_batches(rows, kinds, lambda r: len(r.get("content") or b""))
+
+    return files.mapInArrow(parsed, schema)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """``record_id, type, uri, date, page_id, refers_to_record, payload_bytes,
     payload_digest, payload`` of each record in the folder; ``payload`` is null for
     revisits, whose length and digest are those of the full payload."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("content")
     schema = (
         "record_id string, type string, uri string, date string, page_id long, refers_to_record string, "
         "payload_bytes long, payload_digest string, payload binary"
@@ -295,7 +417,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         )
         for batch in batches:
             for file in batch.column("content"):
-                yield pa.RecordBatch.from_pylist(list(map(row, parse_warc(file.as_py()))), schema=kinds)
+                rows = map(row, parse_warc(file.as_py()))
+                yield from in_batches(rows, kinds, lambda r: len(r["payload"] or b""))
 
     return files.mapInArrow(parsed, schema)
 
