@@ -14,6 +14,7 @@ never among the features.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +29,8 @@ from basketflow.llm.common import stored, text_chunks, text_or_empty
 TRAIN_DOCS, TRAIN_LINES = 6_000, 1_200_000
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY = 150, 0.1, 1e-3
+#: Lines, with those that pad shorter texts, that are worked on at once.
+CELLS = 1 << 16
 
 #: Groups of characters that are counted.
 SYMBOLS, PIPES, STOPS = b"#*$%&<>@=_~^\\/{}[]+", b"|", b".,;:!?"
@@ -85,34 +88,43 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
             repeated[at] = 1 - len(set(own)) / len(own) if own else 0
             at += 1
     last = np.maximum(ends - 1, 0)
-    features = np.column_stack(
-        [
-            np.log1p(size),
-            np.log1p(words),
-            filled / known,
-            per_line(kinds == 2) / length,
-            per_line(kinds == 3) / length,
-            per_line(kinds == 4) / length,
-            per_line(kinds == 5) / length,
-            per_line(kinds == 6) / length,
-            per_line(kinds == 7) / length,
-            per_line(closes & ((kinds == 2) | (kinds == 3))) / known,
-            (kinds[last] == 4) & (size > 0),
-            again,
-            repeated,
-            words == 0,
-        ]
+    columns = (
+        lambda: np.log1p(size),
+        lambda: np.log1p(words),
+        lambda: filled / known,
+        lambda: per_line(kinds == 2) / length,
+        lambda: per_line(kinds == 3) / length,
+        lambda: per_line(kinds == 4) / length,
+        lambda: per_line(kinds == 5) / length,
+        lambda: per_line(kinds == 6) / length,
+        lambda: per_line(kinds == 7) / length,
+        lambda: per_line(closes & ((kinds == 2) | (kinds == 3))) / known,
+        lambda: (kinds[last] == 4) & (size > 0),
+        lambda: again,
+        lambda: repeated,
+        lambda: words == 0,
     )
+    features = np.empty((len(ends), len(columns)))
+    for number, column in enumerate(columns):
+        features[:, number] = column()
     return features, size, counts
 
 
-def with_neighbours(features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Each line's features, then those of the lines before and after it (or none)."""
+def moved(values: np.ndarray, counts: np.ndarray, by: int) -> np.ndarray:
+    """Each line's value moved ``by`` lines (1 or -1) within its text; zero where none comes."""
     first = np.cumsum(counts) - counts
-    before, after = np.roll(features, 1, axis=0), np.roll(features, -1, axis=0)
-    before[first] = 0
-    after[first + counts - 1] = 0
-    return np.hstack([features, before, after, np.ones((len(features), 1))])
+    result = np.roll(values, by, axis=0)
+    result[first if by == 1 else first + counts - 1] = 0
+    return result
+
+
+def evidence_of(features: np.ndarray, counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The sum of a line's features, those of the line before and of the line after, and one, by ``weights``."""
+    own, before, after = np.split(weights[:-1], 3)
+    found = features @ own + weights[-1]
+    found += moved(features @ before, counts, 1)
+    found += moved(features @ after, counts, -1)
+    return found
 
 
 @dataclass
@@ -126,7 +138,7 @@ class Field:
     curve: tuple[float, float] = (1.0, 0.0)
 
     def evidence(self, features: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        return with_neighbours((features - self.mean) / self.scale, counts) @ self.weights
+        return evidence_of((features - self.mean) / self.scale, counts, self.weights)
 
 
 def padded(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -183,11 +195,47 @@ def marginals(evidence: np.ndarray, counts: np.ndarray, transitions: np.ndarray)
     return good[np.arange(length)[None, :] < counts[:, None]], pairs, total
 
 
-def blocks(counts: np.ndarray, rows: int = 512) -> Iterator[np.ndarray]:
-    """Texts in groups of about the same number of lines."""
+def chain(evidence: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """The probability that each line of one text is good, for a text of any length.
+
+    A message is the log of the odds of "good" alone, so a line takes a few numbers.
+    """
+    (bad_bad, bad_good), (good_bad, good_good) = transitions.tolist()
+    own = evidence.tolist()
+
+    def odds(x: float, to_good: tuple[float, float], to_bad: tuple[float, float]) -> float:
+        """The odds after a step whose scores are these from bad and (with ``x``) from good."""
+        return _log_sum(to_good[0], to_good[1] + x) - _log_sum(to_bad[0], to_bad[1] + x)
+
+    found, message = np.empty(len(own)), own[0]
+    for t, e in enumerate(own):
+        if t:
+            message = e + odds(message, (bad_good, good_good), (bad_bad, good_bad))
+        found[t] = message
+    message = 0.0
+    for t in range(len(own) - 2, -1, -1):
+        message = odds(own[t + 1] + message, (good_bad, good_good), (bad_bad, bad_good))
+        found[t] += message
+    return 1 / (1 + np.exp(-np.clip(found, -700, 700)))
+
+
+def _log_sum(a: float, b: float) -> float:
+    return max(a, b) + math.log1p(math.exp(-abs(a - b)))
+
+
+def blocks(counts: np.ndarray, cells: int = CELLS) -> Iterator[np.ndarray]:
+    """Texts in groups of about the same number of lines, padded to at most ``cells`` lines.
+
+    A text with more lines is alone.
+    """
     order = np.argsort(counts, kind="stable")
-    for at in range(0, len(order), rows):
-        yield order[at : at + rows]
+    at = 0
+    for end, count in enumerate(counts[order].tolist()):
+        if end > at and (end + 1 - at) * count > cells:
+            yield order[at:end]
+            at = end
+    if len(order):
+        yield order[at:]
 
 
 def lines_of(texts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -203,7 +251,10 @@ def line_probabilities(field: Field, features: np.ndarray, counts: np.ndarray) -
     good = np.empty(len(features))
     for texts in blocks(counts):
         rows = lines_of(texts, counts)
-        good[rows] = marginals(evidence[rows], counts[texts], field.transitions)[0]
+        if len(texts) == 1:
+            good[rows] = chain(evidence[rows], field.transitions)
+        else:
+            good[rows] = marginals(evidence[rows], counts[texts], field.transitions)[0]
     return good
 
 
@@ -223,22 +274,24 @@ def logit(p: np.ndarray) -> np.ndarray:
 def train(features: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> Field:
     """Conditional likelihood of the documents' labels on all their lines, by Adam."""
     mean, scale = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-6)
-    inputs = with_neighbours((features - mean) / scale, counts)
+    inputs = (features - mean) / scale
     target = np.repeat(labels, counts).astype(np.float64)
     groups = [(texts, lines_of(texts, counts)) for texts in blocks(counts)]
     seen = np.zeros((2, 2))
     for state in (0, 1):
         seen[state, state] = (counts - 1)[labels == state].sum()
-    params = np.zeros(inputs.shape[1] + 4)
+    params = np.zeros(3 * inputs.shape[1] + 1 + 4)
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, STEPS + 1):
         weights, transitions = params[:-4], params[-4:].reshape(2, 2)
-        evidence = inputs @ weights
+        evidence = evidence_of(inputs, counts, weights)
         good, pairs = np.empty(len(target)), np.zeros((2, 2))
         for texts, rows in groups:
             good[rows], own, _ = marginals(evidence[rows], counts[texts], transitions)
             pairs += own
-        gradient = np.concatenate([inputs.T @ (target - good), (seen - pairs).ravel()]) / len(target)
+        error = target - good
+        by_weight = [inputs.T @ e for e in (error, moved(error, counts, -1), moved(error, counts, 1))]
+        gradient = np.concatenate([*by_weight, [error.sum()], (seen - pairs).ravel()]) / len(target)
         gradient -= PENALTY * params
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -263,8 +316,11 @@ def fitted_curve(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def score(field: Field, texts: list[bytes]) -> np.ndarray:
-    features, size, counts = line_features(texts)
-    raw = logit(weighted(line_probabilities(field, features, counts), size, counts))
+    raw = np.empty(len(texts))
+    # The features of a few texts at a time: they are many times a text of short lines.
+    for some in blocks(np.array([1 + text.count(b"\n") for text in texts], np.int64)):
+        features, size, counts = line_features([texts[i] for i in some])
+        raw[some] = logit(weighted(line_probabilities(field, features, counts), size, counts))
     slope, offset = field.curve
     return 1 / (1 + np.exp(-np.clip(slope * raw + offset, -30, 30)))
 
@@ -310,19 +366,22 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS, max_line
     found = texts.select("doc_id", "text", "label").mapInArrow(
         features_of, f"doc_id {kind}, lines array<double>, label int"
     )
+    sample = found.toArrow().combine_chunks()
+    ids, known_labels = (sample.column(name).to_pylist() for name in ("doc_id", "label"))
     # In a fixed order, so that training again gives the same field.
-    rows = sorted(((r["doc_id"], r["label"], r["lines"]) for r in found.toArrow().to_pylist()), key=lambda r: r[:2])
-    if len({label for _, label, _ in rows}) < 2:
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], known_labels[i]))
+    if len(set(known_labels)) < 2:
         # Nothing to learn from: lines are as good as the labels say, or even.
-        share = float(np.mean([label for _, label, _ in rows])) if rows else 0.5
+        share = float(np.mean(known_labels)) if known_labels else 0.5
         size = len(FEATURES)
         weights = np.zeros(3 * size + 1)
         weights[-1] = float(logit(np.array(share)))
         return Field(np.zeros(size), np.ones(size), weights, np.zeros((2, 2)))
-    grids = [np.array(lines).reshape(-1, len(FEATURES) + 1) for _, _, lines in rows]
+    lines = sample.column("lines").chunk(0)
+    ends, values = lines.offsets.to_numpy(), lines.flatten().to_numpy()
+    grids = [values[ends[i] : ends[i + 1]].reshape(-1, len(FEATURES) + 1) for i in order]
     every = np.concatenate(grids)
-    labels_found = np.array([label for _, label, _ in rows])
-    return train(every[:, 1:], every[:, 0], np.array([len(g) for g in grids]), labels_found)
+    return train(every[:, 1:], every[:, 0], np.array([len(g) for g in grids]), np.array(known_labels)[order])
 
 
 def quality_scores(

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 from itertools import product
+from pathlib import Path
 
 import numpy as np
 
 from basketflow.llm import host_rules, line_crf
 from basketflow.llm.queries import QUERIES
 
+ROOT = Path(__file__).resolve().parents[2]
 SF_DIR = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -142,3 +146,50 @@ def test_training_sees_whole_texts(spark, monkeypatch):
     assert good > 0.7 and bad < 0.3
     line_crf.fit(docs, labels, max_lines=601 * 7 + 600)
     assert list(seen[1][2]) == [601] * 7
+
+
+def test_chains_of_any_length_agree():
+    """A text alone, by messages of odds, has the marginals of a text in a group."""
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 300):
+        evidence, transitions = 3 * rng.normal(size=n), 2 * rng.normal(size=(2, 2))
+        grouped = line_crf.marginals(evidence, np.array([n]), transitions)[0]
+        assert np.allclose(line_crf.chain(evidence, transitions), grouped)
+    assert np.isfinite(line_crf.chain(np.array([1e4, -1e4]), transitions)).all()
+
+
+def test_evidence_is_of_neighbours_in_the_text():
+    rng = np.random.default_rng(5)
+    counts, features, weights = np.array([1, 3, 2]), rng.normal(size=(6, 4)), rng.normal(size=13)
+    found, at = line_crf.evidence_of(features, counts, weights), 0
+    for n in counts:
+        own = features[at : at + n]
+        for t in range(n):
+            beside = [own[i] if 0 <= i < n else np.zeros(4) for i in (t, t - 1, t + 1)]
+            assert np.isclose(found[at + t], np.concatenate([*beside, [1]]) @ weights)
+        at += n
+
+
+def test_groups_are_bounded_by_their_padded_lines():
+    counts = np.array([1] * 500 + [7] * 20 + [100_000, 3])
+    groups = list(line_crf.blocks(counts, cells=1000))
+    assert sorted(np.concatenate(groups).tolist()) == list(range(len(counts)))
+    for texts in groups:
+        assert len(texts) == 1 or len(texts) * counts[texts].max() <= 1000
+
+
+def test_a_long_text_beside_short_ones_takes_bounded_memory():
+    """A million lines and 500 short texts in one block: in a process of its own."""
+    script = """
+import resource, numpy as np
+from basketflow.llm import line_crf
+size = len(line_crf.FEATURES)
+field = line_crf.Field(np.zeros(size), np.ones(size), np.linspace(-1, 1, 3 * size + 1), np.eye(2))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+texts = [b"a b\\n" * 1_000_000] + [b"Some words.\\nAnd more."] * 500
+scores = line_crf.score(field, texts)
+assert len(set(scores[1:])) == 1 and 0 <= scores[0] <= 1
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=300, cwd=ROOT)
+    assert int(done.stdout.split()[-1]) < 600, done.stderr
