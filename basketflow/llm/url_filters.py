@@ -1,7 +1,7 @@
 """URL verdicts by host rules and by patterns that are indexed by a literal token.
 
-A pattern names literal tokens that any URL it matches must hold.  How often each
-of those tokens occurs is counted over all URLs; a pattern is filed under its
+A pattern implies literal tokens that any URL it matches must hold; they are read off the
+parsed regular expression.  How often each of those tokens occurs is counted over all URLs; a pattern is filed under its
 rarest one.  A URL's tokens fetch the patterns filed under them, and only those
 run as regular expressions.  With tokens that are rare, the cost of a URL does not
 grow with the list of rules.
@@ -14,11 +14,13 @@ no care.
 from __future__ import annotations
 
 import re
+import re._constants as codes
+import re._parser as parser
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: More rules than this are refused, as each task holds them all.
@@ -26,6 +28,50 @@ MAX_RULES = 200_000
 
 #: Tokens of a URL in lower case: runs of letters and digits.
 TOKEN = r"[a-z0-9]+"
+TOKEN_CHARACTER = re.compile(r"[a-z0-9]")
+
+
+def implied_tokens(pattern: str) -> tuple[str, ...]:
+    """The whole tokens that every match of a pattern holds, in order.
+
+    A token is a run of letters and digits of the pattern itself, with something on
+    either side that can only be another character, or the end of the URL.
+    """
+    items = list(parser.parse(pattern))
+    found, at = [], 0
+    while at < len(items):
+        end = at
+        while end < len(items) and items[end][0] is codes.LITERAL and TOKEN_CHARACTER.fullmatch(chr(items[end][1])):
+            end += 1
+        if end > at and _apart(items[:at], -1) and _apart(items[end:], 0):
+            found.append("".join(chr(value) for _, value in items[at:end]))
+        at = max(end, at + 1)
+    return tuple(dict.fromkeys(found))
+
+
+def _apart(items: list, side: int) -> bool:
+    """Whether all that ``items`` match has, at its end (-1) or its beginning (0), no token's
+    character: some other one, or the border of the URL."""
+    if not items:
+        return False
+    code, value = items[side]
+    others = items[:-1] if side else items[1:]
+    if code is codes.LITERAL:
+        return not TOKEN_CHARACTER.fullmatch(chr(value))
+    if code is codes.IN:
+        # Classes that are given by what they hold, as those given by what they don't hold tokens.
+        return all(kind is codes.LITERAL and not TOKEN_CHARACTER.fullmatch(chr(c)) for kind, c in value)
+    if code is codes.AT:
+        return value in (codes.AT_BEGINNING, codes.AT_BEGINNING_STRING) if side else value is codes.AT_END_STRING or value is codes.AT_END
+    if code is codes.SUBPATTERN:
+        return _apart([*others, *value[3]] if side else [*value[3], *others], side)
+    if code is codes.BRANCH:
+        return all(_apart([*others, *branch] if side else [*branch, *others], side) for branch in value[1])
+    if code is codes.MAX_REPEAT or code is codes.MIN_REPEAT:
+        least, _, inner = value
+        once = _apart(list(inner), side)
+        return once and (least > 0 or _apart(others, side))
+    return False
 
 
 @dataclass(frozen=True)
@@ -38,16 +84,25 @@ class HostRule:
 
 @dataclass(frozen=True)
 class PatternRule:
-    """``pattern`` runs on the URL in lower case; ``tokens`` are whole tokens it implies.
+    """``pattern`` runs on the URL in lower case.
 
-    ``priority``: of patterns that match, the highest decides; of equals, allow.
+    ``tokens``: whole tokens it implies, all of them if none are given; one that it does
+    not imply is refused.  ``priority``: of patterns that match, the highest decides; of
+    equals, allow.
     """
 
     pattern: str
-    tokens: tuple[str, ...]
+    tokens: tuple[str, ...] | None = None
     verdict: str = "block"
     priority: int = 0
 
+    def __post_init__(self) -> None:
+        implied = implied_tokens(self.pattern)
+        if self.tokens is None:
+            object.__setattr__(self, "tokens", implied)
+        elif wrong := set(self.tokens).difference(implied):
+            raise ValueError(f"{self.pattern} does not imply the tokens {', '.join(sorted(wrong))}")
+
 
 #: The host rules.
 HOST_RULES = (
@@ -57,6 +112,39 @@ HOST_RULES = (
     HostRule("org/fr/", "allow"),
 )
 
+#: What stands for what in a line of a filter list.
+LIST_SIGNS = {"*": r"[^\n]*", "^": r"(?:[^a-z0-9_.%-]|$)"}
+
+
+def listed_rule(line: str) -> PatternRule | None:
+    """The rule of a line of a filter list; None for blank lines, comments and headings.
+
+    ``||host`` begins at a host or a subdomain, ``|`` stands for the URL's beginning or end,
+    ``*`` for anything, ``^`` for a separator or the end, ``@@`` before a rule allows, with
+    a higher priority.  Rules with options, or as regular expressions, are refused.
+    """
+    line = line.strip()
+    if not line or line[0] in "![" or line.startswith("#"):
+        return None
+    allow = line.startswith("@@")
+    body = line.removeprefix("@@").lower()
+    if "$" in body or "##" in body or (len(body) > 1 and body[0] == body[-1] == "/"):
+        raise ValueError(f"no rule of this kind is read: {line}")
+    start = r"^[a-z]+://(?:[^/?#]*\.)?" if body.startswith("||") else "^" if body.startswith("|") else ""
+    end = r"$" if body.endswith("|") else ""
+    inner = body.removeprefix("||").removeprefix("|").removesuffix("|")
+    pattern = start + "".join(LIST_SIGNS.get(c) or re.escape(c) for c in inner) + end
+    return PatternRule(pattern, verdict="allow" if allow else "block", priority=int(allow))
+
+
+def read_rules(spark: SparkSession, path: str) -> tuple[PatternRule, ...]:
+    """The rules of filter lists, at most ``MAX_RULES`` lines."""
+    lines = [row["value"] for row in spark.read.text(path).limit(MAX_RULES + 1).collect()]
+    if len(lines) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    return tuple(rule for rule in map(listed_rule, lines) if rule is not None)
+
+
 #: Pattern rules for gambling, pills, tracking and adult hosts.  What
 #: no pattern matches is allowed.
 PATTERN_RULES = (
