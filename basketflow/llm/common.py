@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pyarrow as pa
@@ -52,6 +53,27 @@ def table_parts(written: DataFrame) -> DataFrame:
     return written.select("*", part.alias("_part"), F.col("_metadata.row_index").alias("_row"))
 
 
+#: The columns of documents that operators know by name.
+KNOWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def on_plain_names(
+    work: Callable[[DataFrame], DataFrame], docs: DataFrame, known: Iterable[str] = KNOWN
+) -> DataFrame:
+    """``work(docs)``, where ``docs`` has its columns beside ``known`` under plain names.
+
+    So no name, whatever characters are in it, clashes with those that ``work`` uses; the
+    result has the columns' own names again.  Names that differ in case only are
+    refused, as Spark's readers refuse them.
+    """
+    lower = Counter(c.lower() for c in docs.columns)
+    if twice := sorted(c for c in docs.columns if lower[c.lower()] > 1):
+        raise ValueError(f"columns whose names differ in case only: {', '.join(twice)}")
+    names = {c if c in known else f"_column_{i}": c for i, c in enumerate(docs.columns)}
+    found = work(docs.toDF(*names))
+    return found.toDF(*(names.get(c, c) for c in found.columns))
+
+
 def text_or_empty(docs: DataFrame, name: str = "text") -> Column:
     return F.coalesce(docs[name].cast("string"), F.lit(""))
 

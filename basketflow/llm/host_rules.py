@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from basketflow.llm.common import stored, text_chunks, text_or_empty
+from basketflow.llm.common import KNOWN, on_plain_names, stored, text_chunks, text_or_empty
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -123,6 +123,10 @@ def accepted(docs: DataFrame, host: str = "source", max_rate: float = MAX_HOST_R
     they are, and only the failed hosts, stored so that Spark knows their size, are
     joined to them.  Rows are judged one by one, whatever their ``doc_id``.
     """
+    return on_plain_names(lambda plain: _accepted(plain, host, max_rate), docs, (*KNOWN, host))
+
+
+def _accepted(docs: DataFrame, host: str, max_rate: float) -> DataFrame:
     bad = stored(bad_hosts(stored(measures(docs, host), "measures"), max_rate), "bad-hosts")
 
     @F.pandas_udf(BooleanType())

@@ -36,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm.common import stored
+from basketflow.llm.common import on_plain_names, stored
 
-#: Documents of a block, slots of a frame, documents of a bucket (about).
-BLOCK_DOCS, FRAME, BUCKET_DOCS = 16, 1_000, 4_000
+#: Documents of a block, and of a bucket (about).
+BLOCK_DOCS, BUCKET_DOCS = 16, 4_000
 #: Blocks of a run at most, runs that the driver hands over at once.
 RUN_BLOCKS, PIECE_RUNS = 4_000, 500_000
 #: Without target weights, a source gets its share of documents to this power.
@@ -126,74 +126,6 @@ def schedule(spark: SparkSession, classes: list[Sources], block_docs: int) -> Da
     )
 
 
-# Schedules of whole parts of a frame, for a few sources; ``mix`` doesn't use them.
-
-
-@dataclass
-class Phase:
-    first_slot: int
-    slots: int
-    parts: dict[str, int]  # slots of a frame, by source
-    frame: int
-    order: dict[str, list[int]]  # the slots of a frame that a source has, ascending
-    done: dict[str, int]  # blocks that a source had before this phase
-
-
-def parts_of(weights: dict[str, float], frame: int) -> dict[str, int]:
-    """Weights as whole parts of a frame, at least one each, by largest remainder."""
-    total = sum(weights.values())
-    frame = max(frame, 2 * len(weights))
-    spare = frame - len(weights)
-    exact = {s: spare * w / total for s, w in weights.items()}
-    parts = {s: 1 + int(x) for s, x in exact.items()}
-    left = frame - sum(parts.values())
-    for source in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:left]:
-        parts[source] += 1
-    return parts
-
-
-def frame_schedule(parts: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of one frame that each source has: earliest deadline first."""
-    frame = sum(parts.values())
-    released: dict[int, list[tuple[int, str]]] = {}
-    for source, count in parts.items():
-        for j in range(1, count + 1):
-            due = -(-j * frame // count)
-            released.setdefault((j - 1) * frame // count, []).append((due, source))
-    order: dict[str, list[int]] = {source: [] for source in parts}
-    ready: list[tuple[int, str]] = []
-    for slot in range(frame):
-        for block in released.get(slot, ()):
-            heapq.heappush(ready, block)
-        due, source = heapq.heappop(ready)
-        assert slot < due, "a deadline is missed"
-        order[source].append(slot)
-    return order
-
-
-def phases(blocks: dict[str, int], weights: dict[str, float], frame: int) -> list[Phase]:
-    """Until a source runs out, and from there with the others, until all have."""
-    done = dict.fromkeys(blocks, 0)
-    left = {s: n for s, n in blocks.items() if n}
-    found, first = [], 0
-    while left:
-        parts = parts_of({s: weights[s] for s in left}, frame)
-        order = frame_schedule(parts)
-        length = sum(parts.values())
-        # The slot after the last block of the source that is out first.
-        slots = min((n - 1) // parts[s] * length + order[s][(n - 1) % parts[s]] + 1 for s, n in left.items())
-        found.append(Phase(first, slots, parts, length, order, dict(done)))
-        whole, rest = divmod(slots, length)
-        for source in list(left):
-            had = whole * parts[source] + sum(slot < rest for slot in order[source])
-            done[source] += had
-            left[source] -= had
-            if not left[source]:
-                del left[source]
-        first += slots
-    return found
-
-
 def numbered(docs: DataFrame, source: str = "source") -> tuple[DataFrame, DataFrame]:
     """``doc_id, source, copies, bucket, own``, and the buckets' ``source, bucket, size, offset``."""
     rows = docs.select("doc_id", F.col(source).cast("string").alias("source"))
@@ -252,7 +184,6 @@ def mix(
     weights: dict[str | None, float] | None = None,
     source: str = "source",
     block_docs: int = BLOCK_DOCS,
-    frame: int = FRAME,
 ) -> DataFrame:
     """``doc_id, source, copy, block, slot, release, deadline, position``, a row per row.
 
@@ -260,8 +191,8 @@ def mix(
     block's, ``release`` and ``deadline`` are the block's as slots of the whole mix.
     A source without a target weight gets its share of documents to the power of
     0.7.  Null is a source of its own.  No row is dropped or repeated: when a source
-    is out, the others go on.  ``frame`` has no effect, as nothing is rounded to it.  Rows with the same ``doc_id`` and source are placed
-    one after another and told apart by ``copy``.  Other columns are not read.
+    is out, the others go on.  Rows with the same ``doc_id`` and source are placed one
+    after another and told apart by ``copy``.  Other columns are not read.
     """
     rows, offsets = numbered(docs, source)
     sources, classes = classed(offsets.groupBy("source").agg(F.sum("size").alias("docs")), weights or {})
@@ -276,24 +207,16 @@ def mix(
     )
 
 
-def slot_of(plan: list[Phase], source: str, block: int) -> tuple[int, int, int]:
-    """Slot, release and deadline of a source's ``block``-th block (from 1)."""
-    for phase, after in zip(plan, [*plan[1:], None], strict=True):
-        if source in phase.parts and (after is None or block <= after.done[source]):
-            own = block - phase.done[source]
-            parts, frame = phase.parts[source], phase.frame
-            slot = (own - 1) // parts * frame + phase.order[source][(own - 1) % parts]
-            release, due = (own - 1) * frame // parts, -(-own * frame // parts)
-            return phase.first_slot + slot, phase.first_slot + release, phase.first_slot + due
-    raise ValueError(f"no block {block} of {source}")
-
-
 def mixed_documents(docs: DataFrame, weights: dict[str | None, float] | None = None) -> DataFrame:
     """The rows of ``docs``, all columns, in the order of the mix.
 
     Ranges of positions become partitions, so the order holds over the files of a
     written table.  Copies of a row share its first position.
     """
+    return on_plain_names(lambda plain: _mixed(plain, weights), docs)
+
+
+def _mixed(docs: DataFrame, weights: dict[str | None, float] | None) -> DataFrame:
     order = mix(docs, weights).where("copy = 0")
     same = docs["doc_id"].eqNullSafe(order["doc_id"]) & docs["source"].cast("string").eqNullSafe(order["source"])
     # By a shuffle whatever the sizes, as positions grow with the documents.
