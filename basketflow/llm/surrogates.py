@@ -29,6 +29,7 @@ has no key can't go back.
 from __future__ import annotations
 
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -40,7 +41,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.llm.common import stored
+from basketflow.functions.text import quoted
+from basketflow.llm.common import on_plain_names, stored
 
 ROUNDS = 10
 #: Entities that may need another permutation than the first: tasks hold them all, so
@@ -69,27 +71,57 @@ ALPHABETS = [
     "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ", "ς",
 ]
 GROUP = {letter: group for group in ALPHABETS for letter in group}
+#: Code points of a neighbourhood: other letters stand for those of their kind in theirs.
+NEAR = 128
+#: Country codes of two digits; 1 and 7 are the only ones of one, the others have three.
+COUNTRIES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 "
+    "90 91 92 93 94 95 98".split()
+)
+#: The country of phone numbers that don't name theirs.
+HOME = "1"
 HEX = "0123456789abcdef"
 DIGITS = "0123456789"
 
-CAPITAL = "[A-ZÀ-ÖØ-ÞĀĂĄĆČĎĐĒĘĚĞĪŁŃŇŌŐŒŘŚŞŠŢŤŪŮŰŹŻŽА-ЯЁΑ-ΩΆΈ-Ώ]"
-NAME = CAPITAL + r"[^\W\d_]+(?:[-'’][^\W\d_]+)*"
+def capital_letters() -> str:
+    """A class of all capital letters, as ranges of code points."""
+    found, first = [], None
+    for point in range(0x10000):
+        capital = unicodedata.category(chr(point)) == "Lu"
+        if capital and first is None:
+            first = point
+        elif not capital and first is not None:
+            found.append(f"{chr(first)}-{chr(point - 1)}")
+            first = None
+    return f"[{''.join(found)}]"
+
+
+CAPITAL = capital_letters()
+NAME = CAPITAL + r"(?:[^\W\d_]+|['’]" + CAPITAL + r"[^\W\d_]+)(?:[-'’][^\W\d_]+)*"
+LABEL = r"[^\W_](?:[^\W_]|-+(?=[^\W_]))*"
 #: What is looked for, in order of preference where two begin at one place.
 PATTERNS = [
-    ("email", r"(?<![\w.+%-])[\w.+%-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"),
+    ("email", r"(?<![\w.+%-])[\w.+%-]{1,64}@" + LABEL + r"(?:\." + LABEL + ")+"),
+    ("access", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])"),
     ("secret", r"(?i:\b(?:api[_-]?key|secret|token|passw(?:or)?d|access[_-]?key)\b[\"']?\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_/+=.-]{8,})"),
     ("iban", r"\b(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)\b(?![A-Za-z0-9])"),
     ("card", r"(?<![\w.-])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![\w-])"),
     ("ssn", r"(?<![\w.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"),
     ("ip", r"(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![\w]|\.[0-9])"),
+    ("ipv6", r"(?<![\w:.])(?:[23][0-9A-Fa-f]{3}|[fF][cdeCDE][0-9A-Fa-f]{2})(?=[0-9A-Fa-f:]*::|(?::[0-9A-Fa-f]{1,4}){7}):[0-9A-Fa-f:]{1,34}(?![\w:])"),
     ("phone", r"(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?:[ .-][0-9]{2,4})?(?![\w])|(?<![\w.])\+[0-9]{8,15}(?![\w])"),
     ("name", r"\b(?:" + "|".join(TITLES) + r")\b\.?[ ]+(?P<name>" + NAME + r"(?:[ ]" + NAME + r"){0,2})"),
 ]
 
 
 NAMES = frozenset(n for names in FIRST_NAMES.values() for n in names)
+#: Written in capitals, all of a name is.
+LOUD = {n.upper(): n for n in NAMES}
 PATTERNS.append(("full", r"\b(?P<full>(?:" + "|".join(sorted(NAMES)) + r")\b(?:[ ]" + NAME + r"){1,2})"))
+LOUD_NAME = CAPITAL + "(?:" + CAPITAL + "|['’-](?=" + CAPITAL + "))+"
+PATTERNS.append(("loud", r"\b(?P<loud>(?:" + "|".join(sorted(LOUD)) + r")(?:[ ]" + LOUD_NAME + r"\b){1,2})"))
 NUMBERS = ("iban", "card", "ssn", "ip", "phone")
+SIXTEEN_BYTES = re.compile(r"[23fF][0-9A-Fa-f]{3}:[0-9A-Fa-f:]*:")
 WORD, NUMERIC = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]{2}|[0-9]\.[0-9]")
 
 
@@ -112,9 +144,36 @@ def hints(text: str) -> tuple[str, ...]:
         kinds.append("name")
     if not words.isdisjoint(NAMES):
         kinds.append("full")
+    if not words.isdisjoint(LOUD):
+        kinds.append("loud")
+    if SIXTEEN_BYTES.search(text):
+        kinds.append("ipv6")
+    if "AKIA" in text or "ASIA" in text:
+        kinds.append("access")
     return tuple(kinds)
 
 
+@lru_cache(1 << 16)
+def alphabet_of(letter: str) -> str:
+    """The letters that stand for one, itself among them; none for what is no letter.
+
+    Those that are not listed have the letters of their kind in their neighbourhood of
+    code points: of one script, and apart from those that change when their case does.
+    """
+    if letter in GROUP:
+        return GROUP[letter]
+
+    def kind(c: str) -> tuple[str, bool]:
+        return unicodedata.category(c), len(c.upper()) == 1 and c.upper().lower() == c
+
+    own = kind(letter)
+    if not own[0].startswith("L"):
+        return ""
+    first = ord(letter) - ord(letter) % NEAR
+    near = map(chr, range(first, first + NEAR))
+    return "".join(c for c in near if c == letter or (c not in GROUP and kind(c) == own))
+
+
 class Permutation:
     """Keyed permutations of the numbers below any size, without fixed points."""
 
@@ -196,7 +255,7 @@ class Surrogates:
         """The code's image; walks on until both are set apart, or neither is."""
         own = apart(code)
         # The form is part of the label: each form has a permutation of its own.
-        label = f"{label}/{'.'.join(str(ALL.index(a)) for a in alphabets)}"
+        label = f"{label}/{'.'.join(str(ALL.index(a)) if a in KNOWN_ALPHABETS else a[0] for a in alphabets)}"
         found = code
         while True:
             found = spelled(found, alphabets, lambda x, size: self.permutation.image(x, size, label))
@@ -214,10 +273,10 @@ class Surrogates:
     def letters(self, text: str, label: str, apart: Callable[[str], bool] = lambda code: False) -> str:
         """Letters and digits replaced by ones of their kind and script."""
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
-        places = [i for i, c in enumerate(low) if c in GROUP or c in DIGITS]
+        places = [i for i, c in enumerate(low) if c in DIGITS or alphabet_of(c)]
         if not places:
             return text
-        alphabets = [DIGITS if low[i] in DIGITS else GROUP[low[i]] for i in places]
+        alphabets = [DIGITS if low[i] in DIGITS else alphabet_of(low[i]) for i in places]
         mask = "".join(c if i not in set(places) else "*" for i, c in enumerate(low)) if len(places) < len(low) else ""
         code = self._code("".join(low[i] for i in places), alphabets, f"{label}/{mask}", apart)
         new = list(low)
@@ -233,9 +292,7 @@ class Surrogates:
         return recased(new, text) if len(new) == len(text) else new
 
     def phone(self, text: str) -> str:
-        prefix = re.match(r"\+[0-9]{1,3}(?=[ .(-])", text)
-        keep = len(prefix[0]) - 1 if prefix else 0
-        return self.digits(text, "phone", keep=keep)
+        return self.digits(text, "phone", keep=len(country_of(text)))
 
     def card(self, text: str) -> str:
         # A number that passes its check digit gets one that passes.
@@ -263,6 +320,17 @@ class Surrogates:
                     break
         return ".".join(str(new >> s & 255) for s in (24, 16, 8, 0))
 
+    def ipv6(self, text: str) -> str:
+        # The first 16 bits tell what kind of address it is.
+        number = int(ipaddress.IPv6Address(text))
+        kind, rest = number >> 112, number & ((1 << 112) - 1)
+        new = ipaddress.IPv6Address(kind << 112 | self.permutation.image(rest, 1 << 112, f"ipv6/{kind}"))
+        shown = new.exploded if len(text) == 39 else str(new)
+        return shown.upper() if text.upper() == text else shown
+
+    def access(self, text: str) -> str:
+        return text[:4] + self.letters(text[4:], "access")
+
     def secret(self, text: str) -> str:
         if re.fullmatch(r"[0-9a-f]+", text):
             return self._code(text, [HEX] * len(text), "hex", lambda code: False)
@@ -311,36 +379,80 @@ class Surrogates:
         return self.known_as(kind, text)[0]
 
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int, str]]]:
-        """The text with surrogates; kind, place in the original and surrogate of each entity."""
+        """The text with surrogates; kind, place in the original and surrogate of each entity.
+
+        A surname that a name in the text has is replaced where it stands alone as well.
+        """
         kinds = hints(text)
         if not kinds:
             return text, []
-        parts, found, at = [], [], 0
+        spans = []
         for match in detector(kinds).finditer(text):
             kind = match.lastgroup.removesuffix("_")
-            inner = kind if kind in ("secret", "iban", "name", "full") else f"{kind}_"
+            inner = kind if kind in ("secret", "iban", "name", "full", "loud") else f"{kind}_"
             start, end = match.span(inner)
             if start < 0:
                 continue
             original = text[start:end]
             if kind == "full" and len(set(original.split(" "))) == 1:
                 continue  # one word again and again is no name
-            kind = "name" if kind == "full" else kind
-            new = self.of(kind, original)
+            if kind == "ipv6" and not is_address(original):
+                continue
+            spans.append(("name" if kind in ("full", "loud") else kind, start, end))
+        spans = self.with_surnames(text, spans)
+        parts, found, at = [], [], 0
+        for kind, start, end in spans:
+            new = self.of(kind, text[start:end])
             parts += [text[at:start], new]
             found.append((kind, start, end, new))
             at = end
         parts.append(text[at:])
         return "".join(parts), found
 
+    def with_surnames(self, text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+        """The spans and those of their names' surnames elsewhere in the text, in order."""
+        names = {part for kind, start, end in spans if kind == "name" for part in text[start:end].split(" ")}
+        surnames = {part for part in names if len(part) > 2 and part.lower() not in self.first}
+        surnames |= {part.title() for part in surnames if part.isupper()}
+        if not surnames:
+            return spans
+        alone = re.compile(r"(?<![\w'’-])(?:" + "|".join(map(re.escape, sorted(surnames))) + r")(?!\w)")
+        found, at = [], 0
+        for kind, start, end in [*spans, ("", len(text), len(text))]:
+            found += [("name", *match.span()) for match in alone.finditer(text, at, start) if match.end() <= start]
+            if kind:
+                found.append((kind, start, end))
+            at = end
+        return found
+
+
+def is_address(text: str) -> bool:
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return False
+    return True
+
+
+def country_of(phone: str) -> str:
+    """The digits of the country code that a phone number names, if it does."""
+    apart = re.match(r"\+([0-9]{1,3})(?=[ .(-])", phone)
+    if apart or not phone.startswith("+"):
+        return apart[1] if apart else ""
+    digits = phone[1:]
+    return digits[: 1 if digits[0] in "17" else 2 if digits[:2] in COUNTRIES else 3]
+
 
 ALL = [DIGITS, HEX, *ALPHABETS]
+KNOWN_ALPHABETS = frozenset(ALL)
 
 
 def canonical(kind: str, text: str) -> str:
     """What makes two spellings the same entity."""
-    if kind == "phone":
-        text = re.sub(r"^\+[0-9]{1,3}(?=[ .(-])", "", text)
+    if kind == "ipv6":
+        return ipaddress.IPv6Address(text).exploded
+    if kind == "phone" and not text.startswith("+"):
+        text = HOME + text
     if kind in ("phone", "card", "ssn"):
         return "".join(c for c in text if c in DIGITS)
     return unicodedata.normalize("NFC", text).lower().replace(" ", "")
@@ -389,9 +501,14 @@ def replaced(docs: DataFrame, key: bytes) -> DataFrame:
     ``entities`` lists ``kind, begin, end`` (in code points of the original text),
     ``surrogate``, and ``entity``, a keyed digest of the original that tells
     entities apart without showing them.  Null texts stay null, empty ones empty;
-    a column of ``docs`` called ``entities`` is replaced.  Texts without an entity
+    a column of ``docs`` called ``entities`` (in any case) is replaced.  Texts without an entity
     come back as they were; repeated rows are replaced alike.
     """
+    others = docs.select(*(docs[quoted(c)] for c in docs.columns if c.lower() != "entities"))
+    return on_plain_names(lambda plain: _replaced(plain, key), others)
+
+
+def _replaced(docs: DataFrame, key: bytes) -> DataFrame:
     attempts = docs.sparkSession.sparkContext.broadcast(settled(docs, key))
     entity = T.StructType(
         [
@@ -423,9 +540,8 @@ def replaced(docs: DataFrame, key: bytes) -> DataFrame:
             yield pd.DataFrame(rows, columns=["text", "entities"])
 
     found = docs.withColumn("entities", swap(docs["text"].cast("string")))
-    names = [c for c in docs.columns if c != "entities"]
     return found.select(
-        *(F.col("entities.text").alias("text") if c == "text" else F.col(f"`{c}`") for c in names),
+        *(F.col("entities.text").alias("text") if c == "text" else c for c in docs.columns),
         F.col("entities.entities").alias("entities"),
     )
 

@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -122,3 +123,26 @@ def test_documents_without_id_are_judged_one_by_one(spark):
     assert Counter(tuple(r) for r in found.collect()) == Counter(
         [(1, shared), (2, near), (2, near), (None, twice), (None, alone), (None, ""), (None, None)]
     )
+
+
+def test_columns_of_any_name(spark):
+    """Names with dots, backticks, and such that stages use inside; those that differ in case only are refused."""
+    rng = random.Random(8)
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))
+    names = ["doc_id", "a.b", "text", "a`b", "Entities", "source", "_doc_id", "position", "host", "_column_0", "digest", "lang"]
+    same = text()
+    rows = [(i, 1, same if i % 3 else text(), 2, 3, "s", 4, 5, 6, 7, 8, "en") for i in range(30)]
+    docs = spark.createDataFrame(rows, ", ".join(f"`{n.replace('`', '``')}` {'STRING' if n in ('text', 'source', 'lang') else 'BIGINT'}" for n in names))
+    *frames, tokens = staged(spark, docs)
+    kept = [i for i in range(30) if i == 1 or not i % 3]
+    for frame in frames:
+        assert frame.columns == names
+        assert all(tuple(r)[3:5] == (2, 3) and tuple(r)[6:11] == (4, 5, 6, 7, 8) for r in frame.collect())
+    assert sorted(r.doc_id for r in frames[1].collect()) == kept == sorted(r.doc_id for r in tokens.collect())
+    found = sg.replaced(docs, SURROGATE_KEY)
+    assert found.columns == [n for n in names if n != "Entities"] + ["entities"]
+    assert found.count() == 30
+    twice = spark.createDataFrame([(1, "a", "b", "s")], "doc_id BIGINT, text STRING, Text STRING, source STRING")
+    for _, stage in cp.STAGES[:4]:
+        with pytest.raises(ValueError, match="differ in case only: Text, text"):
+            stage(spark, twice, SF_DIR)
