@@ -1,9 +1,10 @@
 """Near-duplicate embeddings by a forest of random-projection trees.
 
 Each tree splits the unit vectors by random directions, recursively, at a quantile
-drawn near the median where few vectors lie.  Vectors within ``SPILL`` of a split go
-to both sides, so a close pair is parted only if the split falls between the two
-and both are further away from it.  All pairs within a leaf are compared, in double
+drawn near the median where few vectors lie.  Vectors near a split go to both sides, so
+a close pair is parted only if the split falls between the two and both are further away
+from it.  How near follows from the least cosine of a link and the dimension, as what
+such a pair differs by along a direction does, so trees part alike in any dimension.  All pairs within a leaf are compared, in double
 precision, and several trees make up for what one of them parts.
 
 The splits are fitted on a bounded sample; every vector is then put into leaves, in
@@ -31,8 +32,9 @@ from basketflow.llm.components import components
 
 COSINE = 0.95
 TREES = 4
-#: A pair at cosine 0.95 in 64 dimensions differs by about 0.04 along a direction.
-SPILL = 0.03
+#: How near a split vectors go to both sides, as a share of what a pair at the least
+#: cosine differs by along a direction.
+SPILL = 0.76
 #: Vectors of a leaf that is not split further; of a block of a larger leaf.
 LEAF_ROWS, BLOCK_ROWS = 1_000, 2_000
 #: Vectors on which the splits are fitted, about, and fewest that a split is fitted on.
@@ -47,19 +49,26 @@ class Tree:
     children: list[tuple[int, int] | None]
     level: list[int]
     leaf: list[int]  # number among all leaves of the forest, or -1
+    spill: float
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def grow(sample: np.ndarray, scale: float, seed: int, first_leaf: int) -> Tree:
+def spill_of(cosine: float, dimension: int) -> float:
+    """Unit vectors at ``cosine`` are sqrt(2 (1 - cosine)) apart, and differ along a random
+    direction by that over sqrt(dimension) (the standard deviation)."""
+    return SPILL * float(np.sqrt(2 * max(1 - cosine, 0) / max(dimension, 1)))
+
+
+def grow(sample: np.ndarray, scale: float, seed: int, first_leaf: int, spill: float) -> Tree:
     """A tree over the unit vectors ``sample``, each of which stands for ``scale`` ones."""
     rng = np.random.default_rng(seed)
     directions = rng.normal(size=(sample.shape[1], DEPTH))
     directions /= np.linalg.norm(directions, axis=0)
     places = sample @ directions
-    tree = Tree(directions, [], [], [], [])
+    tree = Tree(directions, [], [], [], [], spill)
     open_nodes = [(np.arange(len(sample)), 0)]
     leaves = first_leaf
     at = 0
@@ -72,9 +81,9 @@ def grow(sample: np.ndarray, scale: float, seed: int, first_leaf: int) -> Tree:
             while split is None and level < DEPTH:
                 own = places[rows, level]
                 cuts = np.quantile(own, rng.uniform(0.3, 0.7, 8))
-                spilled = (np.abs(own[:, None] - cuts) <= SPILL).sum(axis=0)
+                spilled = (np.abs(own[:, None] - cuts) <= spill).sum(axis=0)
                 cut = cuts[spilled.argmin()]
-                left, right = rows[own <= cut + SPILL], rows[own >= cut - SPILL]
+                left, right = rows[own <= cut + spill], rows[own >= cut - spill]
                 if max(len(left), len(right)) <= 0.9 * len(rows):
                     split = float(cut), left, right
                 else:
@@ -108,8 +117,8 @@ def leaves_of(vectors: np.ndarray, forest: list[Tree]) -> list[np.ndarray]:
                 leaves_found.append(np.full(len(rows), tree.leaf[node]))
                 continue
             own, cut = places[rows, tree.level[node]], tree.threshold[node]
-            stack.append((tree.children[node][0], rows[own <= cut + SPILL]))
-            stack.append((tree.children[node][1], rows[own >= cut - SPILL]))
+            stack.append((tree.children[node][0], rows[own <= cut + tree.spill]))
+            stack.append((tree.children[node][1], rows[own >= cut - tree.spill]))
     rows, leaves = np.concatenate(rows_found), np.concatenate(leaves_found)
     order = np.lexsort((leaves, rows))
     return np.split(leaves[order], np.searchsorted(rows[order], np.arange(1, len(vectors))))
@@ -144,7 +153,7 @@ def keyed(vectors: DataFrame) -> DataFrame:
     return vectors.mapInArrow(digests, f"vec_id long, vector array<{kind}>, digest binary")
 
 
-def fit(classes: DataFrame, dimension: int) -> list[Tree]:
+def fit(classes: DataFrame, dimension: int, cosine: float) -> list[Tree]:
     """The forest for vectors of one dimension, fitted on a sample of their digests."""
     own = classes.where(F.size("vector") == dimension)
     total = own.count()
@@ -157,7 +166,7 @@ def fit(classes: DataFrame, dimension: int) -> list[Tree]:
     forest: list[Tree] = []
     leaves = 0
     for number in range(TREES):
-        tree = grow(vectors, total / len(vectors), seed=7 + number, first_leaf=leaves)
+        tree = grow(vectors, total / len(vectors), seed=7 + number, first_leaf=leaves, spill=spill_of(cosine, dimension))
         leaves = max(tree.leaf) + 1
         forest.append(tree)
     return forest
@@ -226,7 +235,7 @@ def embedding_links(vectors: DataFrame, cosine: float = COSINE, column: str = "e
     )
     common = classes.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     dimension = common["d"] if common else 0
-    forest = spark.sparkContext.broadcast(fit(classes, dimension) if common else [])
+    forest = spark.sparkContext.broadcast(fit(classes, dimension, cosine) if common else [])
 
     def leaf_lists(batch: pa.RecordBatch) -> list[np.ndarray]:
         column = batch.column("vector")
