@@ -13,8 +13,9 @@ Only then are texts compared, on their full sets of shingles:
 - Equal sets are one class, found by digest; only a class's first text is compared.
 - First each text is compared with the smallest one of its entries.  So a large
   group of near copies costs as many comparisons as texts, not their square.
-- Entries whose texts are in one component by then are done.  The texts of the
-  others are clustered by the entries they share.  A cluster is compared in one task
+- Entries whose texts are in one component by then are done.  In the others all
+  signatures are compared, and texts within the distance are clustered: those that only
+  share an entry, as pages of one template do, are not.  A cluster is compared in one task
   if it is small, else in blocks of bounded size, block against block over all
   tasks: pairs within the distance that are not yet in one component.  Tasks return
   the links that join components, not the pairs, so that no link between components
@@ -235,10 +236,73 @@ def compared(table: pa.Table, words: int, similarity: int) -> pa.Table:
     return pa.table({"a": [a for a, _ in found], "b": [b for _, b in found]}, schema=kinds)
 
 
+def within_entries(members: DataFrame, groups: DataFrame, classes: DataFrame) -> DataFrame:
+    """``a, b``: pairs of texts of one entry that are within the distance and in different
+    components; of each entry's (or two of its blocks') as many as lead through the same texts.
+
+    ``members``: ``key, doc`` of the entries, each text once.  Large entries are compared
+    in blocks of bounded size, block against block, by signatures alone.
+    """
+    own = groups.select(F.col("node").alias("doc"), "component")
+    known = classes.select("doc", "signature").join(own, "doc", "left")
+    known = known.select("doc", "signature", F.coalesce("component", "doc").alias("group"))
+    blocks = F.ceil(F.count("*") / BLOCK_TEXTS).cast("int").alias("blocks")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = (
+        members.join(members.groupBy("key").agg(blocks), "key")
+        .select("key", "doc", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int").alias("block"), other)
+        .select("key", "doc", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    )
+    rows = dealt.join(known, "doc").select("key", "i", "j", "block", "doc", "group", "signature")
+    placed = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc")
+    return placed.mapInArrow(_entry_pairs, "a long, b long").distinct()
+
+
+def _entry_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of ``within_entries`` from rows in the order of their entries."""
+    at, held = None, []
+
+    def pairs() -> Iterator[tuple[int, int]]:
+        two = at[1] != at[2]
+        block, docs, group, raw = (list(c) for c in zip(*held, strict=True))
+        group, block = np.array(group), np.array(block)
+        signatures = np.frombuffer(b"".join(raw), "<u2").reshape(-1, SYMBOLS)
+        joined = np.arange(len(docs))  # texts that pairs lead through to each other
+        for i in range(len(docs) - 1):
+            rest = slice(i + 1, None)
+            likely = (group[rest] != group[i]) & ((signatures[rest] != signatures[i]).sum(axis=1) <= DISTANCE)
+            if two:
+                likely &= block[rest] != block[i]
+            for j in (np.flatnonzero(likely) + i + 1).tolist():
+                if joined[j] != joined[i]:
+                    yield docs[i], docs[j]
+                    joined[joined == joined[j]] = joined[i]
+
+    found = []
+    for batch in batches:
+        for key, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if at != (key, i, j):
+                if len(held) > 1:
+                    found += pairs()
+                at, held = (key, i, j), []
+            held.append(row)
+        if len(found) > 100_000:
+            yield _as_batch(found)
+            found = []
+    if len(held) > 1:
+        found += pairs()
+    yield _as_batch(found)
+
+
+def _as_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+
 def across(
     open_pairs: DataFrame, groups: DataFrame, classes: DataFrame, texts: DataFrame, words: int, similarity: int
 ) -> DataFrame:
-    """Links between components of texts that share an entry, or share one with a third.
+    """Links between components of texts within the distance, directly or through others.
 
     ``open_pairs``: ``a, b`` that lead through all such texts.
     """
@@ -312,9 +376,9 @@ def verdicts(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY)
     group, group_a = F.coalesce("component", "doc"), F.coalesce("component_a", "a")
     # Stored, so that the next join stands alone and Spark can split an entry's rows.
     mixed_entries = stored(grouped.where(group != group_a).select("key").distinct(), "mixed-entries")
-    open_pairs = stored(
-        members.join(mixed_entries, "key", "left_semi").select("a", F.col("doc").alias("b")).distinct(), "open-pairs"
-    )
+    several = members.join(mixed_entries, "key", "left_semi")
+    each = stored(several.select("key", "doc").union(several.select("key", F.col("a").alias("doc")).distinct()), "several")
+    open_pairs = stored(within_entries(each, groups, classes), "open-pairs")
     if not open_pairs.isEmpty():
         more = stored(across(open_pairs, groups, classes, texts, words, similarity), "links")
         if not more.isEmpty():

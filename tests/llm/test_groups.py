@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -92,6 +93,48 @@ def test_near_duplicates(spark, texts, size):
     assert len(links) > 500
 
 
+def test_texts_that_share_a_passage_are_not_gathered(spark, monkeypatch):
+    """A template in a third of each text gives entries in common, but no clusters: few texts are sent on."""
+    rng = random.Random(21)
+    make = lambda n: [f"w{rng.randrange(30_000)}" for _ in range(n)]
+    template = make(60)
+    lines = [" ".join(template + make(60)) for _ in range(1500)]
+    near = [" ".join(edited(rng, lines[i].split(), 0.01)) for i in range(40)]
+    sent = []
+    across = mj.across
+    monkeypatch.setattr(mj, "across", lambda pairs, *a: sent.append(pairs) or across(pairs, *a))
+    docs = spark.createDataFrame(list(enumerate(lines + near)), "doc_id BIGINT, text STRING")
+    found = {r.doc_id: r.component_id for r in mj.near_duplicates(docs).collect()}
+    assert found == brute_duplicates(dict(enumerate(lines + near)), 5)[1]
+    clusters = Counter(r.component for pairs in sent for r in components(pairs).collect())
+    assert max(clusters.values(), default=0) <= 20
+
+
+def test_large_entries_are_compared_in_blocks(spark, texts, monkeypatch):
+    """The same pairs' clusters, whatever the size of a block."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 16, (4, mj.SYMBOLS)).astype("<u2")
+    signatures = np.repeat(base, 12, axis=0)
+    for row in signatures:
+        row[rng.choice(mj.SYMBOLS, rng.integers(0, 22), replace=False)] ^= 1
+    rows = [(i, 9, bytearray(s.tobytes())) for i, s in enumerate(signatures)]
+    classes = spark.createDataFrame(rows, "doc BIGINT, n BIGINT, signature BINARY")
+    members = spark.createDataFrame([(k, i) for k in (1, 2) for i in range(48)], "key BIGINT, doc BIGINT")
+    groups = spark.createDataFrame([(i, i - i % 2) for i in range(0, 48, 3)], "node BIGINT, component BIGINT")
+    component = {i: i - i % 2 for i in range(0, 48, 3)}
+    links = [
+        (a, b) for a in range(48) for b in range(a + 1, 48)
+        if (signatures[a] != signatures[b]).sum() <= mj.DISTANCE and component.get(a, a) != component.get(b, b)
+    ]
+    expected = brute_components(range(48), links)
+    assert len(set(expected.values())) < 48
+    for size in (5, 1000):
+        monkeypatch.setattr(mj, "BLOCK_TEXTS", size)
+        pairs = [(r.a, r.b) for r in mj.within_entries(members, groups, classes).collect()]
+        assert brute_components(range(48), pairs) == expected
+        assert all((min(p), max(p)) in links for p in pairs)
+
+
 def test_tables_without_duplicates_and_without_ids(spark):
     schema = "doc_id BIGINT, text STRING"
     assert mj.near_duplicates(spark.createDataFrame([], schema)).count() == 0
@@ -168,6 +211,25 @@ def test_embeddings(spark, monkeypatch, leaf, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
 
 
+@pytest.mark.parametrize("dimension", [8, 64, 256, 768])
+def test_forest_parts_alike_in_any_dimension(dimension):
+    """Close pairs share a leaf, and the copies of a vector do not grow with the dimension."""
+    rng = np.random.default_rng(dimension)
+    sample = forest.unit(rng.normal(size=(8_000, dimension)))
+    trees, leaves = [], 0
+    for number in range(forest.TREES):
+        # As if each vector stood for six.
+        trees.append(forest.grow(sample, 6.0, number, leaves, forest.spill_of(0.95, dimension)))
+        leaves = max(trees[-1].leaf) + 1
+    one = sample[:2_000]
+    aside = rng.normal(size=one.shape)
+    aside = forest.unit(aside - (aside * one).sum(axis=1, keepdims=True) * one)
+    other = 0.955 * one + np.sqrt(1 - 0.955**2) * aside
+    own, others = forest.leaves_of(one, trees), forest.leaves_of(other, trees)
+    assert np.mean([bool(set(a) & set(b)) for a, b in zip(own, others)]) >= 0.98
+    assert np.mean([len(a) for a in own]) <= 20
+
+
 def test_no_embeddings(spark):
     none = spark.createDataFrame([], "vec_id BIGINT, embedding ARRAY<FLOAT>")
     assert forest.embedding_links(none).count() == 0
