@@ -15,10 +15,10 @@ bound it is broadcast and looked up in place, beyond it joined.
 from __future__ import annotations
 
 import hashlib
-import json
-import os
+import re
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
@@ -26,15 +26,19 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-import tokenizers
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketflow.llm import bpe
+from basketflow.llm import bpe, bpe_codec
 from basketflow.llm.common import no_cycles, stored, text_chunks, text_or_empty
 
-#: Windows whose alignments a worker remembers, and the longest of them in tokens.
-MEMO, MEMO_TOKENS = 200_000, 64
+#: Windows and words that a worker remembers, and the longest window of them in tokens.
+MEMO, MEMO_TOKENS = 150_000, 64
+#: Characters of a text beyond which it is split into words first.
+SPLIT_BEYOND = 100_000
+#: Links of a group that are listed; those of larger ones are counted by ids.
+FEW_LINKS = 256
 #: Pairs of ids whose counts are broadcast (17 bytes each); more are joined.
 BROADCAST_PAIRS = 4_000_000
 
@@ -42,13 +46,19 @@ BROADCAST_PAIRS = 4_000_000
 SPACE_SIGN = "▁"
 
 
-class Alignment(NamedTuple):
-    """Of a window or a text: groups as ``a1,a2|b1;a3|b2``, and links by pair of ids."""
+#: Of a window: groups as ``a1,a2|b1;a3|b2``, how many, how many links, the pairs of ids
+#: of the links one by one (64-bit numbers as bytes), and those of large groups counted.
+Alignment = tuple[str, int, int, bytes, Counter | None]
+
+
+class Aligned(NamedTuple):
+    """Of a text: the same, with each pair of ids once and how many links it has."""
 
     groups: str
     n_groups: int
     n_links: int
-    pairs: dict[int, int]
+    pairs: np.ndarray
+    times: np.ndarray
 
 
 class Sides(NamedTuple):
@@ -63,110 +73,172 @@ def sides(tokens: list[bytes]) -> Sides:
     return Sides(tokens, np.array(list(map(len, tokens)), np.int64), np.array([t.startswith(b" ") for t in tokens], bool))
 
 
-def shown_bytes(spec: dict) -> list[bytes]:
-    """The bytes of a byte-level tokenizer's tokens, by id; those of special tokens are their names."""
-    alphabet = bpe.byte_characters()
-    known = {i: bytes(map(alphabet.__getitem__, shown)) for shown, i in spec["model"]["vocab"].items()}
-    known |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
-    return [known.get(i, b"") for i in range(max(known) + 1)]
-
-
 def piece_bytes(model: sentencepiece.SentencePieceProcessor, i: int) -> bytes:
     piece = model.id_to_piece(i)
     return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(SPACE_SIGN, " ").encode()
 
 
+class ByteEncoder:
+    """Texts to token ids of a byte-level BPE, special strings as ordinary text.
+
+    The fast encoder merges neighbours whose joint text is the token of the lowest
+    rank, and does not know which two tokens a rule joins.  If merging yields every token
+    for its own text, that is the same: what has become of a token's text when its
+    rule's turn comes depends on nothing around it, so the two neighbours are those of
+    the rule.  For other vocabularies a word's tokens are a proposal; they are its encoding
+    exactly if each neighbouring pair stays apart (``bpe.MergeTable.apart``), else the
+    word is encoded by the rules themselves.
+    """
+
+    def __init__(self, content: bytes, patterns: tuple[str, str]):
+        self.table = bpe.MergeTable(content)
+        self.narrow, self.wide = map(re.compile, patterns)
+        known = self.table.bytes_of_id
+        ranks = {known[i]: number for number, i in enumerate(self.table.id)}
+        fast = lambda pattern: tiktoken.Encoding("fast", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.narrow_text, self.wide_text, self.proposer = fast(patterns[0]), fast(patterns[1]), fast(r"(?s:.+)")
+        self.sound = frozenset(self.table.tokens.values())
+        self.exact = len(self.sound) == len(self.table.text)
+        self.rules = bpe_codec.TrieEncoder(self.table)
+        self.ids = np.array(self.table.id, np.int32)
+        self.memo: dict[str, list[int]] = {}
+
+    def word(self, word: str) -> list[int]:
+        numbers, follows = self.proposer.encode_ordinary(word), self.table.follows
+        if self.exact or (self.sound.issuperset(numbers) and all(map(follows, numbers, numbers[1:]))):
+            return [self.table.id[n] for n in numbers]
+        return self.rules.encode([word])[word]
+
+    def by_words(self, text: str) -> list[int]:
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        memo = self.memo
+        words = (self.wide if bpe_codec.BEYOND.search(text) else self.narrow).findall(text)
+        for word in set(words).difference(memo):
+            memo[word] = self.word(word)
+        return list(chain.from_iterable(map(memo.__getitem__, words)))
+
+    def encode(self, text: str) -> np.ndarray:
+        # The fast encoder's own splitting is recursive, so long texts are split here.
+        if not self.exact or len(text) > SPLIT_BEYOND:
+            return np.array(self.by_words(text), np.int32)
+        encoder = self.wide_text if bpe_codec.BEYOND.search(text) else self.narrow_text
+        return self.ids[np.array(encoder.encode_ordinary(text), np.int64)]
+
+
 class Aligner:
-    def __init__(self, a_json: bytes, b_model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
-        self.a = tokenizers.Tokenizer.from_str(a_json.decode())
-        self.a.encode_special_tokens = True
-        self.a.no_truncation()
-        self.a.no_padding()
+    def __init__(self, a_json: bytes, patterns: tuple[str, str], b_model: bytes):
+        self.a = ByteEncoder(a_json, patterns)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
-        self.of_a = sides(shown_bytes(json.loads(a_json)))
+        known = self.a.table.bytes_of_id
+        self.of_a = sides([known.get(i, b"") for i in range(max(known) + 1)])
         self.of_b = sides([piece_bytes(self.b, i) for i in range(self.b.vocab_size())])
+        # Ids as they are shown within a part of a group, at the end of its A part, and of its B part.
+        ids = range(max(len(self.of_a.tokens), len(self.of_b.tokens)))
+        self.shown = [f"{i}{after}" for after in ",|;" for i in ids]
         self.memo: dict[tuple[bytes, bytes], Alignment] = {}
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """The ids of each text by both tokenizers; None where they don't give its bytes back."""
-        spaced = [" " + text for text in texts]
-        by_a = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-        by_b = self.b.encode(texts, num_threads=1)
-        for text, raw, a, b in zip(texts, spaced, by_a, by_b, strict=True):
-            content, ids = raw.encode(), a.ids
+        for text, ids in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            raw = " " + text
+            content, a, b = raw.encode(), self.a.encode(raw), np.array(ids, np.int32)
             same = text and all(
-                b"".join(map(side.tokens.__getitem__, of)) == content for side, of in ((self.of_a, ids), (self.of_b, b))
+                b"".join(map(side.tokens.__getitem__, of)) == content for side, of in ((self.of_a, a.tolist()), (self.of_b, ids))
             )
-            yield (np.array(ids, np.int32), np.array(b, np.int32)) if same else None
+            yield (a, b) if same else None
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the tokens of ``a`` and ``b`` that end at the same byte."""
+        """How many tokens of ``a`` and of ``b`` there are up to each byte at which both end."""
         ends_a, ends_b = np.cumsum(self.of_a.sizes[a]), np.cumsum(self.of_b.sizes[b])
         ending = np.zeros(int(ends_b[-1]) + 1, bool)
         ending[ends_b] = True
         in_a = np.flatnonzero(ending[ends_a])
-        return in_a, np.searchsorted(ends_b, ends_a[in_a])
-
-    def aligned(self, a: np.ndarray, b: np.ndarray) -> Alignment:
-        """The alignment of token ids that stand for the same bytes, worked out."""
-        groups, pairs, n_links, i, j = [], Counter(), 0, 0, 0
-        in_a, in_b = (side.tolist() for side in self.shared(a, b))
-        a, b = a.tolist(), b.tolist()
-        for end_a, end_b in zip(in_a, in_b, strict=True):
-            own_a, own_b = a[i : end_a + 1], b[j : end_b + 1]
-            groups.append(f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}")
-            n_links += len(own_a) * len(own_b)
-            counts_b = Counter(own_b)
-            for x, times in Counter(own_a).items():
-                for y, more in counts_b.items():
-                    pairs[self.pair(x, y)] += times * more
-            i, j = end_a + 1, end_b + 1
-        return Alignment(";".join(groups), len(groups), n_links, dict(pairs))
-
-    def pair(self, a: int, b: int) -> int:
-        return a * len(self.of_b.tokens) + b
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
-        """Where the windows end in each of the two lists of ids."""
-        in_a, in_b = self.shared(a, b)
-        inner_a, inner_b = in_a[:-1] + 1, in_b[:-1] + 1  # the last end is the text's
-        spaced = self.of_a.marked[a[inner_a]] & self.of_b.marked[b[inner_b]]
-        return [*inner_a[spaced].tolist(), len(a)], [*inner_b[spaced].tolist(), len(b)]
-
-    def align(self, a: np.ndarray, b: np.ndarray) -> Alignment:
+        return in_a + 1, np.searchsorted(ends_b, ends_a[in_a]) + 1
+
+    def worked_out(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> Callable[[int, int], Alignment]:
+        """The alignment of any run of a text's groups, given where these end in ``a`` and in ``b``.
+
+        The parts of all groups are laid out in order once; a run is a slice of them.
+        """
+        width = len(self.of_b.tokens)
+        sizes_a, sizes_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        # Tokens in the order of the text's groups, those of a group's A first, with what comes after each.
+        places_a = np.arange(len(a)) + np.repeat(ends_b - sizes_b, sizes_a)
+        places_b = np.arange(len(b)) + np.repeat(ends_a, sizes_b)
+        codes = np.empty(len(a) + len(b), np.int64)
+        codes[places_a], codes[places_b] = a, b
+        codes[places_a[ends_a - 1]] += len(self.shown) // 3
+        codes[places_b[ends_b - 1]] += 2 * (len(self.shown) // 3)
+        parts = list(map(self.shown.__getitem__, codes.tolist()))
+        until = [0, *(ends_a + ends_b).tolist()]
+        # All links of a group: each of its A tokens before each of its B tokens.
+        each = sizes_a * sizes_b
+        few = each <= FEW_LINKS
+        listed = np.where(few, each, 0)
+        of = np.repeat(np.arange(len(each)), listed)
+        within = np.arange(len(of)) - np.repeat(np.cumsum(listed) - listed, listed)
+        one = a[(ends_a - sizes_a)[of] + within // sizes_b[of]].astype(np.int64)
+        links = (one * width + b[(ends_b - sizes_b)[of] + within % sizes_b[of]]).tobytes()
+        links_until, all_until = [0, *(8 * np.cumsum(listed)).tolist()], [0, *np.cumsum(each).tolist()]
+        large = np.flatnonzero(~few).tolist()
+
+        def run(first: int, last: int) -> Alignment:
+            counted = None
+            for group in large[bisect_left(large, first) : bisect_left(large, last)]:
+                counted = counted or Counter()
+                others = Counter(b[ends_b[group] - sizes_b[group] : ends_b[group]].tolist())
+                own = Counter(a[ends_a[group] - sizes_a[group] : ends_a[group]].tolist())
+                for x, times in own.items():
+                    counted.update({x * width + y: times * more for y, more in others.items()})
+            text = "".join(parts[until[first] : until[last]])[:-1]
+            found = links[links_until[first] : links_until[last]]
+            return text, last - first, all_until[last] - all_until[first], found, counted
+
+        return run
+
+    def align(self, a: np.ndarray, b: np.ndarray) -> Aligned:
         """The alignment of a text by its windows."""
         if len(self.memo) > MEMO:
             self.memo.clear()
-        memo, found, i, j = self.memo, [], 0, 0
+        ends_a, ends_b = self.shared(a, b)
+        # A group ends an anchor's window if the tokens after it begin with a space, or the text ends.
+        after = self.of_a.marked[a[ends_a[:-1]]] & self.of_b.marked[b[ends_b[:-1]]]
+        last = np.append(np.flatnonzero(after), len(ends_a) - 1)
+        cuts_a, cuts_b = ((4 * ends[last]).tolist() for ends in (ends_a, ends_b))
         raw_a, raw_b = a.tobytes(), b.tobytes()
-        for end_a, end_b in zip(*self.windows(a, b), strict=True):
-            ids = raw_a[4 * i : 4 * end_a], raw_b[4 * j : 4 * end_b]  # the id tuples, as bytes
-            known = memo.get(ids)
-            if known is None:
-                known = self.aligned(a[i:end_a], b[j:end_b])
-                if end_a - i + end_b - j <= MEMO_TOKENS:
-                    memo[ids] = known
-            found.append(known)
-            i, j = end_a, end_b
-        pairs: dict[int, int] = {}
-        for known, times in _counted(found):
-            for pair, links in known.pairs.items():
-                pairs[pair] = pairs.get(pair, 0) + times * links
-        return Alignment(
-            ";".join([x.groups for x in found]), sum([x.n_groups for x in found]), sum([x.n_links for x in found]), pairs
-        )
+        # The id tuples, as bytes.
+        windows = [
+            (raw_a[i:x], raw_b[j:y]) for i, x, j, y in zip([0, *cuts_a], cuts_a, [0, *cuts_b], cuts_b, strict=False)
+        ]
+        memo = self.memo
+        found = list(map(memo.get, windows))
+        if None in found:
+            run, cuts = self.worked_out(a, b, ends_a, ends_b), [0, *(last + 1).tolist()]
+            for n, known in enumerate(found):
+                if known is None:
+                    found[n] = known = run(cuts[n], cuts[n + 1])
+                    if len(windows[n][0]) + len(windows[n][1]) <= 4 * MEMO_TOKENS:
+                        memo[windows[n]] = known
+        groups, n_groups, n_links, links, many = zip(*found, strict=True)
+        pairs, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
+        if any(many):
+            counted = Counter(dict(zip(pairs.tolist(), times.tolist(), strict=True)))
+            for own in filter(None, many):
+                counted.update(own)
+            pairs, times = (np.array(list(x), np.int64) for x in (counted.keys(), counted.values()))
+        return Aligned(";".join(groups), sum(n_groups), sum(n_links), pairs, times)
 
 
-def _counted(found: list[Alignment]) -> Iterator[tuple[Alignment, int]]:
-    """Each of the alignments once, with how often it is there."""
-    by_id = dict(zip(map(id, found), found, strict=True))
-    return ((by_id[i], times) for i, times in Counter(map(id, found)).items())
+@lru_cache(1)
+def _aligner(a_json: bytes, patterns: tuple[str, str], b_model: bytes) -> Aligner:
+    return Aligner(a_json, patterns, b_model)
 
 
-@lru_cache(1)
-def _aligner(a_json: bytes, b_model: bytes) -> Aligner:
-    return Aligner(a_json, b_model)
+def parts_of(a_file: str, b_file: str) -> tuple[bytes, tuple[str, str], bytes]:
+    """What an ``Aligner`` is made of."""
+    with open(b_file, "rb") as b:
+        return bpe.load(a_file), bpe_codec.piece_patterns(), b.read()
 
 
 def alignments(docs: DataFrame, a_file: str, b_file: str, groups: bool = False) -> DataFrame:
@@ -177,13 +249,13 @@ def alignments(docs: DataFrame, a_file: str, b_file: str, groups: bool = False)
     pairs (``a * vocabulary of b + b``), each once, ``times`` how many links are between
     them.  Null and empty texts, and texts that either tokenizer changes, have no tokens.
     """
-    with open(a_file, "rb") as a, open(b_file, "rb") as b:
-        files = a.read(), b.read()
-    machine = docs.sparkSession.sparkContext.broadcast(files)
-    n_pairs = len(_aligner(*files).of_a.tokens) * len(_aligner(*files).of_b.tokens)
+    parts = parts_of(a_file, b_file)
+    machine = docs.sparkSession.sparkContext.broadcast(parts)
+    n_pairs = len(_aligner(*parts).of_a.tokens) * len(_aligner(*parts).of_b.tokens)
     number = "int" if n_pairs < 2**31 else "long"
-    kinds = {"int": pa.int32(), "long": pa.int64()}
-    empty = Alignment("", 0, 0, {})
+    kinds = {"int": np.int32, "long": np.int64}
+    nothing = np.empty(0, np.int64)
+    empty = Aligned("", 0, 0, nothing, nothing)
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(*machine.value)
@@ -191,16 +263,14 @@ def alignments(docs: DataFrame, a_file: str, b_file: str, groups: bool = False)
             sizes, found, digests = [], [], []
             with no_cycles():
                 for ids in aligner.tokens(batch.column("text").to_pylist()):
-                    found.append(aligner.align(*ids) if ids else empty)
+                    own = aligner.align(*ids) if ids else empty
                     sizes.append((len(ids[0]), len(ids[1])) if ids else (0, 0))
-                    digests.append(hashlib.sha256(found[-1].groups.encode()).hexdigest() if ids else "")
+                    digests.append(hashlib.sha256(own.groups.encode()).hexdigest() if ids else "")
+                    found.append(own if groups else own._replace(groups=""))
             offsets = pa.array(np.cumsum([0, *(len(x.pairs) for x in found)]), pa.int32())
             lists = [
-                pa.ListArray.from_arrays(offsets, pa.array(list(chain.from_iterable(values)), kind))
-                for values, kind in (
-                    ((x.pairs.keys() for x in found), kinds[number]),
-                    ((x.pairs.values() for x in found), pa.int64()),
-                )
+                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([nothing, *values]).astype(kind)))
+                for values, kind in (((x.pairs for x in found), kinds[number]), ((x.times for x in found), np.int64))
             ]
             counts = [[s[0] for s in sizes], [s[1] for s in sizes], [x.n_groups for x in found], [x.n_links for x in found]]
             columns = [batch.column("doc_id"), *(pa.array(c, pa.int64()) for c in counts), pa.array(digests, pa.string()), *lists]
