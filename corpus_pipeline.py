@@ -8,16 +8,30 @@ shares, and the next stage reads them from there.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe_codec, host_rules, minhash_join, mixing, surrogates
-from basketflow.llm.common import stored, table, text_or_empty
+from basketflow.llm.common import on_plain_names, stored, table, text_or_empty
 from basketflow.llm.queries import ENCODING_TOKENIZER, SURROGATE_KEY
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def with_any_names(stage: Stage) -> Stage:
+    """The stage for documents whose other columns may have any names."""
+
+    @wraps(stage)
+    def renamed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return on_plain_names(lambda plain: stage(spark, plain, sf_dir), docs)
+
+    return renamed
+
+
 def only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` is among the ``verdicts``.
 
@@ -27,11 +41,13 @@ def only(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_doc_id"]), "left_semi")
 
 
+@with_any_names
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and come from a host that does, row by row."""
     return host_rules.accepted(docs)
 
 
+@with_any_names
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
@@ -53,6 +69,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.union(nameless.join(stay, "_row", "left_semi").select(*docs.columns))
 
 
+@with_any_names
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by surrogates, and their new length."""
     replaced = surrogates.replaced(docs, SURROGATE_KEY)
@@ -65,6 +82,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return replaced.select(*docs.columns)
 
 
+@with_any_names
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in the order of the mix of sources.
 
@@ -74,8 +92,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def positioned(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The rows of a written table and their ``position`` in it: files by part number, then rows."""
-    rows = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    """``position, doc_id, text`` of a written table's rows: files by part number, then rows."""
+    rows = docs.select(
+        "doc_id", "text", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
     # One row a file, as Spark's own list of them on the driver.
     sizes = {r["_file"]: r["count"] for r in rows.groupBy("_file").count().collect()}
     part = lambda name: (int(name.split("-")[1]), name)
@@ -85,7 +105,7 @@ def positioned(spark: SparkSession, docs: DataFrame) -> DataFrame:
         before += sizes[name]
     starts = spark.createDataFrame(offsets, "_file string, _start long")
     position = (F.col("_start") + F.col("_row")).alias("position")
-    return rows.join(F.broadcast(starts), "_file").select(position, *(docs[c] for c in docs.columns))
+    return rows.join(F.broadcast(starts), "_file").select(position, "doc_id", "text")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -97,8 +117,6 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id.position", "doc_id.doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality),
     ("near duplicates", near_duplicates),
