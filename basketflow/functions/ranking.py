@@ -20,6 +20,18 @@ def best(df: DataFrame, group: str, order: list[Column], n: int, rank: str = "ra
     return ranked(df, group, order, rank).where(F.col(rank) <= n)
 
 
+def by_group(df: DataFrame, group: str) -> DataFrame:
+    """Rows laid out by ``group``, for wide rows to be gathered there.
+
+    Gathering before the shuffle would join nothing where a group's rows come from
+    everywhere.  The number of partitions is given: AQE would join them by their
+    compressed bytes, of which wide rows take many times as much memory.
+    """
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(partitions, 8 * spark.sparkContext.defaultParallelism), group)
+
+
 def in_order(rank: str, *fields: str) -> Column:
     """Aggregate: the structs of ``fields``, by ascending ``rank``."""
     rows = F.sort_array(F.collect_list(F.struct(rank, *[f for f in fields if f != rank])))

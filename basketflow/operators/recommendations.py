@@ -7,7 +7,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from basketflow.functions.ranking import at_least_one, best, in_order
+from basketflow.functions.ranking import at_least_one, best, by_group, in_order
 from basketflow.operators.source_items import MAX_SOURCE_ITEMS
 
 MAX_CO_ITEMS = 5
@@ -177,6 +177,6 @@ def user_recommendations(blocks: DataFrame) -> DataFrame:
 
 def user_recommendations_nested(blocks: DataFrame) -> DataFrame:
     """One row per user: array of (source_item, co_items), by source rank."""
-    return blocks.groupBy("user_id").agg(
+    return by_group(blocks, "user_id").groupBy("user_id").agg(
         in_order("source_rank", "source_item", "co_items").alias("co_occurrence_recommendations")
     )

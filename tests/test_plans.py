@@ -59,3 +59,11 @@ def test_giant_sessions_are_broadcast_only_if_small(spark):
     text = plan(bk.basket_pairs(events, giants))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in text and "LeftAnti" in text
+
+
+def test_wide_rows_are_gathered_after_the_shuffle_only(spark):
+    """No array is built on the way to a shuffle, and AQE cannot join the partitions of wide rows."""
+    text = plan(driver.queries()["user_recommendations_nested"](spark, SF_DIR)).split("Initial Plan")[-1]
+    gathered, moved = text.split("REPARTITION_BY_NUM", 1)[0], text.split("REPARTITION_BY_NUM", 1)[1]
+    assert "partial_collect_list(struct(source_rank" in gathered
+    assert "partial_collect_list(struct(source_rank" not in moved
