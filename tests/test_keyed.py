@@ -10,8 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketflow.operators.baskets import pair_documents
-from basketflow.operators.lookup import count_term, pair_terms
+from basketflow.operators.lookup import count_term, pair_terms, profile_terms
+from basketflow.operators.profiles import PROFILE_SCHEMA, merge_flagged
 from basketflow.plans import jobs
+from basketflow.sources import keyed
 from basketflow.sources.keyed import Conflict, KeyedTable
 
 SCHEMA = "k STRING, v BIGINT, `a.b` STRING"
@@ -123,6 +125,47 @@ def test_parts_without_an_update_keep_their_files(spark, tmp_path):
     assert content(table) == {str(i): i for i in range(200)} | {"7": 700}
 
 
+def test_wide_parts_are_written_in_slices(spark, tmp_path, monkeypatch):
+    """No task writes a whole part of many bytes; rows, figures and lookups are the same."""
+    monkeypatch.setattr(keyed, "SLICE_BYTES", 4_000)
+    table = KeyedTable(spark, str(tmp_path / "t"), "k")
+    old = {str(i): i * i for i in range(4000)}
+    table.upsert(rows_of(spark, old))
+    (folder,) = table.version().folders
+    files = list((tmp_path / "t" / folder).glob("*.parquet"))
+    assert len(files) > 3 and max(pq.ParquetFile(f).metadata.num_rows for f in files) < 3000
+    version = table.upsert(rows_of(spark, {str(i): -1 for i in range(3900, 4100)}))
+    assert (version.matched, version.inserted, version.total) == (100, 100, 4100)
+    assert content(table) == old | {str(i): -1 for i in range(3900, 4100)}
+    asked = spark.createDataFrame([("17",), ("4099",)], "k STRING")
+    assert {r.k: r.v for r in table.read_keys(asked).collect()} == {"17": 289, "4099": -1}
+
+
+def test_rows_are_sorted_once_for_an_upsert(spark):
+    old, new = rows_of(spark, {"a": 1, "b": 2}), rows_of(spark, {"b": 3, "c": 4})
+    merged = merge_flagged(old, new, "k")
+    assert {(r.k, r.v, r._matched, r._inserted) for r in merged.collect()} == {
+        ("a", 1, False, False), ("b", 3, True, False), ("c", 4, False, True)
+    }
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.split("Initial Plan")[-1].count("Sort ") == 1
+
+
+def test_index_entries_come_once_and_ranges_hold_them(spark, tmp_path):
+    """Entries of a document with repeated terms, and the ranges of their files."""
+    blocks = [{"source_item": s, "co_items": [{"item": "x", "count": 1}, {"item": s + "y", "count": 2}]} for s in "aabc"]
+    rows = [(f"u{i}", [{"category": "c", "score": 1, "rank": 1}] * 2, blocks, None) for i in range(300)]
+    profiles = spark.createDataFrame(rows, PROFILE_SCHEMA)
+    assert profile_terms(profiles).count() == profile_terms(profiles).distinct().count() == 300 * 9
+    table = jobs.profile_table(spark, str(tmp_path / "t"))
+    (folder,) = table.upsert(profiles).index
+    entries = table._run(folder).select("*", F.col("_metadata.file_path").alias("file"))
+    place = F.struct("kind", "term")
+    expected = entries.groupBy("file").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    assert sorted(table._ranges(folder).collect()) == sorted(expected.collect())
+    assert entries.count() == 300 * 10
+
+
 def row_groups(files) -> int:
     return sum(pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).num_row_groups for f in files)
 
