@@ -14,6 +14,8 @@ KINDS = ("view", "cart", "purchase")
 
 #: Bytes that a writing task gets at least, tasks for each core at most.
 WRITER_BYTES, WRITERS_PER_CORE = 8 << 20, 4
+#: Bytes of a row group: a task reads one at least, and a file of the log has few columns.
+ROW_GROUP = 4 << 20
 #: What Spark takes for the size of rows that it knows nothing of, or more.
 UNKNOWN_BYTES = 1 << 62
 
@@ -81,7 +83,8 @@ def write_normalized(events: DataFrame, path: str) -> None:
     each, so a log in files is not shuffled, but written by few tasks.
     """
     kind = F.when(F.col("event_type").isin(*KINDS), F.col("event_type")).otherwise("other")
-    _joined(events.withColumn("kind", kind)).write.mode("overwrite").partitionBy("kind").parquet(path)
+    rows = _joined(events.withColumn("kind", kind)).write.mode("overwrite").option("parquet.block.size", str(ROW_GROUP))
+    rows.partitionBy("kind").parquet(path)
 
 
 def read_normalized(spark: SparkSession, path: str, *kinds: str) -> DataFrame:
