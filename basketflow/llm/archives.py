@@ -113,6 +113,10 @@ ARC_LINES = {
 }
 
 
+#: Why the rest is missing of an archive that ends within a compressed member.
+CUT = "the last compressed member is cut"
+
+
 def unzipped(archive: bytes) -> tuple[bytes, str | None]:
     """An archive's bytes, decompressed if need be, and why the rest is missing if it is."""
     if not archive.startswith(b"\x1f\x8b"):
@@ -125,7 +129,7 @@ def unzipped(archive: bytes) -> tuple[bytes, str | None]:
         except zlib.error as damaged:
             return b"".join(found), str(damaged)
         if not member.eof:
-            return b"".join(found), "the last compressed member is cut"
+            return b"".join(found), CUT
         rest = member.unused_data
     return b"".join(found), "no compressed member where one should begin" if rest.strip(b"\0\r\n") else None
 
@@ -166,6 +170,8 @@ def scan_arc(archive: bytes) -> Iterator[ArcRecord | BadRecord]:
                 reason = f"{length} bytes declared, {len(content) if end >= 0 else 0} are there"
             elif archive[start + length : start + length + 1] not in (b"", b"\r", b"\n"):
                 reason = f"no line ends after the {length} bytes declared"
+        if cut == CUT and reason is None and not archive[start + length :].strip(b"\r\n"):
+            break  # the record that was cut: nothing tells whether its bytes are right, as the checksum is missing
         if reason is None:
             texts = [value.decode("utf-8", "replace") for value in values.groups()]
             yield ArcRecord(dict(zip(names, texts, strict=True)), content)
