@@ -6,6 +6,10 @@ into windows of token ids between anchors, mostly words.  What a window's alignm
 follows from its ids alone, so it is worked out once for each pair of id tuples and
 remembered; a document's alignment is the alignments of its windows in order.
 
+Where no token of either can lie across a single space between two words, as for byte-level
+BPE beside a BPE of pieces that begin with spaces, all of that follows from the words alone:
+each is encoded and aligned once, many new ones at a time, and remembered by its text.
+
 One pass over the texts stores each document's links as counts of id pairs.  How many
 documents hold a pair is a sum over these, made per task before the shuffle.  Its
 table is as large as the pairs that the vocabularies form, not the corpus; up to a
@@ -27,14 +31,17 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 import tiktoken
+from sentencepiece import sentencepiece_model_pb2
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe, bpe_codec
 from basketflow.llm.common import no_cycles, stored, text_chunks, text_or_empty
 
-#: Windows and words that a worker remembers, and the longest window of them in tokens.
-MEMO, MEMO_TOKENS = 150_000, 64
+#: Windows and words that a worker remembers, and the longest of them in tokens.
+MEMO, MEMO_TOKENS = 100_000, 64
+#: Characters of texts whose new words are encoded and aligned at a time, about.
+LEARNT = 50_000
 #: Characters of a text beyond which it is split into words first.
 SPLIT_BEYOND = 100_000
 #: Links of a group that are listed; those of larger ones are counted by ids.
@@ -44,6 +51,10 @@ BROADCAST_PAIRS = 4_000_000
 
 #: Fixed value: the sign for a space in pieces.
 SPACE_SIGN = "▁"
+#: A single space between words: none that stands beside white space.
+BETWEEN_WORDS = re.compile(r" (?<=[^\s▁] )(?=[^\s▁])")
+ACROSS = re.compile(r"[^\s▁]▁")
+OUTER_SPACE = re.compile(r"^[\s▁]|[\s▁]$")
 
 
 #: Of a window: groups as ``a1,a2|b1;a3|b2``, how many, how many links, the pairs of ids
@@ -61,6 +72,10 @@ class Aligned(NamedTuple):
     times: np.ndarray
 
 
+#: Of a word: how many tokens by both tokenizers, and its alignment.
+Word = tuple[int, int, str, int, int, bytes, Counter | None]
+
+
 class Sides(NamedTuple):
     """A tokenizer's tokens: their bytes, how many, and if they begin with a space."""
 
@@ -78,6 +93,19 @@ def piece_bytes(model: sentencepiece.SentencePieceProcessor, i: int) -> bytes:
     return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(SPACE_SIGN, " ").encode()
 
 
+def ends_at_spaces(content: bytes) -> bool:
+    """Whether a model's pieces of any text end before each single space between words.
+
+    Merges can't lead across such a place if no piece does, and what is on one side of it
+    has no part in the merges of the other.
+    """
+    model = sentencepiece_model_pb2.ModelProto.FromString(content)
+    how, trained = model.normalizer_spec, model.trainer_spec
+    as_written = not (how.precompiled_charsmap or how.remove_extra_whitespaces or trained.treat_whitespace_as_suffix)
+    spaced = how.add_dummy_prefix and how.escape_whitespaces and trained.model_type == trained.BPE
+    return as_written and spaced and not any(ACROSS.search(p.piece) for p in model.pieces)
+
+
 class ByteEncoder:
     """Texts to token ids of a byte-level BPE, special strings as ordinary text.
 
@@ -137,6 +165,10 @@ class Aligner:
         ids = range(max(len(self.of_a.tokens), len(self.of_b.tokens)))
         self.shown = [f"{i}{after}" for after in ",|;" for i in ids]
         self.memo: dict[tuple[bytes, bytes], Alignment] = {}
+        self.by_words = ends_at_spaces(b_model)
+        # Words met lately, and those met before them.
+        self.known: dict[str, Word | None] = {}
+        self.earlier: dict[str, Word | None] = {}
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
         """The ids of each text by both tokenizers; None where they don't give its bytes back."""
@@ -220,14 +252,91 @@ class Aligner:
                     found[n] = known = run(cuts[n], cuts[n + 1])
                     if len(windows[n][0]) + len(windows[n][1]) <= 4 * MEMO_TOKENS:
                         memo[windows[n]] = known
-        groups, n_groups, n_links, links, many = zip(*found, strict=True)
-        pairs, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
-        if any(many):
-            counted = Counter(dict(zip(pairs.tolist(), times.tolist(), strict=True)))
-            for own in filter(None, many):
-                counted.update(own)
-            pairs, times = (np.array(list(x), np.int64) for x in (counted.keys(), counted.values()))
-        return Aligned(";".join(groups), sum(n_groups), sum(n_links), pairs, times)
+        return joined(found)
+
+    def words(self, text: str) -> list[str]:
+        """The text at its single spaces between words; whole where tokens may lie across."""
+        if not self.by_words:
+            return [text]
+        return BETWEEN_WORDS.split(text)
+
+    def encoded(self, words: list[str]) -> list[Word | None]:
+        """Each word, with the space before it; None if either tokenizer changes it.
+
+        More than one are encoded as a text of them, so none of them may begin or end with a space.
+        """
+        raw = "".join(f" {word}" for word in words)
+        both = next(self.tokens([raw[1:]]))
+        if both is not None:
+            a, b = both
+            ends_a, ends_b = self.shared(a, b)
+            ends = np.cumsum([len(word.encode()) + 1 for word in words])
+            shared = np.cumsum(self.of_a.sizes[a])[ends_a - 1]
+            last = np.minimum(np.searchsorted(shared, ends), len(shared) - 1)
+            if np.array_equal(shared[last], ends):
+                run, cuts = self.worked_out(a, b, ends_a, ends_b), [0, *(last + 1).tolist()]
+                n_a, n_b = (np.diff(e[last], prepend=0).tolist() for e in (ends_a, ends_b))
+                return [(x, y, *run(i, j)) for x, y, i, j in zip(n_a, n_b, cuts, cuts[1:], strict=False)]
+        return [None] if len(words) == 1 else [self.encoded([word])[0] for word in words]
+
+    def learn(self, words: set[str]) -> None:
+        plain, size = [], 0
+        for word in words:
+            if not word or OUTER_SPACE.search(word):
+                self.known[word] = self.encoded([word])[0]
+                continue
+            plain.append(word)
+            size += len(word)
+            if size > LEARNT:
+                self.known.update(zip(plain, self.encoded(plain), strict=True))
+                plain, size = [], 0
+        if plain:
+            self.known.update(zip(plain, self.encoded(plain), strict=True))
+
+    def aligned(self, texts: list[str]) -> Iterator[tuple[int, int, Aligned] | None]:
+        """Of each text: its tokens by both tokenizers and its alignment; None as in ``tokens``."""
+        at = 0
+        while at < len(texts):
+            size, first = 0, at
+            while at < len(texts) and (at == first or size + len(texts[at]) <= LEARNT):
+                size += len(texts[at])
+                at += 1
+            own = [self.words(text) for text in texts[first:at]]
+            if len(self.known) > MEMO // 2:
+                self.known, self.earlier = {}, self.known
+            new = set(chain.from_iterable(own)).difference(self.known)
+            again = new.intersection(self.earlier)
+            self.known.update((word, self.earlier[word]) for word in again)
+            self.learn(new := new - again)
+            for text, words in zip(texts[first:at], own, strict=True):
+                yield self.of_words(text, words)
+            for word in new:
+                if (kept := self.known[word]) is None or kept[0] + kept[1] > MEMO_TOKENS:
+                    del self.known[word]
+
+    def of_words(self, text: str, words: list[str]) -> tuple[int, int, Aligned] | None:
+        found = list(map(self.known.__getitem__, words))
+        if text and None not in found:
+            n_a, n_b, *alignments = zip(*found, strict=True)
+            return sum(n_a), sum(n_b), of_parts(*alignments)
+        # A word alone is changed, so all that counts is the text.
+        ids = next(self.tokens([text]))
+        return ids and (len(ids[0]), len(ids[1]), self.align(*ids))
+
+
+def joined(found: list[Alignment]) -> Aligned:
+    """The alignment of a text, given those of its windows in order."""
+    return of_parts(*zip(*found, strict=True))
+
+
+def of_parts(groups: tuple, n_groups: tuple, n_links: tuple, links: tuple, many: tuple) -> Aligned:
+    pairs, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
+    if any(many):
+        counted = Counter(dict(zip(pairs.tolist(), times.tolist(), strict=True)))
+        for own in filter(None, many):
+            counted.update(own)
+        pairs, times = (np.array(list(x), np.int64) for x in (counted.keys(), counted.values()))
+    return Aligned(";".join(groups), sum(n_groups), sum(n_links), pairs, times)
 
 
 @lru_cache(1)
@@ -262,10 +371,10 @@ def alignments(docs: DataFrame, a_file: str, b_file: str, groups: bool = False)
         for batch in text_chunks(batches, "text"):
             sizes, found, digests = [], [], []
             with no_cycles():
-                for ids in aligner.tokens(batch.column("text").to_pylist()):
-                    own = aligner.align(*ids) if ids else empty
-                    sizes.append((len(ids[0]), len(ids[1])) if ids else (0, 0))
-                    digests.append(hashlib.sha256(own.groups.encode()).hexdigest() if ids else "")
+                for whole in aligner.aligned(batch.column("text").to_pylist()):
+                    n_a, n_b, own = whole or (0, 0, empty)
+                    sizes.append((n_a, n_b))
+                    digests.append(hashlib.sha256(own.groups.encode()).hexdigest() if whole else "")
                     found.append(own if groups else own._replace(groups=""))
             offsets = pa.array(np.cumsum([0, *(len(x.pairs) for x in found)]), pa.int32())
             lists = [

@@ -155,3 +155,37 @@ def test_words_are_encoded_as_the_library_does():
     encoder.memo.clear()
     encoder.proposer = type("Worse", (), {"encode_ordinary": lambda self, w: list(w.encode()) if rng.random() < 0.5 else proposed(w)})()
     assert [encoder.encode(t).tolist() for t in texts] == wanted
+
+
+def test_words_are_encoded_once_and_aligned_as_whole_texts(monkeypatch):
+    monkeypatch.setattr(token_alignment, "MEMO", 40)
+    monkeypatch.setattr(token_alignment, "LEARNT", 300)
+    aligner = token_alignment.Aligner(*token_alignment.parts_of(A_FILE, B_FILE))
+    assert aligner.by_words
+    rng = random.Random(5)
+    parts = ["don't", "naïve", "日本", "x", "42", "end.\nNext", "\n", "", "\t", "a▁b", "▁", "<s>", "　", "\x1c", "🙂", "z" * 300, "'s", "  "]
+    texts = [" ".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(600)] + [t or "" for _, t in odd_rows()]
+    for text, ids, whole in zip(texts, aligner.tokens(texts), aligner.aligned(texts), strict=True):
+        if ids is None:
+            assert whole is None, text
+            continue
+        n_a, n_b, own = whole
+        alone = aligner.align(*ids)
+        assert (n_a, n_b) == (len(ids[0]), len(ids[1])), text
+        assert own[:3] == alone[:3], text
+        assert dict(zip(own.pairs.tolist(), own.times.tolist())) == dict(zip(alone.pairs.tolist(), alone.times.tolist()))
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.characters = model, 0
+
+        def encode(self, texts, **how):
+            self.characters += sum(map(len, texts))
+            return self.model.encode(texts, **how)
+
+    aligner.b = counted = Counted(aligner.b)
+    aligner.known.clear()
+    aligner.earlier.clear()
+    text = "some words and more of some words"
+    assert len({w for a in aligner.aligned([text] * 5) for w in a[2].groups.split(";")}) >= 5
+    assert counted.characters == len("some words and more of")
