@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe
-from basketflow.llm.common import no_cycles, text_chunks, text_or_empty
+from basketflow.llm.common import no_cycles, one_machine, text_chunks, text_or_empty
 
 #: Distinct words whose tokens a worker remembers.
 MEMO = 300_000
@@ -134,7 +134,7 @@ def piece_patterns() -> tuple[str, str]:
     return pattern(classes[:256]), pattern(classes)
 
 
-@lru_cache(2)
+@one_machine
 def _codec(content: bytes, patterns: tuple[str, str]) -> Codec:
     return Codec(content, patterns)
 

@@ -96,6 +96,27 @@ def text_chunks(
         yield batch.slice(start)
 
 
+#: What a worker has made to work with last, and of what: one at a time, whatever the operator.
+_MACHINE: list[tuple] = []
+
+
+def one_machine(make: Callable) -> Callable:
+    """``make``, whose result a worker keeps until it makes another, or works without one."""
+
+    def kept(*parts):
+        if not _MACHINE or _MACHINE[0][0] is not make or _MACHINE[0][1] != parts:
+            _MACHINE.clear()
+            _MACHINE.append((make, parts, make(*parts)))
+        return _MACHINE[0][2]
+
+    return kept
+
+
+def without_machine() -> None:
+    """Workers are used again by other stages, and large tables of tokens would stay in memory."""
+    _MACHINE.clear()
+
+
 @contextmanager
 def no_cycles() -> Iterator[None]:
     """Without Python's search for cycles, for work that makes many small objects and none."""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from basketflow.llm.common import KNOWN, on_plain_names, stored, text_chunks, text_or_empty
+from basketflow.llm.common import KNOWN, on_plain_names, stored, text_chunks, text_or_empty, without_machine
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -76,6 +76,7 @@ def measures(docs: DataFrame, host: str = "source") -> DataFrame:
     """``doc_id``, ``host``, the measures and ``base_failed``, one row per row of ``docs``."""
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_machine()
         for batch in text_chunks(batches, "text"):
             rows = [measure(text) for text in batch.column("text").cast(pa.binary()).to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]

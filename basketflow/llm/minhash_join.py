@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from basketflow.llm.common import stored, text_chunks, text_or_empty
+from basketflow.llm.common import stored, text_chunks, text_or_empty, without_machine
 from basketflow.llm.components import components
 
 #: Similarity of a link, in percent, and words of a shingle.
@@ -49,8 +49,8 @@ SYMBOLS, CHUNK, DISTANCE = 65, 5, 25
 DEALT = 200_000
 #: Texts and shingles of a block of a large cluster, about.
 BLOCK_TEXTS, BLOCK_SHINGLES = 1_000, 2_000_000
-#: Distinct words whose hashes a worker remembers.
-MEMO = 500_000
+#: Distinct words whose hashes a worker remembers while it makes sketches.
+MEMO = 100_000
 
 WORD_HASHES: dict[bytes, int] = {}
 
@@ -104,6 +104,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     """``doc_id, n_shingles, digest, signature`` per row; the last two null without words."""
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_machine()
         for batch in text_chunks(batches, "text"):
             sizes, digests, signatures = [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
@@ -116,6 +117,8 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *columns], names=["doc_id", "n_shingles", "digest", "signature"]
             )
+        # The worker goes on to other work.
+        WORD_HASHES.clear()
 
     schema = "doc_id long, n_shingles long, digest binary, signature binary"
     return docs.mapInArrow(sketched, schema)

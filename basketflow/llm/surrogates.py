@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.functions.text import quoted
-from basketflow.llm.common import on_plain_names, stored
+from basketflow.llm.common import on_plain_names, stored, without_machine
 
 ROUNDS = 10
 #: Entities that may need another permutation than the first: tasks hold them all, so
@@ -463,6 +463,7 @@ def colliding(docs: DataFrame, key: bytes, attempts: dict[str, int]) -> DataFram
     known = docs.sparkSession.sparkContext.broadcast(attempts)
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        without_machine()
         own = Surrogates(key, known.value)
         for batch in batches:
             rows = set()

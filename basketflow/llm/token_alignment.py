@@ -23,7 +23,6 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
 
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketflow.llm import bpe, bpe_codec
-from basketflow.llm.common import no_cycles, stored, text_chunks, text_or_empty
+from basketflow.llm.common import no_cycles, one_machine, stored, text_chunks, text_or_empty
 
 #: Windows and words that a worker remembers, and the longest of them in tokens.
 MEMO, MEMO_TOKENS = 100_000, 64
@@ -339,7 +338,7 @@ def of_parts(groups: tuple, n_groups: tuple, n_links: tuple, links: tuple, many:
     return Aligned(";".join(groups), sum(n_groups), sum(n_links), pairs, times)
 
 
-@lru_cache(1)
+@one_machine
 def _aligner(a_json: bytes, patterns: tuple[str, str], b_model: bytes) -> Aligner:
     return Aligner(a_json, patterns, b_model)
 
