@@ -148,3 +148,18 @@ def test_stored_log_is_read_by_kind(spark, tmp_path):
     assert [r.event_type for r in bought.collect()] == ["purchase"]
     plan = bought._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(kind" in plan
+
+
+def test_a_joined_log_is_stored_without_another_shuffle(spark, tmp_path):
+    """Its rows were moved by the join already."""
+    spark.range(1_000).selectExpr("id", "cast(id AS string) AS user_id").write.parquet(str(tmp_path / "users"))
+    users = spark.read.parquet(str(tmp_path / "users")).hint("merge")
+    log = spark.range(1_000).join(users, "id").selectExpr(
+        "cast(id AS string) AS session_id", "user_id", "if(id % 2 = 0, 'cart', 'purchase') AS event_type",
+        "cast(id % 7 AS string) AS product_id", "'c' AS category",
+    )
+    large = files._joined(log.crossJoin(spark.range(1 << 40).limit(1).select()).crossJoin(spark.range(1 << 50).where("id < 1").select()))
+    for plan in (files._joined(log), large):
+        assert "Rebalance" not in plan._jdf.queryExecution().optimizedPlan().toString()
+    files.write_normalized(log, str(tmp_path / "events"))
+    assert files.read_normalized(spark, str(tmp_path / "events"), "cart").count() == 500
