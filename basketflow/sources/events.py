@@ -65,12 +65,13 @@ def _joined(events: DataFrame) -> DataFrame:
     """A log in few enough tasks for files of a good size: for each some megabytes at
     least, and a few tasks for each core at most.
 
-    Splits of files are joined where they are.  A log whose size Spark does not know comes out
-    of a join or of rows: AQE has joined its partitions, and its rows are not moved again.
+    Splits of files are joined where they are.  Of other logs Spark does not know the size:
+    where files were joined with each other, AQE has joined the partitions, and rows are not
+    moved again; others are rebalanced by kind.
     """
     size = int(str(events._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= UNKNOWN_BYTES:
-        return events
+        return events if events.inputFiles() else events.hint("rebalance", "kind")
     most = WRITERS_PER_CORE * events.sparkSession.sparkContext.defaultParallelism
     return events.coalesce(max(1, min(ceil(size / WRITER_BYTES), most)))
 
