@@ -6,7 +6,9 @@ executor costs at most the running job's tasks, and no job recomputes another.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
+from functools import wraps
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,7 @@ from basketflow.operators.source_items import (
     user_source_items_nested,
 )
 from basketflow.plans.scratch import remove, require_free, scratch_path
+from basketflow.session import small_tasks
 from basketflow.sources.events import read_normalized, write_normalized
 from basketflow.sources.keyed import KeyedTable, Version
 from basketflow.sources.tables import (
@@ -57,6 +60,19 @@ from basketflow.sources.tables import (
     write_sorted,
 )
 
+
+def in_small_tasks(job: Callable) -> Callable:
+    """The job, its shuffles read in tasks of few bytes; a session or a log is its first argument."""
+
+    @wraps(job)
+    def run(first: SparkSession | DataFrame, *args, **kwargs):
+        with small_tasks(first if isinstance(first, SparkSession) else first.sparkSession):
+            return job(first, *args, **kwargs)
+
+    return run
+
+
+@in_small_tasks
 def store_events(log: DataFrame, events_path: str) -> None:
     """Clean the raw log once, for all the jobs below."""
     write_normalized(normalize_events(log), events_path)
@@ -75,6 +91,7 @@ def stored_giants(
     return read_table(spark, path)
 
 
+@in_small_tasks
 def item_numbers(spark: SparkSession, events_path: str, items_path: str) -> None:
     """The products bought, numbered in order, by which pairs are counted."""
     bought = purchases(read_normalized(spark, events_path, "purchase"))
@@ -94,6 +111,7 @@ def counted_pairs(
     return named_pairs(numbered_pair_counts(purchased, giants, numbers, block_size), numbers)
 
 
+@in_small_tasks
 def market_basket(
     spark: SparkSession,
     events_path: str,
@@ -118,11 +136,13 @@ def market_basket(
         remove(spark, own_path)
 
 
+@in_small_tasks
 def affinity(spark: SparkSession, events_path: str, affinity_path: str) -> None:
     events = read_normalized(spark, events_path, "view", "cart", "purchase")
     write_over(user_affinity(user_category_scores(events)), affinity_path)
 
 
+@in_small_tasks
 def source_items(
     spark: SparkSession, events_path: str, items_path: str, n: int = MAX_SOURCE_ITEMS
 ) -> None:
@@ -131,6 +151,7 @@ def source_items(
     write_over(user_source_items_nested(strongest), items_path)
 
 
+@in_small_tasks
 def neighbours(
     spark: SparkSession, pairs_path: str, neighbours_path: str, depth: int = enough_neighbours()
 ) -> None:
@@ -171,6 +192,7 @@ def profile_table(spark: SparkSession, path: str) -> KeyedTable:
     return KeyedTable(spark, path, "user_id", profile_terms)
 
 
+@in_small_tasks
 def load_pairs(
     spark: SparkSession, pairs_path: str, store_path: str, run_ts: datetime | None = None
 ) -> Version:
@@ -179,6 +201,7 @@ def load_pairs(
     return pair_table(spark, store_path).upsert(updates)
 
 
+@in_small_tasks
 def load_profiles(
     spark: SparkSession,
     affinity_path: str,
@@ -206,6 +229,7 @@ def load_profiles(
     return profile_table(spark, store_path).upsert(updates)
 
 
+@in_small_tasks
 def cart_abandonment(
     spark: SparkSession,
     events_path: str,

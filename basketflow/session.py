@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import SparkSession
@@ -13,6 +15,10 @@ MIB = 1024 * 1024
 SHUFFLED_SHARE = 0.05
 #: More shuffle partitions than this cost the driver more than they save the tasks.
 MOST_PARTITIONS = 20_000
+#: Shuffled bytes that one task of a job gets of partitions joined together, at most.
+#: Short rows take some 20 times as much memory where they are sorted.
+TASK_BYTES = 16 * MIB
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 
 
 def settings(input_bytes: int, cores: int, partition_bytes: int = 192 * MIB) -> dict[str, str]:
@@ -45,3 +51,18 @@ def build_session(app: str, conf: dict[str, str], master: str | None = None) ->
     for name, value in conf.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
+
+
+@contextmanager
+def small_tasks(spark: SparkSession, size: int = TASK_BYTES) -> Iterator[None]:
+    """Within, AQE joins shuffle partitions up to ``size`` bytes, or fewer if the session says so."""
+    given = spark.conf.get(ADVISORY, None)
+    allowed = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY))
+    spark.conf.set(ADVISORY, str(min(size, allowed)))
+    try:
+        yield
+    finally:
+        if given is None:
+            spark.conf.unset(ADVISORY)
+        else:
+            spark.conf.set(ADVISORY, given)

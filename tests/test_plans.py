@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from basketflow.operators import baskets as bk
 from basketflow.operators import source_items as si
+from basketflow.plans import jobs
 from basketflow.plans.queries import shop
 from basketflow.plans.standin import shop_events
+from basketflow.session import ADVISORY, small_tasks
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -67,3 +72,41 @@ def test_wide_rows_are_gathered_after_the_shuffle_only(spark):
     gathered, moved = text.split("REPARTITION_BY_NUM", 1)[0], text.split("REPARTITION_BY_NUM", 1)[1]
     assert "partial_collect_list(struct(source_rank" in gathered
     assert "partial_collect_list(struct(source_rank" not in moved
+
+
+def test_a_job_reads_its_shuffles_in_tasks_of_few_bytes(spark, tmp_path):
+    """More than 16 MB in all, which AQE would join to one partition of at most 64 MB."""
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = 300_000
+        events = spark.range(rows).select("id", F.sha2(F.col("id").cast("string"), 512).alias("product_id"))
+        users = spark.range(rows).select("id", F.concat(F.lit("u"), "id").alias("user_id"))
+        log = events.join(users, "id").select(
+            F.col("id").cast("string").alias("session_id"), "user_id", F.lit("purchase").alias("event_type"), "product_id", F.lit("c").alias("category")
+        )
+        jobs.store_events(log, str(tmp_path / "events"))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(list(Path(tmp_path / "events" / "kind=purchase").glob("*.parquet"))) > 1
+    assert spark.read.parquet(str(tmp_path / "events")).count() == rows
+
+
+def test_small_tasks_leave_the_session_as_it_was(spark):
+    given = spark.conf.get(ADVISORY, None)
+    with pytest.raises(KeyError), small_tasks(spark, 1 << 20):
+        assert spark.conf.get(ADVISORY) == str(1 << 20)
+        raise KeyError
+    assert spark.conf.get(ADVISORY, None) == given
+    spark.conf.set(ADVISORY, "512k")
+    try:
+        with small_tasks(spark, 1 << 20):
+            assert spark.conf.get(ADVISORY) == str(512 << 10)
+        assert spark.conf.get(ADVISORY) == "512k"
+    finally:
+        spark.conf.unset(ADVISORY)
