@@ -141,6 +141,28 @@ def test_wide_parts_are_written_in_slices(spark, tmp_path, monkeypatch):
     assert {r.k: r.v for r in table.read_keys(asked).collect()} == {"17": 289, "4099": -1}
 
 
+def test_each_slice_of_a_part_has_a_task_of_its_own(spark, tmp_path, monkeypatch):
+    """No task gets two slices, of all parts or of some, so none gets much more than the others."""
+    monkeypatch.setattr(keyed, "SLICE_BYTES", 1_000)
+    table = KeyedTable(spark, str(tmp_path / "t"), "k")
+
+    def files(folder: str) -> list[Path]:
+        return list(Path(table.path, folder).rglob("*.parquet"))
+
+    first = {f"k{i}": i for i in range(4_000)}
+    version = table.upsert(rows_of(spark, first), parts=4)
+    tasks = [int(f.name.split("-")[1]) for folder in version.folders for f in files(folder)]
+    assert len(tasks) == len(set(tasks)) > 16 and len(tasks) % 4 == 0
+    parts = keyed.part_of("k", 4).alias("part")
+    some = {r.k: -1 for r in rows_of(spark, first).select("k", parts).where("part IN (1, 3)").collect()}
+    monkeypatch.setattr(keyed, "SLICE_BYTES", 20_000)
+    version = table.upsert(rows_of(spark, some))
+    changed = [version.folders[p] for p in (1, 3)]
+    tasks = [int(f.name.split("-")[1]) for folder in changed for f in files(folder)]
+    assert len(tasks) == len(set(tasks)) > 16 and version.matched == len(some)
+    assert content(table) == first | some
+
+
 def test_rows_are_sorted_once_for_an_upsert(spark):
     old, new = rows_of(spark, {"a": 1, "b": 2}), rows_of(spark, {"b": 3, "c": 4})
     merged = merge_flagged(old, new, "k")
