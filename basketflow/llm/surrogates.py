@@ -121,6 +121,7 @@ PATTERNS.append(("full", r"\b(?P<full>(?:" + "|".join(sorted(NAMES)) + r")\b(?:[
 LOUD_NAME = CAPITAL + "(?:" + CAPITAL + "|['’-](?=" + CAPITAL + "))+"
 PATTERNS.append(("loud", r"\b(?P<loud>(?:" + "|".join(sorted(LOUD)) + r")(?:[ ]" + LOUD_NAME + r"\b){1,2})"))
 NUMBERS = ("iban", "card", "ssn", "ip", "phone")
+HEXADECIMAL = re.compile(r"[0-9a-f]+")
 SIXTEEN_BYTES = re.compile(r"[23fF][0-9A-Fa-f]{3}:[0-9A-Fa-f:]*:")
 WORD, NUMERIC = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]{2}|[0-9]\.[0-9]")
 
@@ -270,13 +271,15 @@ class Surrogates:
         new = iter(head + tail)
         return "".join(next(new) if c in DIGITS else c for c in text)
 
-    def letters(self, text: str, label: str, apart: Callable[[str], bool] = lambda code: False) -> str:
-        """Letters and digits replaced by ones of their kind and script."""
+    def letters(self, text: str, label: str, apart: Callable[[str], bool] = lambda code: False, among: str = "") -> str:
+        """Letters and digits replaced by ones of their kind and script, and only by those in ``among`` if given."""
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
         places = [i for i, c in enumerate(low) if c in DIGITS or alphabet_of(c)]
         if not places:
             return text
         alphabets = [DIGITS if low[i] in DIGITS else alphabet_of(low[i]) for i in places]
+        if among:
+            alphabets = ["".join(c for c in a if c in among) for a in alphabets]
         mask = "".join(c if i not in set(places) else "*" for i, c in enumerate(low)) if len(places) < len(low) else ""
         code = self._code("".join(low[i] for i in places), alphabets, f"{label}/{mask}", apart)
         new = list(low)
@@ -332,9 +335,16 @@ class Surrogates:
         return text[:4] + self.letters(text[4:], "access")
 
     def secret(self, text: str) -> str:
-        if re.fullmatch(r"[0-9a-f]+", text):
-            return self._code(text, [HEX] * len(text), "hex", lambda code: False)
-        return self.letters(text, "secret", lambda code: re.fullmatch(r"[0-9a-f]+", code) is not None)
+        low = text.lower()
+        if HEXADECIMAL.fullmatch(low):
+            # The same code in any case.
+            new = self._code(low, [HEX] * len(low), "hex", lambda code: False)
+            return new.upper() if text.isupper() else recased(new, text)
+        if HEXADECIMAL.fullmatch(re.sub(r"[\W_]", "", low)):
+            # Parted by signs: taken from the codes of its form that are hexadecimal, as a
+            # walk over all of them would hardly ever meet one.
+            return self.letters(text, "secret", among=HEX)
+        return self.letters(text, "secret", lambda code: HEXADECIMAL.fullmatch(code) is not None)
 
     def iban(self, text: str) -> str:
         code = text.replace(" ", "")
@@ -355,8 +365,11 @@ class Surrogates:
             if part.lower() in self.first:
                 new = self.first_name(part)
                 parts.append(new.upper() if part.isupper() and len(part) > 1 else new)
-            else:
+            elif part.isalpha():
                 parts.append(self.letters(part, "surname", lambda code: code in self.first))
+            else:
+                # With a sign in it, no code is a first name: nothing is set apart.
+                parts.append(self.letters(part, "surname"))
         return " ".join(parts)
 
     def digest(self, kind: str, text: str) -> str:

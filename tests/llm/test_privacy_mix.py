@@ -88,6 +88,24 @@ def test_coreference_across_formats(own):
     assert own.of("email", "x@acme.com").split("@")[1] == own.of("email", "y@acme.com").split("@")[1]
 
 
+def test_hexadecimal_secrets_and_parted_names_need_no_long_walk(own, monkeypatch):
+    """Codes that are set apart although their text is not: found in few permutations each."""
+    image, calls = own.permutation.image, []
+    monkeypatch.setattr(own.permutation, "image", lambda *parts: calls.append(parts) or image(*parts))
+    upper, parted = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "550e8400-e29b-41d4-a716-446655440000"
+    texts = [("secret", upper), ("secret", upper[:8] + upper[8:].lower()), ("secret", parted), ("name", "Victor-ia Miller")]
+    for kind, text in texts:
+        calls.clear()
+        monkeypatch.setattr(own, "known", {})
+        assert len(own.of(kind, text)) == len(text) and own.of(kind, text) != text
+        assert len(calls) < 50
+    assert own.of("secret", upper) == own.of("secret", upper.lower()).upper()
+    assert own.of("secret", upper[:8] + upper[8:].lower()).lower() == own.of("secret", upper.lower())
+    new = own.of("secret", parted)
+    assert [i for i, c in enumerate(new) if c == "-"] == [8, 13, 18, 23] and own.of("secret", parted.upper()) == new.upper()
+    assert all(a.isdigit() == b.isdigit() for a, b in zip(new, parted)) and int(new.replace("-", ""), 16)
+
+
 def test_phones_of_two_countries_are_two(own):
     one, same, other = "+1 415-555-0100", "+14155550100", "+44 415-555-0100"
     digits = lambda t: re.sub(r"\D", "", own.of("phone", t))
