@@ -182,6 +182,16 @@ def test_distinct_entities_stay_distinct(own):
         assert not any(own.of(kind, e) == e for e in entities)
 
 
+def test_hints_pass_over_words_that_begin_as_no_name():
+    """Only words that may be names or titles are taken out of a text, and all that are."""
+    text = "the long text of many words, xAnna and 2Anna_ Bell, MARIA Dr. Άννα\nVera 3.5 4"
+    assert set(sg.WORD.findall(text)) == {"Anna", "Bell", "MARIA", "Dr", "Άννα", "Vera"}
+    assert {"name", "full", "loud", "phone"} <= set(sg.hints(text))
+    assert sg.hints("xAnna mrs 3 . 4 5.a") == () and sg.hints("a 3.4") == sg.NUMBERS
+    listed = {*sg.NAMES, *sg.TITLES, *sg.LOUD}
+    assert all(sg.WORD.findall(f"x {word}.") == [word] for word in listed)
+
+
 def test_clean_texts_are_left_alone(own):
     for text in ("", "In 2024, version 1.2.3 had 1,234,567 users at 10:30.", "Mr and Mrs, the key: yes", "Ines Ines Ines",
                  "a = b; x: 12", "The 50 states, 3.14159 and 1/2.", "#1 @home 100%"):
