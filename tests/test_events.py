@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from basketflow.functions import category
 from basketflow.functions.category import metadata_category
 from basketflow.functions.text import clean
 from basketflow.operators import events as ev
@@ -163,3 +164,18 @@ def test_a_joined_log_is_stored_without_another_shuffle(spark, tmp_path):
         assert "Rebalance" not in plan._jdf.queryExecution().optimizedPlan().toString()
     files.write_normalized(log, str(tmp_path / "events"))
     assert files.read_normalized(spark, str(tmp_path / "events"), "cart").count() == 500
+
+
+def test_plain_metadata_give_the_same_without_a_parser(spark, monkeypatch):
+    texts = [
+        '{"category":"Toys","brand":"B"}', '{"category": "Toys", "brand": ""}', '{"category":"a b"}', '{"category":" a"}',
+        '{"category":"a "}', '{"category":"A","category":"B"}', '{"category":"A","category_level_1":"B"}', '{"category":""}',
+        '{"category":"A","brand":5}', '{"category":"A\\n"}', '{"category":"A","brand":"x\\"y"}', '{"category":"A"} x', '{"category":"A",}',
+        '{"category":"A"}\n', '{"category":"\u00e9"}', '{"category":"A","":"x"}', "{}", "", None,
+    ]
+    rows = spark.createDataFrame([(t,) for t in texts], "m STRING")
+    plain = F.regexp_extract("m", category._CATEGORY_FIRST, 1)
+    found = rows.select("m", metadata_category(F.col("m")).alias("c"), plain.alias("plain")).collect()
+    assert [r.plain for r in found[:3]] == ["Toys", "Toys", "a b"] and sum(bool(r.plain) for r in found) == 4
+    monkeypatch.setattr(category, "_CATEGORY_FIRST", r"\A(x)\zx")
+    assert [r.c for r in rows.select(metadata_category(F.col("m")).alias("c")).collect()] == [r.c for r in found]

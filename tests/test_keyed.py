@@ -188,6 +188,23 @@ def test_index_entries_come_once_and_ranges_hold_them(spark, tmp_path):
     assert entries.count() == 300 * 10
 
 
+def test_index_files_are_sorted_by_term_and_ranged_by_kind(spark, tmp_path):
+    """Several kinds in a file, whose ends are not the file's first and last row."""
+    rows = [(f"p{i:05d}", f"p{i + 1:05d}", 20_000 - i) for i in range(3_000)]
+    documents = pair_documents(spark.createDataFrame(rows, "item_a STRING, item_b STRING, count BIGINT"))
+    table = jobs.pair_table(spark, str(tmp_path / "pairs"))
+    folder = table.upsert(documents).index[0]
+    files = list((tmp_path / "pairs" / folder / "entries").glob("*.parquet"))
+    for file in files:
+        terms = pq.read_table(file).column("term").to_pylist()
+        assert terms == sorted(terms)
+    entries = table._run(folder).select("*", F.col("_metadata.file_path").alias("file"))
+    place = F.struct("kind", "term")
+    expected = entries.groupBy("file").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    assert sorted(table._ranges(folder).collect()) == sorted(expected.collect())
+    assert entries.count() == 4 * 3_000
+
+
 def row_groups(files) -> int:
     return sum(pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).num_row_groups for f in files)
 

@@ -336,3 +336,16 @@ def test_numbered_pairs_equal_plain_ones(spark, tmp_path):
     assert sorted((r.number, r.item) for r in numbers.collect()) == [(0, "a"), (1, "b"), (2, "é")]
     tables.write_numbered(numbers.limit(0), str(tmp_path / "none"))
     assert tables.read_numbered(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_neighbours_with_repeated_or_missing_names(spark):
+    """Own and missing names are left out, repeated ones stay, whichever way they are found."""
+    lists = spark.createDataFrame([("u", ["a", "b"])], "user_id STRING, source_items ARRAY<STRING>")
+    near = {"a": [("b", 9), ("c", 5), ("d", 4)], "b": [("c", 5), (None, 4), ("c", 3), ("a", 2), ("e", 1)]}
+    rows = [(item, found, 24) for item, found in near.items()]
+    nearest = spark.createDataFrame(rows, "source_item STRING, co_items ARRAY<STRUCT<item: STRING, count: BIGINT>>, depth INT")
+    blocks = rc.recommendation_blocks(lists, nearest, 2)
+    assert {r.source_item: [tuple(co) for co in r.co_items] for r in blocks.collect()} == {
+        "a": [("c", 5), ("d", 4)], "b": [("c", 5), ("c", 3)]
+    }
+    assert "array_except" in blocks._jdf.queryExecution().executedPlan().toString()
